@@ -478,3 +478,79 @@ ORDER BY a.cohort_month, a.months_since_signup"""
     "dq_silver_payments": DQ_SILVER,
     "dq_gold_fct_payments": DQ_GOLD,
 }
+
+
+# ---- Gold constraint report ------------------------------------------------------
+
+_GOLD_VIEWS = {
+    "dim_customer": (
+        "o_dim_customer",
+        ["customer_id", "signup_date", "country", "marketing_channel", "cohort_month", "is_blacklisted"],
+    ),
+    "dim_merchant": ("o_dim_merchant", ["merchant_id", "category", "risk_level", "created_at"]),
+    "dim_date": (
+        "o_dim_date",
+        ["date_key", "year", "quarter", "month", "month_name", "day", "day_of_week", "day_name",
+         "week_of_year", "is_weekend"],
+    ),
+    "fct_payments": (
+        "o_fct",
+        ["payment_id", "customer_id", "merchant_id", "date_key", "amount_original", "currency",
+         "fx_rate_to_usd", "amount_usd", "status", "method", "created_at_utc", "updated_at_utc",
+         "has_chargeback", "chargeback_reason_code", "chargeback_filed_at"],
+    ),
+    "agg_daily_kpis": (
+        "o_kpis",
+        ["date_key", "total_payments", "captured_payments", "refused_payments", "refunded_payments",
+         "auth_rate", "chargeback_rate", "gross_volume_usd", "captured_volume_usd", "unique_customers",
+         "unique_merchants"],
+    ),
+    "agg_cohort_ltv": (
+        "o_agg_cohort_ltv",
+        ["cohort_month", "months_since_signup", "active_customers", "total_ltv_usd", "avg_ltv_usd"],
+    ),
+}
+
+
+def _constraint_sql() -> str:
+    from ledgerline.operators.quality import CHECKS, FOREIGN_KEYS, NULLABLE, PRIMARY_KEYS, VARCHAR
+
+    parts = []
+
+    def row(table: str, kind: str, name: str, count: str) -> None:
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{kind}' AS kind, '{name.replace(chr(39), chr(39) * 2)}' AS constraint_name, "
+            f"CAST(({count}) AS BIGINT) AS violations"
+        )
+
+    for table, (view, cols) in _GOLD_VIEWS.items():
+        for c in cols:
+            if c not in NULLABLE.get(table, set()):
+                row(table, "not_null", f"not_null({c})", f"SELECT count(*) FROM {view} WHERE {c} IS NULL")
+        for cond in CHECKS.get(table, []):
+            row(table, "check", f"check({cond})", f"SELECT count(*) FROM {view} WHERE NOT ({cond})")
+        for c, n in VARCHAR.get(table, {}).items():
+            row(table, "varchar", f"varchar({c},{n})", f"SELECT count(*) FROM {view} WHERE length({c}) > {n}")
+        pk = PRIMARY_KEYS[table]
+        keys = ", ".join(pk)
+        not_null = " AND ".join(f"{k} IS NOT NULL" for k in pk)
+        row(
+            table,
+            "primary_key",
+            f"unique({','.join(pk)})",
+            f"SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM {view} WHERE {not_null} "
+            f"GROUP BY {keys} HAVING count(*) > 1)",
+        )
+    for child, key, parent, parent_key in FOREIGN_KEYS:
+        cview, pview = _GOLD_VIEWS[child][0], _GOLD_VIEWS[parent][0]
+        row(
+            child,
+            "foreign_key",
+            f"fk({key}->{parent}.{parent_key})",
+            f"SELECT count(*) FROM {cview} c WHERE c.{key} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {pview} p WHERE p.{parent_key} = c.{key})",
+        )
+    return _q("\nUNION ALL ".join(parts))
+
+
+ORACLE_SQL["constraint_report"] = _constraint_sql()

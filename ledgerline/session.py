@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -38,6 +38,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/ledgerline/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back.
+
+    Cuts the lineage: later plans read the written files instead of
+    recomputing ``df``, and a lost executor costs a re-read, not a recompute.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench: UTC, AQE on, no UI."""
     spark = (

@@ -52,7 +52,9 @@ def broker_messages(spark: SparkSession, bootstrap: str, topic: str) -> DataFram
 
 def file_messages(spark: SparkSession, inbox: str) -> DataFrame:
     """Messages dropped as JSON-lines files ``{"value": ..., "timestamp": ...}`` in ``inbox``."""
-    return spark.readStream.schema(MESSAGE_SCHEMA).json(inbox)
+    from ledgerline.sources.raw import JSON_TIMESTAMP
+
+    return spark.readStream.option("timestampFormat", JSON_TIMESTAMP).schema(MESSAGE_SCHEMA).json(inbox)
 
 
 def land_events(messages: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
