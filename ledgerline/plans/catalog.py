@@ -8,7 +8,7 @@ queries (which let Catalyst optimise raw -> report in one plan).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,28 @@ from ledgerline.session import materialize
 from ledgerline.sources import testdata
 
 
+class LazyTables(Mapping):
+    """A read-only name -> DataFrame mapping that builds each table on first access."""
+
+    def __init__(self, names: list[str], build: Callable[[str], DataFrame]):
+        self._names = list(names)
+        self._build = build
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 class Lake:
     """Silver and gold tables derived from the raw datasets ``raw``.
 
@@ -26,16 +48,30 @@ class Lake:
     stream landing of events, or ``None`` when the stream has never run.
     """
 
-    def __init__(self, raw: dict[str, DataFrame], stream: DataFrame | None = None):
+    def __init__(
+        self,
+        raw: Mapping[str, DataFrame],
+        stream: DataFrame | None = None,
+        stream_builder: Callable[[], DataFrame] | None = None,
+    ):
         self.raw = raw
-        self.stream = stream
+        self._stream = stream
+        self._stream_builder = stream_builder
+
+    @property
+    def stream(self) -> DataFrame | None:
+        if self._stream is None and self._stream_builder is not None:
+            self._stream = self._stream_builder()
+        return self._stream
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Lake":
         from ledgerline.streaming.landing import parse_messages
 
-        stream = parse_messages(testdata.event_messages(spark, sf_dir))
-        return cls(testdata.raw_tables(spark, sf_dir), stream)
+        return cls(
+            LazyTables(testdata.RAW_TABLES, lambda t: testdata.raw_table(spark, sf_dir, t)),
+            stream_builder=lambda: parse_messages(testdata.event_messages(spark, sf_dir)),
+        )
 
     # ---- silver ------------------------------------------------------------
     @cached_property
@@ -109,16 +145,18 @@ class Lake:
         return gold.agg_cohort_ltv(self.dim_customer, self.fct_payments)
 
 
+GOLD_TABLES = ["dim_customer", "dim_merchant", "dim_date", "fct_payments", "agg_daily_kpis", "agg_cohort_ltv"]
+
+
 class Gold:
     """The gold tables a report needs; built from a :class:`Lake` or read from disk."""
 
-    def __init__(self, tables: dict[str, DataFrame]):
+    def __init__(self, tables: Mapping[str, DataFrame]):
         self.tables = tables
 
     @classmethod
     def of(cls, lake: Lake) -> "Gold":
-        names = ["dim_customer", "dim_merchant", "dim_date", "fct_payments", "agg_daily_kpis", "agg_cohort_ltv"]
-        return cls({n: getattr(lake, n) for n in names})
+        return cls(LazyTables(GOLD_TABLES, lambda n: getattr(lake, n)))
 
     @classmethod
     def materialized(cls, lake: Lake) -> "Gold":

@@ -97,10 +97,15 @@ def read_silver(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
 
 # ---- gold ------------------------------------------------------------------
 
-# Tables partitioned by a date column in gold (so one day can be rewritten or
-# pruned); the others are small and written whole.
-# Value: (partition column, secondary key that splits a heavy day across tasks).
+# Date-partitioned gold tables: table -> (date column, secondary clustering key).
+# Directories are per calendar month of the date (``date_month=YYYY-MM-01``);
+# inside a month, rows are range-clustered on (date, key), so every file covers
+# a narrow date range and Parquet min/max statistics skip files for day filters.
+# A month directory per ~30 days keeps the file count near (tasks + months) even
+# when a day holds only a few rows, while a month holding a third of all rows is
+# still spread over many tasks by the clustering key.
 GOLD_PARTITIONS = {"fct_payments": ("date_key", "payment_id")}
+MONTH_COLUMN = "date_month"
 
 
 def new_gold_version() -> str:
@@ -108,17 +113,17 @@ def new_gold_version() -> str:
 
 
 def write_gold(df: DataFrame, layout: Layout, version: str, table: str) -> str:
-    """Write one gold table into an unpublished version folder.
-
-    A date-partitioned table is first range-partitioned on (date, payment id):
-    each task then holds a contiguous slice, so the writer emits few files per
-    day, and a day holding a third of all rows is still split across tasks by
-    the second key.
-    """
+    """Write one gold table into an unpublished version folder."""
     path = layout.gold(version, table)
     if table in GOLD_PARTITIONS:
-        part, spread = GOLD_PARTITIONS[table]
-        df.repartitionByRange(part, spread).write.mode("overwrite").partitionBy(part).parquet(path)
+        day, key = GOLD_PARTITIONS[table]
+        (
+            df.repartitionByRange(day, key)
+            .withColumn(MONTH_COLUMN, F.trunc(day, "MM"))
+            .write.mode("overwrite")
+            .partitionBy(MONTH_COLUMN)
+            .parquet(path)
+        )
     else:
         df.write.mode("overwrite").parquet(path)
     return path
@@ -136,5 +141,10 @@ def current_gold_version(spark: SparkSession, layout: Layout) -> str:
 
 
 def read_gold(spark: SparkSession, layout: Layout, table: str, version: str | None = None) -> DataFrame:
+    """A published (or given) version of a gold table.
+
+    A partitioned table also exposes its ``date_month`` partition column;
+    filtering on it prunes whole month directories.
+    """
     version = version or current_gold_version(spark, layout)
     return spark.read.parquet(layout.gold(version, table))
