@@ -51,3 +51,51 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("timestampFormat", JSON_TIMESTAMP).json(path)
+
+
+# ---- A raw landing folder --------------------------------------------------------
+
+# File (or folder) names of the seven raw datasets inside a landing folder.
+LANDING_FILES = {
+    "customers": "customers.csv",
+    "merchants": "merchants.csv",
+    "payments": "payments.csv",
+    "chargebacks": "chargebacks.csv",
+    "fx_rates": "fx_rates.csv",
+    "events": "events.jsonl",
+    "blacklist": "denylist.json",
+}
+
+
+def read_landing(spark: SparkSession, raw_dir: str, multi_line_denylist: bool = True) -> dict[str, DataFrame]:
+    """The seven raw datasets of one run from a landing folder, schemas pinned.
+
+    The denylist is one pretty-printed JSON document as the service serves it
+    (``multi_line_denylist=True``) or JSON lines of documents.
+    """
+    from ledgerline.schemas import RAW_SCHEMAS
+
+    root = raw_dir.rstrip("/")
+    out = {}
+    for table, name in LANDING_FILES.items():
+        path = f"{root}/{name}"
+        if table == "events":
+            out[table] = read_jsonl_raw(spark, path, RAW_SCHEMAS[table])
+        elif table == "blacklist":
+            out[table] = read_denylist(spark, path, multi_line=multi_line_denylist)
+        else:
+            out[table] = read_csv_raw(spark, path, RAW_SCHEMAS[table])
+    return out
+
+
+def write_landing(raw: dict[str, DataFrame], denylist_documents: DataFrame, raw_dir: str) -> None:
+    """Land raw datasets in the layout :func:`read_landing` reads (one folder per file name)."""
+    root = raw_dir.rstrip("/")
+    for table, name in LANDING_FILES.items():
+        path = f"{root}/{name}"
+        if table == "events":
+            write_jsonl(raw[table], path)
+        elif table == "blacklist":
+            denylist_documents.write.mode("overwrite").json(path)
+        else:
+            write_csv(raw[table], path)

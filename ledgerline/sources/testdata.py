@@ -84,10 +84,10 @@ def payment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Built once per session and folder (payments and chargebacks share it).
 
-    One payment per (order key, line number) of ``lineitem``. The line table is
-    hash-partitioned on the order key once: that single exchange serves both the
-    per-line aggregate (its keys include the order key) and the join with
-    ``orders``.
+    One payment per (order key, line number) of ``lineitem``. The per-line
+    aggregate runs map-side first, so an order key holding a large share of the
+    lines collapses to at most one row per line number inside each task before
+    anything is shuffled.
     """
     key = (id(spark._jsparkSession), f"payment_lines:{sf_dir}")
     if key not in _READS:
@@ -104,7 +104,6 @@ def _payment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_suppkey",
             "l_extendedprice",
         )
-        .repartition("ok")
         .groupBy("ok", "ln")
         .agg(
             F.min("l_suppkey").alias("sk"),

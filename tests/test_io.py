@@ -106,3 +106,20 @@ def test_csv_and_jsonl_round_trip(spark, tmp_root):
     ev = testdata.raw_events(spark, SF_SMALL)
     raw.write_jsonl(ev, f"{tmp_root}/e")
     assert raw.read_jsonl_raw(spark, f"{tmp_root}/e", EVENTS).exceptAll(ev).count() == 0
+
+
+def test_landing_folder_round_trip_and_cli_refresh(spark, tmp_root):
+    from ledgerline.__main__ import main
+    from ledgerline.sources import raw
+
+    raw.write_landing(testdata.raw_tables(spark, SF_SMALL), testdata.denylist_documents(spark, SF_SMALL), f"{tmp_root}/raw")
+    landed = raw.read_landing(spark, f"{tmp_root}/raw", multi_line_denylist=False)
+    expected = testdata.raw_tables(spark, SF_SMALL)
+    for table in raw.LANDING_FILES:
+        assert landed[table].exceptAll(expected[table]).count() == 0, table
+        assert landed[table].count() == expected[table].count(), table
+    rc = main(["refresh", "--root", f"{tmp_root}/lake", "--ds", "d1", "--raw-dir", f"{tmp_root}/raw",
+               "--denylist-format", "lines", "--gate", "silver_payments", "--gate", "gold_fct_payments"])
+    assert rc == 0
+    assert refresh.published_gold(spark, Layout(f"{tmp_root}/lake"))["fct_payments"].count() == 3245
+    assert main(["validate", "bronze_payments", "--root", f"{tmp_root}/lake", "--ds", "d1"]) == 1
