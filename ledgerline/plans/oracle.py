@@ -241,9 +241,9 @@ o_merchant_stats AS (
 o_customer_risk_stats AS (
     SELECT p.customer_id, count(*) AS total_payments,
            count(*) FILTER (WHERE p.has_chargeback) AS chargebacks,
-           sum(p.amount_usd) AS total_volume_usd,
-           sum(CASE WHEN m.risk_level = 'high' OR m.category IN ('crypto', 'gaming') THEN p.amount_usd ELSE 0 END)
-               AS risky_volume_usd
+           CAST(sum(p.amount_usd) AS DECIMAL(28,4)) AS total_volume_usd,
+           CAST(sum(CASE WHEN m.risk_level = 'high' OR m.category IN ('crypto', 'gaming') THEN p.amount_usd ELSE 0 END)
+               AS DECIMAL(28,4)) AS risky_volume_usd
     FROM o_fct p JOIN o_dim_merchant m ON m.merchant_id = p.merchant_id
     GROUP BY p.customer_id
 ),

@@ -46,14 +46,14 @@ ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given test table. The test tables are read-only, so one read per
     session and path is reused (saves the file listing on every query)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (spark.sparkContext.applicationId, id(spark), path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]
@@ -89,7 +89,7 @@ def payment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines collapses to at most one row per line number inside each task before
     anything is shuffled.
     """
-    key = (id(spark._jsparkSession), f"payment_lines:{sf_dir}")
+    key = (spark.sparkContext.applicationId, id(spark), f"payment_lines:{sf_dir}")
     if key not in _READS:
         _READS[key] = _payment_lines(spark, sf_dir)
     return _READS[key]
