@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,4)"
+MONEY_SUM = "decimal(28,4)"  # a sum of money values, as Spark types sum(decimal(18,4))
 RATE = "decimal(18,6)"
 RATIO = "decimal(6,5)"
 REPORT = "decimal(20,2)"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.money import count_ratio, exceeds_ratio, pct_2dp, round2
+from ledgerline.functions.money import MONEY_SUM, count_ratio, exceeds_ratio, pct_2dp, round2
 from ledgerline.schemas import RISKY_CATEGORIES
 
 # --- Fixed values: report thresholds ------------------------------------------
@@ -98,17 +98,27 @@ def high_risk_merchants(stats: DataFrame) -> DataFrame:
 
 
 def customer_risk_stats(fct: DataFrame, dim_merch: DataFrame) -> DataFrame:
-    """Per customer: payments, chargebacks, USD volume, volume at risky merchants."""
+    """Per customer: payments, chargebacks, USD volume, volume at risky merchants.
+
+    The fact is first summed per (customer, merchant) — repeat purchases and a
+    heavy pair collapse map-side — so the merchant join carries one row per
+    pair instead of one per payment; the per-customer totals are sums of those
+    exact partial sums.
+    """
+    pairs = fct.groupBy("customer_id", "merchant_id").agg(
+        F.count("*").alias("_n"),
+        F.count_if("has_chargeback").alias("_cb"),
+        F.sum("amount_usd").alias("_vol"),
+    )
     risky = (F.col("risk_level") == "high") | F.col("category").isin(*RISKY_CATEGORIES)
     return (
-        fct.select("customer_id", "merchant_id", "has_chargeback", "amount_usd")
-        .join(dim_merch.select("merchant_id", "category", "risk_level"), "merchant_id")
+        pairs.join(dim_merch.select("merchant_id", "category", "risk_level"), "merchant_id")
         .groupBy("customer_id")
         .agg(
-            F.count("*").alias("total_payments"),
-            F.count_if("has_chargeback").alias("chargebacks"),
-            F.sum("amount_usd").alias("total_volume_usd"),
-            F.sum(F.when(risky, F.col("amount_usd")).otherwise(F.lit(0))).alias("risky_volume_usd"),
+            F.sum("_n").alias("total_payments"),
+            F.sum("_cb").alias("chargebacks"),
+            F.sum("_vol").cast(MONEY_SUM).alias("total_volume_usd"),
+            F.sum(F.when(risky, F.col("_vol")).otherwise(F.lit(0))).cast(MONEY_SUM).alias("risky_volume_usd"),
         )
     )
 

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 def write_table(df: DataFrame, url: str, table: str, properties: dict[str, str], num_partitions: int = 8) -> None:
     """Replace the rows of ``table`` with ``df`` (truncate keeps the DDL, keys and checks).
 
-    At most ``num_partitions`` concurrent connections write, each in batches.
+    At most ``num_partitions`` concurrent connections write, each in batches;
+    the upstream plan keeps its own parallelism (repartition, not coalesce).
     """
     (
-        df.coalesce(num_partitions)
+        df.repartition(num_partitions)
         .write.mode("overwrite")
         .option("truncate", "true")
         .option("batchsize", "10000")

@@ -37,6 +37,12 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     ).select("event.*", "kafka_ts")
 
 
+# Upper bound on one micro-batch: a backlog is drained as several bounded
+# batches (availableNow honours these limits) instead of one giant batch.
+MAX_OFFSETS_PER_BATCH = 5_000_000
+MAX_FILES_PER_BATCH = 1_000
+
+
 def broker_messages(spark: SparkSession, bootstrap: str, topic: str) -> DataFrame:
     """The topic as a stream of messages (needs the Kafka connector on the classpath)."""
     return (
@@ -45,6 +51,7 @@ def broker_messages(spark: SparkSession, bootstrap: str, topic: str) -> DataFram
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
         .option("failOnDataLoss", "false")
+        .option("maxOffsetsPerTrigger", MAX_OFFSETS_PER_BATCH)
         .load()
         .select("value", "timestamp")
     )
@@ -54,7 +61,12 @@ def file_messages(spark: SparkSession, inbox: str) -> DataFrame:
     """Messages dropped as JSON-lines files ``{"value": ..., "timestamp": ...}`` in ``inbox``."""
     from ledgerline.sources.raw import JSON_TIMESTAMP
 
-    return spark.readStream.option("timestampFormat", JSON_TIMESTAMP).schema(MESSAGE_SCHEMA).json(inbox)
+    return (
+        spark.readStream.option("timestampFormat", JSON_TIMESTAMP)
+        .option("maxFilesPerTrigger", MAX_FILES_PER_BATCH)
+        .schema(MESSAGE_SCHEMA)
+        .json(inbox)
+    )
 
 
 def land_events(messages: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
