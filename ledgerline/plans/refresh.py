@@ -10,6 +10,9 @@ Optional quality gates stop a run before it publishes.
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,6 +25,7 @@ from ledgerline.sources.lake import Layout
 from ledgerline.streaming.landing import read_landing
 
 LOG = logging.getLogger(__name__)
+T = TypeVar("T")
 
 RAW_TABLES = ["customers", "merchants", "payments", "chargebacks", "fx_rates", "events", "blacklist"]
 SILVER_TABLES = ["customers", "merchants", "payments", "chargebacks", "fx_rates", "events", "blacklist"]
@@ -31,15 +35,32 @@ GOLD_TABLES = ["dim_customer", "dim_merchant", "dim_date", "fct_payments", "agg_
 _NO_LANDING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def bronze_ingest(spark: SparkSession, layout: Layout, ds: str, raw: dict[str, DataFrame]) -> dict[str, int]:
+# Independent writes of one layer are submitted as concurrent Spark jobs, so
+# small tables do not leave the cluster idle while they run one after another.
+WRITE_PARALLELISM = 4
+
+
+def run_concurrently(tasks: dict[str, Callable[[], T]], parallelism: int = WRITE_PARALLELISM) -> dict[str, T]:
+    """Run independent job functions from driver threads; re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        futures = {name: pool.submit(task) for name, task in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
+def bronze_ingest(spark: SparkSession, layout: Layout, ds: str, raw: Mapping[str, DataFrame]) -> dict[str, int]:
     """Land every raw dataset as bronze partition ``dt=<ds>``; return rows per table."""
-    counts = {}
-    for table in RAW_TABLES:
-        obs = Observation(f"bronze_{table}")
-        lake.write_bronze(raw[table].observe(obs, F.count(F.lit(1)).alias("rows")), layout, table, ds)
-        counts[table] = obs.get["rows"]
-        LOG.info("bronze %s dt=%s: %d rows", table, ds, counts[table])
-    return counts
+
+    def ingest(table: str) -> Callable[[], int]:
+        def run() -> int:
+            obs = Observation(f"bronze_{table}")
+            lake.write_bronze(raw[table].observe(obs, F.count(F.lit(1)).alias("rows")), layout, table, ds)
+            rows = obs.get["rows"]
+            LOG.info("bronze %s dt=%s: %d rows", table, ds, rows)
+            return rows
+
+        return run
+
+    return run_concurrently({t: ingest(t) for t in RAW_TABLES})
 
 
 def read_stream_landing(spark: SparkSession, layout: Layout) -> DataFrame | None:
@@ -63,24 +84,24 @@ def silver_refresh(spark: SparkSession, layout: Layout, ds: str) -> dict[str, in
     fx_rates = clean.clean_fx_rates(b["fx_rates"])
     denylist = clean.distinct_denylist(b["blacklist"])
 
+    outputs = {
+        "customers": enrich.enrich_customers(customers, denylist),
+        "merchants": merchants,
+        "chargebacks": chargebacks,
+        "fx_rates": fx_rates,
+        "blacklist": denylist,
+    }
     stream = read_stream_landing(spark, layout)
     if stream is None:
-        silver_events = clean.clean_events(b["events"])
+        outputs["events"] = clean.clean_events(b["events"])
     else:
-        _, bad = events.split_malformed(events.align_stream(stream))
-        lake.write_silver(bad, layout, "events_quarantine")
-        silver_events = clean.clean_events(events.union_dedupe(b["events"], stream))
+        _, outputs["events_quarantine"] = events.split_malformed(events.align_stream(stream))
+        outputs["events"] = clean.clean_events(events.union_dedupe(b["events"], stream))
 
     drops = Observation("silver_drops")
-    silver_payments = enrich.enrich_payments_observed(payments, customers, merchants, fx_rates, chargebacks, drops)
-
-    lake.write_silver(enrich.enrich_customers(customers, denylist), layout, "customers")
-    lake.write_silver(merchants, layout, "merchants")
-    lake.write_silver(silver_payments, layout, "payments")
-    lake.write_silver(chargebacks, layout, "chargebacks")
-    lake.write_silver(fx_rates, layout, "fx_rates")
-    lake.write_silver(silver_events, layout, "events")
-    lake.write_silver(denylist, layout, "blacklist")
+    outputs["payments"] = enrich.enrich_payments_observed(payments, customers, merchants, fx_rates, chargebacks, drops)
+
+    run_concurrently({t: (lambda t=t, df=df: lake.write_silver(df, layout, t)) for t, df in outputs.items()})
     counts = dict(drops.get)
     for rule, n in counts.items():
         if n:
@@ -96,16 +117,27 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = False) -> str
     """
     version = lake.new_gold_version()
     silver = {t: lake.read_silver(spark, layout, t) for t in ("customers", "merchants", "payments")}
-    lake.write_gold(gold.dim_customer(silver["customers"]), layout, version, "dim_customer")
-    lake.write_gold(gold.dim_merchant(silver["merchants"]), layout, version, "dim_merchant")
-    lake.write_gold(gold.fct_payments(silver["payments"]), layout, version, "fct_payments")
+
+    def write(table: str, df: DataFrame) -> Callable[[], str]:
+        return lambda: lake.write_gold(df, layout, version, table)
+
+    run_concurrently(
+        {
+            "dim_customer": write("dim_customer", gold.dim_customer(silver["customers"])),
+            "dim_merchant": write("dim_merchant", gold.dim_merchant(silver["merchants"])),
+            "fct_payments": write("fct_payments", gold.fct_payments(silver["payments"])),
+        }
+    )
     fct = lake.read_gold(spark, layout, "fct_payments", version)
     dim_customer = lake.read_gold(spark, layout, "dim_customer", version)
-    lake.write_gold(gold.dim_date(fct), layout, version, "dim_date")
-    lake.write_gold(gold.agg_daily_kpis(fct), layout, version, "agg_daily_kpis")
-    lake.write_gold(gold.agg_cohort_ltv(dim_customer, fct), layout, version, "agg_cohort_ltv")
+    tasks = {
+        "dim_date": write("dim_date", gold.dim_date(fct)),
+        "agg_daily_kpis": write("agg_daily_kpis", gold.agg_daily_kpis(fct)),
+        "agg_cohort_ltv": write("agg_cohort_ltv", gold.agg_cohort_ltv(dim_customer, fct)),
+    }
     if gate:
-        quality.validate(fct, "gold_fct_payments")
+        tasks["gate"] = lambda: quality.validate(fct, "gold_fct_payments")
+    run_concurrently(tasks)
     lake.publish_gold(spark, layout, version)
     return version
 
@@ -119,7 +151,7 @@ def full_refresh(
     spark: SparkSession,
     layout: Layout,
     ds: str,
-    raw: dict[str, DataFrame],
+    raw: Mapping[str, DataFrame],
     gates: tuple[str, ...] = (),
 ) -> dict:
     """Bronze -> silver -> gold for one run date, with the requested quality gates.

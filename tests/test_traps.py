@@ -141,3 +141,20 @@ def test_denylist_document_is_exploded(spark, tmp_root):
     assert [r.customer_id for r in rows] == ["c1", "c2", "c1"]
     assert {r.blacklist_updated_at for r in rows} == {"2024-03-31T23:59:59+00:00"}
     assert clean.distinct_denylist(raw_io.read_denylist(spark, path)).count() == 2
+
+
+def test_null_payment_date_is_its_own_drop_rule(spark):
+    p, c, m, fx, cb = frames(spark, [payment(), payment(pid="p2", created=None), payment(pid="p3", created=ts(2023, 6, 1))])
+    report = {r.rule: r.dropped for r in enrich.drop_report(p, c, m, fx).collect()}
+    assert report["null_date"] == 1 and report["pre_signup"] == 1
+    assert enrich.enrich_payments(p, c, m, fx, cb).count() == 1
+
+
+def test_tiny_payment_rounds_to_zero_usd_and_fails_the_silver_gate(spark):
+    from ledgerline.operators.quality import SuiteFailed, validate
+
+    p, c, m, fx, cb = frames(spark, [payment(amount="0.01")])
+    silver = enrich.enrich_payments(p, c, m, fx, cb)
+    assert silver.first().amount_usd == Decimal("0.0000")
+    with pytest.raises(SuiteFailed, match=r"between\(amount_usd\)=1"):
+        validate(silver, "silver_payments")
