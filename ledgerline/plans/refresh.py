@@ -28,7 +28,6 @@ LOG = logging.getLogger(__name__)
 T = TypeVar("T")
 
 RAW_TABLES = ["customers", "merchants", "payments", "chargebacks", "fx_rates", "events", "blacklist"]
-SILVER_TABLES = ["customers", "merchants", "payments", "chargebacks", "fx_rates", "events", "blacklist"]
 GOLD_TABLES = ["dim_customer", "dim_merchant", "dim_date", "fct_payments", "agg_daily_kpis", "agg_cohort_ltv"]
 
 # Errors meaning "the stream landing does not exist yet"; anything else is raised.
