@@ -76,3 +76,59 @@ def test_merchant_rollup_aggregates_before_the_join(spark):
     join_at = next(i for i, line in enumerate(lines) if "Join" in line and "merchant_id" in line)
     # below the join (deeper lines), the fact side is already a partial aggregate
     assert any("partial_count" in line for line in lines[join_at:])
+
+
+def test_hot_customer_join_is_split_by_adaptive_execution(spark):
+    """One customer holds a third of all payments; no side is broadcast.
+
+    Adaptive execution must split the hot customer's partition (the final plan
+    shows a skew-split sort-merge join) and the result must not change.
+    """
+    from datetime import date, datetime
+    from decimal import Decimal
+
+    from ledgerline.operators import enrich
+
+    n = 6000
+    pays = spark.range(n).select(
+        F.concat(F.lit("p"), F.col("id")).alias("payment_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), F.col("id") % 500)).alias("customer_id"),
+        F.concat(F.lit("m"), F.col("id") % 7).alias("merchant_id"),
+        F.lit(Decimal("10.0000")).cast("decimal(18,4)").alias("amount_original"),
+        F.lit("USD").alias("currency"),
+        F.lit("captured").alias("status"),
+        F.lit("card").alias("method"),
+        F.lit(datetime(2024, 2, 1, 12)).cast("timestamp").alias("created_at_utc"),
+        F.lit(datetime(2024, 2, 1, 12)).cast("timestamp").alias("updated_at_utc"),
+    )
+    customers = spark.range(500).select(F.concat(F.lit("c"), F.col("id")).alias("customer_id")).union(
+        spark.createDataFrame([("hot",)], "customer_id string")
+    ).select("customer_id", F.lit(date(2024, 1, 1)).alias("signup_date"))
+    merchants = spark.range(7).select(F.concat(F.lit("m"), F.col("id")).alias("merchant_id"))
+    fx = spark.createDataFrame([(date(2024, 2, 1), "USD", "USD", Decimal("1.000000"))], "date date, from_ccy string, to_ccy string, rate decimal(18,6)")
+    chargebacks = spark.createDataFrame([], "payment_id string, reason_code string, filed_at timestamp")
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = enrich.join_keys(pays, customers, merchants)
+        assert len(joined.collect()) == n
+        final = plan_of(joined, "simple")
+        assert "isFinalPlan=true" in final and "skew=true" in final
+        silver = enrich.enrich_payments(pays, customers, merchants, fx, chargebacks)
+        assert silver.where(F.col("customer_id") == "hot").count() == n // 3
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
