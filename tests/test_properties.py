@@ -1,0 +1,86 @@
+"""Property tests: the ratio and rounding helpers against exact rational arithmetic.
+
+Each example evaluates a whole batch of random inputs in one Spark job.
+"""
+
+from __future__ import annotations
+
+from datetime import date
+from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ledgerline.functions.dates import months_between_calendar
+from ledgerline.functions.money import exceeds_ratio, half_up_ratio, pct_2dp
+
+SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+def half_up(q: Fraction, places: int) -> Decimal:
+    scaled = q * 10**places
+    n = (2 * scaled.numerator + scaled.denominator) // (2 * scaled.denominator)
+    return Decimal(n).scaleb(-places)
+
+
+counts = st.lists(st.tuples(st.integers(0, 10**9), st.integers(1, 10**9)), min_size=1, max_size=300)
+# (part, whole) in ten-thousandths of a dollar; a share of a volume: part <= whole.
+money = st.lists(
+    st.tuples(st.integers(0, 10**16), st.integers(1, 10**16)).map(lambda t: (min(t), max(t))),
+    min_size=1,
+    max_size=300,
+)
+
+
+@SETTINGS
+@given(counts)
+def test_pct_of_counts_is_exactly_rounded(spark, pairs):
+    df = spark.createDataFrame(pairs, "a long, b long").select("a", "b", pct_2dp(F.col("a"), F.col("b")).alias("p"))
+    for r in df.collect():
+        assert r.p == half_up(Fraction(r.a * 100, r.b), 2), (r.a, r.b, r.p)
+
+
+@SETTINGS
+@given(money)
+def test_pct_of_money_is_exactly_rounded(spark, pairs):
+    rows = [(Decimal(a).scaleb(-4), Decimal(b).scaleb(-4)) for a, b in pairs]
+    df = spark.createDataFrame(rows, "a decimal(28,4), b decimal(28,4)")
+    out = df.select("a", "b", pct_2dp(F.col("a"), F.col("b"), counts=False).alias("p"))
+    for r in out.collect():
+        assert r.p == half_up(Fraction(r.a) * 100 / Fraction(r.b), 2), (r.a, r.b, r.p)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 10**6), st.integers(1, 10**6)), min_size=1, max_size=300))
+def test_stored_ratio_rounds_half_up_at_five_places(spark, pairs):
+    pairs = [(a, b) for a, b in pairs if a < 10 * b]  # ratios >= 10 do not fit decimal(6,5)
+    if not pairs:
+        return
+    df = spark.createDataFrame(pairs, "a long, b long").select("a", "b", half_up_ratio(F.col("a"), F.col("b")).alias("r"))
+    for r in df.collect():
+        assert r.r == half_up(Fraction(r.a, r.b), 5), (r.a, r.b, r.r)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(-(10**9), 10**9), st.integers(-(10**9), 10**9)), min_size=1, max_size=300))
+def test_exceeds_ratio_is_exact_and_null_on_zero(spark, pairs):
+    df = spark.createDataFrame(pairs, "a long, b long")
+    out = df.select("a", "b", exceeds_ratio(F.col("a"), F.col("b"), "0.30").alias("x")).collect()
+    for r in out:
+        expected = None if r.b == 0 else Fraction(r.a, r.b) > Fraction(3, 10)
+        assert r.x == expected, (r.a, r.b, r.x)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.dates(date(1990, 1, 1), date(2040, 12, 31)), st.dates(date(1990, 1, 1), date(2040, 12, 31))), min_size=1, max_size=200))
+def test_calendar_month_difference(spark, pairs):
+    df = spark.createDataFrame(pairs, "a date, b date").select("a", "b", months_between_calendar(F.col("a"), F.col("b")).alias("m"))
+    for r in df.collect():
+        assert r.m == (r.a.year - r.b.year) * 12 + (r.a.month - r.b.month)
+
+
+def test_half_up_reference_helper():
+    assert half_up(Fraction(1, 8), 2) == Decimal("0.13") and half_up(Fraction(1, 3), 5) == Decimal("0.33333")
+    assert Decimal("0.125").quantize(Decimal("0.01"), ROUND_HALF_UP) == half_up(Fraction(1, 8), 2)
