@@ -15,4 +15,3 @@ plans/      composite jobs (bronze ingest, silver and gold refresh) and the quer
 streaming/  Structured Streaming landing of the event topic
 """
 
-__all__ = ["session"]

@@ -12,7 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(df: DataFrame, url: str, table: str, properties: dict[str, str], num_partitions: int = 8) -> None:
-    """Replace the rows of ``table`` with ``df`` (truncate keeps the DDL, keys and checks).
+    """Replace the rows of ``table`` with ``df``.
+
+    Truncation keeps the table's DDL (keys, checks, indexes); ``cascadeTruncate``
+    lets a referenced dimension be truncated, which is why tables are loaded in
+    :data:`GOLD_LOAD_ORDER`.
 
     At most ``num_partitions`` concurrent connections write, each in batches;
     the upstream plan keeps its own parallelism (repartition, not coalesce).
@@ -21,6 +25,7 @@ def write_table(df: DataFrame, url: str, table: str, properties: dict[str, str],
         df.repartition(num_partitions)
         .write.mode("overwrite")
         .option("truncate", "true")
+        .option("cascadeTruncate", "true")
         .option("batchsize", "10000")
         .jdbc(url, table, properties=properties)
     )
@@ -49,3 +54,20 @@ def read_table(
         numPartitions=num_partitions,
         properties=properties,
     )
+
+
+# Dimensions before the fact before the marts, so foreign keys always resolve.
+GOLD_LOAD_ORDER = ["dim_customer", "dim_merchant", "dim_date", "fct_payments", "agg_daily_kpis", "agg_cohort_ltv"]
+
+
+def copy_gold(tables, url: str, properties: dict[str, str]) -> None:
+    """Copy a published gold version (``Gold.tables``) into database tables.
+
+    The lake-only partition column is dropped. The lake's version stays the
+    source of truth; a failed copy is repeated from the same version.
+    """
+    for name in GOLD_LOAD_ORDER:
+        df = tables[name]
+        if "date_month" in df.columns:
+            df = df.drop("date_month")
+        write_table(df, url, name, properties)
