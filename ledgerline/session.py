@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -61,7 +62,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", os.environ.get("LEDGERLINE_DRIVER_MEMORY", "4g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
