@@ -51,7 +51,11 @@ def _timed(fn) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16))
+    spark = local_session(
+        cpus,
+        shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16),
+        advisory_partition_size=os.environ.get("BENCH_ADVISORY_PARTITION", "64m"),
+    )
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-bench-"))
 

@@ -50,12 +50,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session for tests and the bench: UTC, AQE on, no UI."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, advisory_partition_size: str = "64m"
+) -> SparkSession:
+    """A local session for tests and the bench: UTC, AQE on, no UI.
+
+    ``advisory_partition_size`` is AQE's post-shuffle target; small local data
+    needs a small target to spread reduce work over the local cores (a cluster
+    keeps 128-256 MB).
+    """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("ledgerline")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory_partition_size)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
