@@ -29,8 +29,13 @@ def shared_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
+    else:
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: jobs need a folder shared by all executors "
+            "(e.g. an HDFS or object-store path), never a machine-local temporary folder"
+        )
     return sc.getCheckpointDir().rstrip("/")
 
 
