@@ -1,8 +1,9 @@
-"""Registered I/O and streaming jobs (no SQL oracle: they are checked by rows).
+"""Registered I/O and streaming jobs.
 
 Each job maps the given test tables to raw datasets, runs a real write path
 under a fresh folder inside the session's shared checkpoint folder, and returns
-what it wrote, read back by Spark.
+what it wrote, read back by Spark. The oracle SQL states what that read-back
+must contain (the mapped data, or its row counts).
 """
 
 from __future__ import annotations

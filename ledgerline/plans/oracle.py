@@ -554,3 +554,31 @@ def _constraint_sql() -> str:
 
 
 ORACLE_SQL["constraint_report"] = _constraint_sql()
+
+
+# ---- I/O jobs: what they write and read back equals the mapped data -----------------
+
+ORACLE_SQL.update(
+    {
+        "scan_csv": _q("SELECT * FROM o_raw_payments"),
+        "scan_jsonl": _q("SELECT * FROM o_raw_events"),
+        "silver_snapshot": _q("SELECT * FROM o_customers"),
+        "silver_refresh": _q("SELECT * FROM o_silver_payments"),
+        "gold_refresh": _q("SELECT *, CAST(date_trunc('month', date_key) AS DATE) AS date_month FROM o_fct"),
+        "stream_land": _q("SELECT event_id, customer_id, type, event_ts, kafka_ts FROM o_stream"),
+        "bronze_ingest": _q(
+            """SELECT 'customers' AS table_name, count(*) AS rows FROM o_raw_customers
+UNION ALL SELECT 'merchants', count(*) FROM o_raw_merchants
+UNION ALL SELECT 'payments', count(*) FROM o_raw_payments
+UNION ALL SELECT 'chargebacks', count(*) FROM o_raw_chargebacks
+UNION ALL SELECT 'fx_rates', count(*) FROM o_raw_fx
+UNION ALL SELECT 'events', count(*) FROM o_raw_events
+UNION ALL SELECT 'blacklist', count(*) FROM o_raw_blacklist"""
+        ),
+        "bronze_partition_overwrite": _q(
+            """SELECT d.dt, p.rows, p.payment_ids
+FROM (VALUES ('2001-12-30'), ('2001-12-31')) d(dt),
+     (SELECT count(*) AS rows, count(DISTINCT payment_id) AS payment_ids FROM o_raw_payments) p"""
+        ),
+    }
+)

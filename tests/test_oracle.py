@@ -20,10 +20,8 @@ def test_query_matches_oracle(spark, key):
     assert result["match"], result
 
 
-def test_every_query_has_oracle_or_is_io():
-    from ledgerline.plans.io_jobs import IO_QUERIES
-
-    assert set(entry.queries()) == set(entry.oracle_sql()) | set(IO_QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
