@@ -8,6 +8,8 @@ Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
   (six tables, fact quality gate, publish); every layer is written to disk.
 * ``<report>``: each business report over the published gold tables
   (median of three warm runs), as users run them.
+* ``dq_silver_payments``, ``constraint_report``: the silver suite and the gold
+  key/constraint report over the written tables (median of three).
 * ``e2e_<report>``: the same report as one plan straight from the raw test
   tables (mapping, cleaning, joins, gold and report in a single query).
 """
@@ -85,6 +87,19 @@ def main() -> None:
         runs = [_timed(lambda: getattr(published, name)().collect()) for _ in range(3)]
         times[name] = statistics.median(runs)
 
+    # Quality checks over the written layers (median of three).
+    from ledgerline.operators import quality
+    from ledgerline.sources import lake as lake_io
+
+    checks = {
+        "dq_silver_payments": lambda: quality.suite_report(
+            lake_io.read_silver(spark, layout, "payments"), "silver_payments"
+        ).collect(),
+        "constraint_report": lambda: quality.constraint_report(published.tables).collect(),
+    }
+    for name, check in checks.items():
+        times[name] = statistics.median(_timed(check) for _ in range(3))
+
     for name in REPORTS:
         times[f"e2e_{name}"] = _timed(lambda: getattr(Gold.of(Lake.from_testdata(spark, sf_dir)), name)().collect())
 
