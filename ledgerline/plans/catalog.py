@@ -290,7 +290,6 @@ QUERIES: dict[str, Query] = {
     "enrich_payments": _lake_query(lambda k: k.silver_payments),
     "drop_report": _lake_query(_drop_report),
     "events_union_dedupe": _lake_query(lambda k: k.events),
-    "events_batch_only": _lake_query(lambda k: k.events_batch_only),
     "stream_parse": _stream_parse,
     # gold
     "dim_customer": _lake_query(lambda k: k.dim_customer),

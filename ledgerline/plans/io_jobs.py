@@ -87,6 +87,20 @@ def silver_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_silver(spark, layout, "payments")
 
 
+def events_batch_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver events when the stream landing was never written: the batch copy alone.
+
+    Looks for the landing of a fresh lake root (nothing there), takes the
+    fallback, and returns the batch events (not deduplicated, as the fallback
+    is specified).
+    """
+    from ledgerline.plans.catalog import Lake, LazyTables
+
+    stream = refresh.read_stream_landing(spark, _layout(spark, "no-stream"))  # None: nothing landed
+    raw_tables = LazyTables(testdata.RAW_TABLES, lambda t: testdata.raw_table(spark, sf_dir, t))
+    return Lake(raw_tables, stream=stream).events
+
+
 def _land_messages(spark: SparkSession, sf_dir: str, layout: Layout) -> None:
     inbox = f"{layout.root}/inbox/{uuid.uuid4().hex[:8]}"
     raw.write_jsonl(testdata.event_messages(spark, sf_dir), inbox)
@@ -117,6 +131,7 @@ IO_QUERIES: dict[str, Query] = {
     "bronze_ingest": bronze_ingest,
     "silver_snapshot": silver_snapshot,
     "silver_refresh": silver_refresh,
+    "events_batch_only": events_batch_only,
     "stream_land": stream_land,
     "gold_refresh": gold_refresh,
 }
