@@ -123,3 +123,22 @@ def test_landing_folder_round_trip_and_cli_refresh(spark, tmp_root):
     assert rc == 0
     assert refresh.published_gold(spark, Layout(f"{tmp_root}/lake"))["fct_payments"].count() == 3245
     assert main(["validate", "bronze_payments", "--root", f"{tmp_root}/lake", "--ds", "d1"]) == 1
+
+
+def test_cli_stream_report_and_constraints(spark, tmp_root, capsys):
+    from ledgerline.__main__ import main
+    from ledgerline.sources import raw
+
+    raw.write_jsonl(testdata.event_messages(spark, SF_SMALL), f"{tmp_root}/inbox/a")
+    assert main(["stream", "--root", f"{tmp_root}/lake", "--inbox", f"{tmp_root}/inbox/*"]) == 0
+    assert landing.read_landing(spark, f"{tmp_root}/lake/bronze/events_stream").count() == 500
+
+    layout = Layout(f"{tmp_root}/lake")
+    refresh.full_refresh(spark, layout, "d1", testdata.raw_tables(spark, SF_SMALL))
+    assert lake.read_silver(spark, layout, "events").count() == 900  # batch 800 + stream 500, deduplicated
+    capsys.readouterr()
+    assert main(["report", "chargeback_rate_by_merchant", "--root", f"{tmp_root}/lake", "--rows", "5"]) == 0
+    assert "chargeback_rate_pct" in capsys.readouterr().out
+    assert main(["constraints", "--root", f"{tmp_root}/lake"]) == 0
+    out = capsys.readouterr().out
+    assert "fk(customer_id->dim_customer.customer_id)" in out
