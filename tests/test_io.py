@@ -142,3 +142,15 @@ def test_cli_stream_report_and_constraints(spark, tmp_root, capsys):
     assert main(["constraints", "--root", f"{tmp_root}/lake"]) == 0
     out = capsys.readouterr().out
     assert "fk(customer_id->dim_customer.customer_id)" in out
+
+
+def test_rerun_of_a_run_date_is_idempotent(spark, tmp_root):
+    layout = Layout(tmp_root)
+    first = refresh.full_refresh(spark, layout, "d1", testdata.raw_tables(spark, SF_SMALL))
+    kpis_1 = sorted(refresh.published_gold(spark, layout)["agg_daily_kpis"].collect())
+    second = refresh.full_refresh(spark, layout, "d1", testdata.raw_tables(spark, SF_SMALL))
+    assert first["bronze"] == second["bronze"] and first["silver_drops"] == second["silver_drops"]
+    assert second["gold_version"] != first["gold_version"]
+    assert lake.current_gold_version(spark, layout) == second["gold_version"]
+    assert sorted(refresh.published_gold(spark, layout)["agg_daily_kpis"].collect()) == kpis_1
+    assert lake.read_bronze(spark, layout, "payments", "d1").count() == 4599
