@@ -36,7 +36,7 @@ _NO_LANDING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 # Independent writes of one layer are submitted as concurrent Spark jobs, so
 # small tables do not leave the cluster idle while they run one after another.
-WRITE_PARALLELISM = 4
+WRITE_PARALLELISM = 8
 
 
 def run_concurrently(tasks: dict[str, Callable[[], T]], parallelism: int = WRITE_PARALLELISM) -> dict[str, T]:
