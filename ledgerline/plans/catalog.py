@@ -53,10 +53,13 @@ class Lake:
         raw: Mapping[str, DataFrame],
         stream: DataFrame | None = None,
         stream_builder: Callable[[], DataFrame] | None = None,
+        fx_rows_bound: int | None = None,
     ):
         self.raw = raw
         self._stream = stream
         self._stream_builder = stream_builder
+        # A known upper bound on FX rows decides the broadcast without a count.
+        self.fx_broadcast = None if fx_rows_bound is None else fx_rows_bound <= enrich.FX_BROADCAST_MAX_ROWS
 
     @property
     def stream(self) -> DataFrame | None:
@@ -71,6 +74,7 @@ class Lake:
         return cls(
             LazyTables(testdata.RAW_TABLES, lambda t: testdata.raw_table(spark, sf_dir, t)),
             stream_builder=lambda: parse_messages(testdata.event_messages(spark, sf_dir)),
+            fx_rows_bound=testdata.FX_ROWS,
         )
 
     # ---- silver ------------------------------------------------------------
@@ -116,7 +120,7 @@ class Lake:
     @cached_property
     def silver_payments(self) -> DataFrame:
         return enrich.enrich_payments(
-            self.payments, self.customers, self.merchants, self.fx_rates, self.chargebacks
+            self.payments, self.customers, self.merchants, self.fx_rates, self.chargebacks, self.fx_broadcast
         )
 
     # ---- gold --------------------------------------------------------------
@@ -236,11 +240,11 @@ def _filter_pre_signup(lake: Lake) -> DataFrame:
 
 
 def _price_usd(lake: Lake) -> DataFrame:
-    return enrich.price_usd(_filter_pre_signup(lake), lake.fx_rates)
+    return enrich.price_usd(_filter_pre_signup(lake), lake.fx_rates, lake.fx_broadcast)
 
 
 def _drop_report(lake: Lake) -> DataFrame:
-    return enrich.drop_report(lake.payments, lake.customers, lake.merchants, lake.fx_rates)
+    return enrich.drop_report(lake.payments, lake.customers, lake.merchants, lake.fx_rates, lake.fx_broadcast)
 
 
 def _stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:

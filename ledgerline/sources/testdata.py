@@ -11,6 +11,8 @@ mapping (they create orphan keys and stream/batch overlap), not sampling.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,9 @@ EPOCH = "1995-01-01"
 DENYLIST_UPDATED_AT = "2001-12-31T23:59:59+00:00"
 # -----------------------------------------------------------------------------
 
+# Rows of the generated FX table: one quote per day and currency.
+FX_ROWS = ((date.fromisoformat(FX_LAST_DAY) - date.fromisoformat(FX_FIRST_DAY)).days + 1) * len(FX_BASES)
+
 # Ids per denylist document: documents are built per key range so that no
 # single group holds every denylisted id.
 DENYLIST_DOC_SPAN = 4096
