@@ -41,3 +41,19 @@ def test_fixture_counts_sf0001(spark):
     assert silver.agg(F.sum("amount_usd")).first()[0] == Decimal("111164423.2981")
     assert lake.dim_date.count() == 2371 and lake.agg_cohort_ltv.count() == 828
     assert lake.events.count() == 900 and lake.events_batch_only.count() == 800
+
+
+def test_mapping_invariants(spark):
+    """Generator-style invariants of the raw mapping: chargebacks only on captured or
+    refunded payments and filed after them; payment ids unique; deterministic."""
+    from ledgerline.sources import testdata
+
+    pays = testdata.raw_payments(spark, SF_SMALL)
+    cbs = testdata.raw_chargebacks(spark, SF_SMALL)
+    joined = cbs.join(pays.select("payment_id", "status", "created_at"), "payment_id", "left")
+    assert joined.where(F.col("status").isNull()).count() == 0
+    assert joined.where(~F.col("status").isin("captured", "refunded")).count() == 0
+    assert joined.where(F.to_timestamp("filed_at") <= F.to_timestamp("created_at")).count() == 0
+    assert pays.select("payment_id").distinct().count() == pays.count() == 4599
+    again = testdata.raw_payments(spark, SF_SMALL)
+    assert pays.exceptAll(again).count() == 0 and again.exceptAll(pays).count() == 0
