@@ -211,6 +211,16 @@ class Gold:
         return reports.ltv_by_cohort(self["agg_cohort_ltv"], self.cohort_size())
 
 
+def gold_schemas(spark: SparkSession) -> dict[str, "StructType"]:
+    """Schemas of the gold tables, derived by planning the operators over empty
+    raw tables (analysis only, no job runs)."""
+    from ledgerline.schemas import RAW_SCHEMAS
+
+    empty = {t: spark.createDataFrame([], schema) for t, schema in RAW_SCHEMAS.items()}
+    lake = Lake(empty, fx_rows_bound=0)
+    return {t: getattr(lake, t).schema for t in GOLD_TABLES}
+
+
 REPORTS = ["auth_rate_daily", "chargeback_rate_by_merchant", "high_risk_merchants", "fraud_signals", "ltv_by_cohort"]
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import clean, enrich, events, gold, quality
-from ledgerline.plans.catalog import Gold
+from ledgerline.plans.catalog import Gold, gold_schemas
 from ledgerline.sources import lake
 from ledgerline.sources.lake import Layout
 from ledgerline.streaming.landing import read_landing
@@ -127,8 +127,10 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = False) -> str
             "fct_payments": write("fct_payments", gold.fct_payments(silver["payments"])),
         }
     )
-    fct = lake.read_gold(spark, layout, "fct_payments", version)
-    dim_customer = lake.read_gold(spark, layout, "dim_customer", version)
+    fct = lake.read_gold(spark, layout, "fct_payments", version, schema=gold.fct_payments(silver["payments"]).schema)
+    dim_customer = lake.read_gold(
+        spark, layout, "dim_customer", version, schema=gold.dim_customer(silver["customers"]).schema
+    )
     tasks = {
         "dim_date": write("dim_date", gold.dim_date(fct)),
         "agg_daily_kpis": write("agg_daily_kpis", gold.agg_daily_kpis(fct)),
@@ -143,7 +145,8 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = False) -> str
 
 def published_gold(spark: SparkSession, layout: Layout) -> Gold:
     version = lake.current_gold_version(spark, layout)
-    return Gold({t: lake.read_gold(spark, layout, t, version) for t in GOLD_TABLES})
+    schemas = gold_schemas(spark)
+    return Gold({t: lake.read_gold(spark, layout, t, version, schemas[t]) for t in GOLD_TABLES})
 
 
 def full_refresh(

@@ -18,6 +18,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
+
+from ledgerline.schemas import RAW_SCHEMAS
 
 
 @dataclass(frozen=True)
@@ -72,16 +75,30 @@ def write_bronze(df: DataFrame, layout: Layout, table: str, ds: str) -> str:
     return path
 
 
-def read_bronze(spark: SparkSession, layout: Layout, table: str, ds: str) -> DataFrame:
-    """Exactly one run's partition (the ``dt`` filter prunes the others at planning)."""
-    return (
-        spark.read.option("basePath", layout.bronze(table))
-        .parquet(layout.bronze(table))
-        .where(F.col("dt").cast("string") == ds)
-        .drop("dt")
+def bronze_schema(table: str) -> StructType | None:
+    """Raw schema + ``_ingested_at`` + partition ``dt`` for the seven raw tables."""
+    raw = RAW_SCHEMAS.get(table)
+    if raw is None:
+        return None
+    return StructType(
+        [StructField(f.name, f.dataType, True) for f in raw.fields]
+        + [StructField("_ingested_at", TimestampType(), True), StructField("dt", StringType(), True)]
     )
 
 
+def read_bronze(spark: SparkSession, layout: Layout, table: str, ds: str) -> DataFrame:
+    """Exactly one run's partition (the ``dt`` filter prunes the others at planning).
+
+    Known tables are read with their schema, never inferred: an empty dataset
+    leaves a partition folder without data files, which inference cannot read.
+    """
+    reader = spark.read.option("basePath", layout.bronze(table))
+    schema = bronze_schema(table)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(layout.bronze(table)).where(F.col("dt").cast("string") == ds).drop("dt")
+
+
 # ---- silver ----------------------------------------------------------------
 
 
@@ -139,11 +156,29 @@ def current_gold_version(spark: SparkSession, layout: Layout) -> str:
     return spark.read.text(layout.gold_pointer).first()[0]
 
 
-def read_gold(spark: SparkSession, layout: Layout, table: str, version: str | None = None) -> DataFrame:
+def with_partition_column(table: str, schema: StructType) -> StructType:
+    """The stored schema of a gold table: partitioned tables gain ``date_month``."""
+    if table not in GOLD_PARTITIONS or MONTH_COLUMN in schema.fieldNames():
+        return schema
+    return StructType(schema.fields + [StructField(MONTH_COLUMN, DateType(), True)])
+
+
+def read_gold(
+    spark: SparkSession,
+    layout: Layout,
+    table: str,
+    version: str | None = None,
+    schema: StructType | None = None,
+) -> DataFrame:
     """A published (or given) version of a gold table.
 
     A partitioned table also exposes its ``date_month`` partition column;
-    filtering on it prunes whole month directories.
+    filtering on it prunes whole month directories. With ``schema`` (the
+    table's schema as built) nothing is inferred, so an empty partitioned
+    table reads as empty.
     """
     version = version or current_gold_version(spark, layout)
-    return spark.read.parquet(layout.gold(version, table))
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(with_partition_column(table, schema))
+    return reader.parquet(layout.gold(version, table))

@@ -154,3 +154,22 @@ def test_rerun_of_a_run_date_is_idempotent(spark, tmp_root):
     assert lake.current_gold_version(spark, layout) == second["gold_version"]
     assert sorted(refresh.published_gold(spark, layout)["agg_daily_kpis"].collect()) == kpis_1
     assert lake.read_bronze(spark, layout, "payments", "d1").count() == 4599
+
+
+def test_empty_datasets_do_not_break_the_refresh(spark, tmp_root):
+    """A day without chargebacks leaves an empty bronze partition; a day without any
+    data leaves empty partitioned gold. Both must read back as empty tables."""
+    raw = dict(testdata.raw_tables(spark, SF_SMALL))
+    raw["chargebacks"] = raw["chargebacks"].limit(0)
+    layout = Layout(f"{tmp_root}/no-chargebacks")
+    out = refresh.full_refresh(spark, layout, "d1", raw, gates=("silver_payments", "gold_fct_payments"))
+    assert out["bronze"]["chargebacks"] == 0
+    fct = refresh.published_gold(spark, layout)["fct_payments"]
+    assert fct.count() == 3245 and fct.where("has_chargeback").count() == 0
+
+    empty = {t: df.limit(0) for t, df in testdata.raw_tables(spark, SF_SMALL).items()}
+    layout = Layout(f"{tmp_root}/empty")
+    refresh.full_refresh(spark, layout, "d1", empty, gates=("silver_payments", "gold_fct_payments"))
+    g = refresh.published_gold(spark, layout)
+    assert g["fct_payments"].count() == 0 and g["dim_date"].count() == 0
+    assert g.fraud_signals().count() == 0 and g.ltv_by_cohort().count() == 0
