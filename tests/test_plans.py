@@ -132,3 +132,34 @@ def test_hot_customer_join_is_split_by_adaptive_execution(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_month_is_split_across_files_by_rebalance(spark, tmp_root):
+    """A month holding most of the fact is written by several tasks (one file each)
+    once it exceeds the advisory partition size; small months share tasks."""
+    import glob
+    from datetime import date
+
+    rows = spark.range(20000).select(
+        F.concat(F.lit("p"), F.col("id")).alias("payment_id"),
+        F.when(F.col("id") % 10 == 0, F.lit(date(2024, 2, 3))).otherwise(F.lit(date(2024, 1, 5))).alias("date_key"),
+        (F.col("id") * 7919 % 100000).cast("string").alias("filler"),
+    )
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        lake.write_gold(rows, Layout(tmp_root), "v1", "fct_payments")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    root = f"{tmp_root}/gold/v=v1/fct_payments".replace("file:", "")
+    hot = glob.glob(f"{root}/date_month=2024-01-01/*.parquet")
+    cold = glob.glob(f"{root}/date_month=2024-02-01/*.parquet")
+    assert len(hot) > 1 and len(cold) >= 1
+    back = spark.read.parquet(root)
+    assert back.count() == 20000 and back.where(F.col("date_month") == F.lit(date(2024, 1, 1))).count() == 18000
