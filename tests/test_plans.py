@@ -163,3 +163,43 @@ def test_hot_month_is_split_across_files_by_rebalance(spark, tmp_root):
     assert len(hot) > 1 and len(cold) >= 1
     back = spark.read.parquet(root)
     assert back.count() == 20000 and back.where(F.col("date_month") == F.lit(date(2024, 1, 1))).count() == 18000
+
+
+def test_hot_merchant_rollup_is_exact_without_broadcast(spark):
+    """One merchant takes a third of all payments and nothing may be broadcast:
+    the (customer, merchant) pre-aggregate collapses that merchant's repeat
+    payments before the merchant join, and the totals stay exact."""
+    from datetime import date
+    from decimal import Decimal
+
+    from ledgerline.operators import reports
+
+    n = 9000
+    fct = spark.range(n).select(
+        F.concat(F.lit("p"), F.col("id")).alias("payment_id"),
+        F.concat(F.lit("c"), F.col("id") % 300).alias("customer_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("m"), F.col("id") % 50)).alias("merchant_id"),
+        F.lit(date(2024, 2, 1)).alias("date_key"),
+        F.lit(Decimal("2.5000")).cast("decimal(18,4)").alias("amount_usd"),
+        F.lit("captured").alias("status"),
+        (F.col("id") % 97 == 0).alias("has_chargeback"),
+    )
+    merchants = spark.range(50).select(
+        F.concat(F.lit("m"), F.col("id")).alias("merchant_id"), F.lit("retail").alias("category"), F.lit("low").alias("risk_level")
+    ).union(spark.createDataFrame([("hot", "crypto", "high")], "merchant_id string, category string, risk_level string"))
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        stats = reports.customer_risk_stats(fct, merchants)
+        plan = plan_of(stats, "simple")
+        assert "BroadcastHashJoin" not in plan and "partial_sum" in plan
+        totals = stats.agg(
+            F.sum("total_payments").alias("n"), F.sum("risky_volume_usd").alias("risky"), F.sum("chargebacks").alias("cb")
+        ).first()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert totals.n == n
+    assert totals.risky == Decimal("2.5000") * (n // 3)
+    assert totals.cb == len([i for i in range(n) if i % 97 == 0])
