@@ -2,7 +2,7 @@
 
 Usage: python tests/oracle_check.py [sf_dir] [key ...]
 
-Prints one line per key: row counts, column sets and whether the
+Prints one line per key: row counts, column sets, column types and whether the
 order-insensitive multiset of rows is identical.
 """
 
@@ -39,6 +39,23 @@ def _norm(v):
     return ("v", v)
 
 
+_SPARK_TO_DUCK = {
+    "StringType()": "VARCHAR",
+    "IntegerType()": "INTEGER",
+    "LongType()": "BIGINT",
+    "ShortType()": "SMALLINT",
+    "BooleanType()": "BOOLEAN",
+    "DateType()": "DATE",
+    "TimestampNTZType()": "TIMESTAMP",
+    "DoubleType()": "DOUBLE",
+}
+
+
+def duck_type(spark_type) -> str:
+    r = repr(spark_type)
+    return _SPARK_TO_DUCK.get(r) or r.replace("DecimalType(", "DECIMAL(").replace(", ", ",")
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
@@ -63,7 +80,9 @@ def compare(spark, sf_dir: str, keys: list[str] | None = None) -> dict[str, dict
         t1 = time.time()
         rel = con.sql(oracle[key])
         d_cols = rel.columns
+        d_types = dict(zip(d_cols, (str(t) for t in rel.types)))
         d_rows = rel.fetchall()
+        s_types = {f.name: duck_type(f.dataType) for f in sdf.schema.fields}
         order = sorted(s_cols)
         s_idx = [s_cols.index(c) for c in order]
         res = {"spark_rows": len(s_rows), "oracle_rows": len(d_rows), "spark_sec": round(t1 - t0, 2)}
@@ -74,7 +93,10 @@ def compare(spark, sf_dir: str, keys: list[str] | None = None) -> dict[str, dict
             d_idx = [d_cols.index(c) for c in order]
             sc = Counter(tuple(_norm(r[i]) for i in s_idx) for r in s_rows)
             dc = Counter(tuple(_norm(r[i]) for i in d_idx) for r in d_rows)
-            res["match"] = sc == dc
+            type_diff = {c: (s_types[c], d_types[c]) for c in order if s_types[c] != d_types[c]}
+            res["match"] = sc == dc and not type_diff
+            if type_diff:
+                res["types"] = type_diff
             if sc != dc:
                 res["only_spark"] = list((sc - dc).elements())[:3]
                 res["only_oracle"] = list((dc - sc).elements())[:3]
