@@ -158,3 +158,26 @@ def test_tiny_payment_rounds_to_zero_usd_and_fails_the_silver_gate(spark):
     assert silver.first().amount_usd == Decimal("0.0000")
     with pytest.raises(SuiteFailed, match=r"between\(amount_usd\)=1"):
         validate(silver, "silver_payments")
+
+
+def test_required_field_missing_in_csv_reads_as_null_and_the_suite_catches_it(spark, tmp_root):
+    from ledgerline.operators.quality import suite_report
+    from ledgerline.schemas import PAYMENTS
+
+    path = f"{tmp_root}/payments.csv"
+    with open(path, "w") as f:
+        f.write("payment_id,customer_id,merchant_id,amount,currency,status,created_at,updated_at,method\n")
+        f.write("p1,,m1,10.5,USD,captured,2024-01-01T00:00:00+00:00,2024-01-01T00:00:00+00:00,card\n")
+        f.write("p2,c2,m1,abc,USD,captured,2024-01-01T00:00:00+00:00,2024-01-01T00:00:00+00:00,card\n")
+    df = raw_io.read_csv_raw(spark, path, PAYMENTS)
+    rows = {r.payment_id: r for r in df.collect()}
+    assert rows["p1"].customer_id is None and rows["p2"].amount is None
+    report = {(r.expectation, r.column_name): r.unexpected_count for r in suite_report(df, "bronze_payments").collect()}
+    assert report[("not_null", "customer_id")] == 1
+
+
+def test_pending_and_refunded_lower_the_authorisation_rate(spark):
+    d = date(2024, 2, 1)
+    rows = [(d, "captured", Decimal("1"), "c1", "m1", False), (d, "pending", Decimal("1"), "c2", "m1", False)]
+    k = gold.agg_daily_kpis(spark.createDataFrame(rows, FACT)).first()
+    assert k.auth_rate == Decimal("0.50000") and k.refused_payments == 0
