@@ -124,8 +124,8 @@ def new_gold_version() -> str:
     return time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + "-" + uuid.uuid4().hex[:8]
 
 
-def write_gold(df: DataFrame, layout: Layout, version: str, table: str) -> str:
-    """Write one gold table into an unpublished version folder.
+def prepare_gold(df: DataFrame, table: str) -> DataFrame:
+    """A gold table as it is written.
 
     A date-partitioned table is rebalanced on its month: rows of one month
     meet in the same tasks, so each task writes files for few months (file
@@ -136,19 +136,23 @@ def write_gold(df: DataFrame, layout: Layout, version: str, table: str) -> str:
     by (day, key), so every file covers a narrow range of days and Parquet
     min/max statistics skip files for day filters.
     """
+    if table not in GOLD_PARTITIONS:
+        return df
+    day, key = GOLD_PARTITIONS[table]
+    return (
+        df.withColumn(MONTH_COLUMN, F.trunc(day, "MM"))
+        .hint("rebalance", MONTH_COLUMN)
+        .sortWithinPartitions(day, key)
+    )
+
+
+def write_gold(df: DataFrame, layout: Layout, version: str, table: str) -> str:
+    """Write one gold table into an unpublished version folder."""
     path = layout.gold(version, table)
+    writer = prepare_gold(df, table).write.mode("overwrite")
     if table in GOLD_PARTITIONS:
-        day, key = GOLD_PARTITIONS[table]
-        (
-            df.withColumn(MONTH_COLUMN, F.trunc(day, "MM"))
-            .hint("rebalance", MONTH_COLUMN)
-            .sortWithinPartitions(day, key)
-            .write.mode("overwrite")
-            .partitionBy(MONTH_COLUMN)
-            .parquet(path)
-        )
-    else:
-        df.write.mode("overwrite").parquet(path)
+        writer = writer.partitionBy(MONTH_COLUMN)
+    writer.parquet(path)
     return path
 
 
