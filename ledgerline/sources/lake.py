@@ -53,10 +53,6 @@ class Layout:
     def stream_checkpoint(self) -> str:
         return f"{self.root}/_checkpoints/events_stream"
 
-    @property
-    def stream_quarantine(self) -> str:
-        return f"{self.root}/silver/events_quarantine"
-
 
 # ---- bronze ----------------------------------------------------------------
 
