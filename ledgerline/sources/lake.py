@@ -131,15 +131,20 @@ def prepare_gold(df: DataFrame, table: str) -> DataFrame:
     it needs no sampling pass over the input. Within each task rows are sorted
     by (day, key), so every file covers a narrow range of days and Parquet
     min/max statistics skip files for day filters.
+
+    Without adaptive execution a rebalance cannot split a hot month, so the
+    table is range-partitioned on (day, key) instead: a sampling pass, but a
+    heavy month or day is still spread over many tasks.
     """
     if table not in GOLD_PARTITIONS:
         return df
     day, key = GOLD_PARTITIONS[table]
-    return (
-        df.withColumn(MONTH_COLUMN, F.trunc(day, "MM"))
-        .hint("rebalance", MONTH_COLUMN)
-        .sortWithinPartitions(day, key)
-    )
+    with_month = df.withColumn(MONTH_COLUMN, F.trunc(day, "MM"))
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        clustered = with_month.hint("rebalance", MONTH_COLUMN)
+    else:
+        clustered = with_month.repartitionByRange(day, key)
+    return clustered.sortWithinPartitions(day, key)
 
 
 def write_gold(df: DataFrame, layout: Layout, version: str, table: str) -> str:

@@ -203,3 +203,16 @@ def test_hot_merchant_rollup_is_exact_without_broadcast(spark):
     assert totals.n == n
     assert totals.risky == Decimal("2.5000") * (n // 3)
     assert totals.cb == len([i for i in range(n) if i % 97 == 0])
+
+
+def test_fact_write_without_adaptive_execution_uses_a_range_partitioning(spark):
+    from ledgerline.operators import gold
+
+    fct = gold.fct_payments(Lake.from_testdata(spark, SF_SMALL).silver_payments)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(lake.prepare_gold(fct, "fct_payments"), "simple")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(lake.prepare_gold(fct, "fct_payments"), "simple")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "rangepartitioning(date_key" in plan
