@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import MONEY_SUM, count_ratio, exceeds_ratio, pct_2dp, round2
+from ledgerline.operators.skew import join_splitting_hot_keys
 from ledgerline.schemas import RISKY_CATEGORIES
 
 # --- Fixed values: report thresholds ------------------------------------------
@@ -112,7 +113,7 @@ def customer_risk_stats(fct: DataFrame, dim_merch: DataFrame) -> DataFrame:
     )
     risky = (F.col("risk_level") == "high") | F.col("category").isin(*RISKY_CATEGORIES)
     return (
-        pairs.join(dim_merch.select("merchant_id", "category", "risk_level"), "merchant_id")
+        join_splitting_hot_keys(pairs, dim_merch.select("merchant_id", "category", "risk_level"), "merchant_id")
         .groupBy("customer_id")
         .agg(
             F.sum("_n").alias("total_payments"),

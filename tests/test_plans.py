@@ -216,3 +216,32 @@ def test_fact_write_without_adaptive_execution_uses_a_range_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "rangepartitioning(date_key" in plan
+
+
+def test_hot_keys_are_split_explicitly_when_adaptive_skew_handling_is_off(spark):
+    """With AQE off, rows of a hot customer join a broadcast of that customer's
+    row instead of being shuffled into one task; results equal the plain join."""
+    from ledgerline.operators import enrich, skew
+
+    lake_ = Lake.from_testdata(spark, SF_SMALL)
+    expected = sorted(enrich.join_keys(lake_.payments, lake_.customers, lake_.merchants).collect())
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    old_threshold = skew.HOT_KEY_ROWS
+    try:
+        skew.HOT_KEY_ROWS = 40  # customers with more than 40 payments count as hot here
+        joined = skew.join_splitting_hot_keys(
+            lake_.payments, lake_.customers.select("customer_id", "signup_date"), "customer_id", hot_key_rows=40
+        )
+        plan = plan_of(joined, "simple")
+        assert "LeftSemi" in plan and "LeftAnti" in plan and "Union" in plan
+        hot = lake_.payments.groupBy("customer_id").count().where("count > 40").count()
+        assert hot > 0
+        split_df = enrich.join_keys(lake_.payments, lake_.customers, lake_.merchants)
+        assert "LeftSemi" in plan_of(split_df, "simple")
+        split = sorted(split_df.collect())
+        flagged = enrich.drop_report(lake_.payments, lake_.customers, lake_.merchants, lake_.fx_rates).collect()
+    finally:
+        skew.HOT_KEY_ROWS = old_threshold
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert split == expected
+    assert {r.rule: r.dropped for r in flagged}["orphan_customer"] == 57
