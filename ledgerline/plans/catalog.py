@@ -211,14 +211,20 @@ class Gold:
         return reports.ltv_by_cohort(self["agg_cohort_ltv"], self.cohort_size())
 
 
+_GOLD_SCHEMAS: dict[tuple[str, int], dict] = {}
+
+
 def gold_schemas(spark: SparkSession) -> dict[str, "StructType"]:
     """Schemas of the gold tables, derived by planning the operators over empty
-    raw tables (analysis only, no job runs)."""
+    raw tables (analysis only, no job runs); computed once per session."""
     from ledgerline.schemas import RAW_SCHEMAS
 
-    empty = {t: spark.createDataFrame([], schema) for t, schema in RAW_SCHEMAS.items()}
-    lake = Lake(empty, fx_rows_bound=0)
-    return {t: getattr(lake, t).schema for t in GOLD_TABLES}
+    key = (spark.sparkContext.applicationId, id(spark))
+    if key not in _GOLD_SCHEMAS:
+        empty = {t: spark.createDataFrame([], schema) for t, schema in RAW_SCHEMAS.items()}
+        lake = Lake(empty, fx_rows_bound=0)
+        _GOLD_SCHEMAS[key] = {t: getattr(lake, t).schema for t in GOLD_TABLES}
+    return _GOLD_SCHEMAS[key]
 
 
 REPORTS = ["auth_rate_daily", "chargeback_rate_by_merchant", "high_risk_merchants", "fraud_signals", "ltv_by_cohort"]
