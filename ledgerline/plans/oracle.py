@@ -118,6 +118,13 @@ o_stream AS (
     SELECT event_id, customer_id, type, event_ts, _ts + INTERVAL 2 SECOND AS kafka_ts FROM o_ev WHERE _id % 2 = 0
 )"""
 
+def _double_to_decimal(x: str, target: str) -> str:
+    """Spark converts a double to a decimal through its shortest decimal text and
+    rounds that half up; DuckDB's direct cast rounds the exact binary value
+    (4.15415 -> 4.1541 instead of 4.1542), so the oracle goes through text."""
+    return f"TRY_CAST(CAST({x} AS VARCHAR) AS {target})"
+
+
 CLEAN = f"""
 o_customers AS (
     SELECT customer_id, TRY_CAST(signup_date AS DATE) AS signup_date, country, marketing_channel FROM o_raw_customers
@@ -126,14 +133,15 @@ o_merchants AS (
     SELECT merchant_id, category, risk_level, {_utc('created_at')} AS created_at FROM o_raw_merchants
 ),
 o_payments AS (
-    SELECT payment_id, customer_id, merchant_id, CAST(amount AS DECIMAL(18,4)) AS amount_original,
+    SELECT payment_id, customer_id, merchant_id, {_double_to_decimal('amount', 'DECIMAL(18,4)')} AS amount_original,
            currency, status, method,
            {_utc('created_at')} AS created_at_utc, {_utc('updated_at')} AS updated_at_utc
     FROM o_raw_payments
 ),
 o_chargebacks AS (SELECT payment_id, reason_code, {_utc('filed_at')} AS filed_at FROM o_raw_chargebacks),
 o_fx AS (
-    SELECT TRY_CAST(date AS DATE) AS date, from_ccy, to_ccy, CAST(rate AS DECIMAL(18,6)) AS rate FROM o_raw_fx
+    SELECT TRY_CAST(date AS DATE) AS date, from_ccy, to_ccy, {_double_to_decimal('rate', 'DECIMAL(18,6)')} AS rate
+    FROM o_raw_fx
 ),
 o_events_batch AS (
     SELECT event_id, customer_id, type, {_utc('event_ts')} AS event_ts FROM o_raw_events
