@@ -54,7 +54,7 @@ def _iso(d: date, hour: int) -> str:
     return f"{d.isoformat()}T{hour:02d}:00:00+00:00"
 
 
-def make_raw(seed: int) -> dict[str, pd.DataFrame]:
+def make_raw(seed: int, duplicates: bool = False) -> dict[str, pd.DataFrame]:
     rnd = random.Random(seed)
     start = date(2024, 1, 1)
     days = [start + timedelta(days=i) for i in range(40)]
@@ -95,6 +95,14 @@ def make_raw(seed: int) -> dict[str, pd.DataFrame]:
             fx.append((d.isoformat(), ccy, "USD", round(base * rnd.uniform(0.95, 1.05), 6)))
         fx.append((d.isoformat(), "ARS", "EUR", 0.0011))  # foreign quote currency: ignored
     blacklist = [("c1", "2024-03-31T23:59:59+00:00"), ("c7", "2024-03-31T23:59:59+00:00"), ("c7", "2024-03-31T23:59:59+00:00")]
+    if duplicates:
+        customers.append(customers[3])  # the same customer twice: payments fan out
+        merchants.append(("m4", "gaming", "high", _iso(start, 0)))  # one merchant id, two categories
+        fx.append(fx[0])  # a duplicated quote
+        for j in range(5):  # a denylisted customer whose USD volume rounds to zero
+            payments.append((f"z{j}", "c_zero", "m1", 0.01, "ARS", "captured", _iso(days[25], 3), _iso(days[25], 3), "card"))
+        customers.append(("c_zero", days[0].isoformat(), "AR", "ads"))
+        blacklist.append(("c_zero", "2024-03-31T23:59:59+00:00"))
     cols = {t: [f.name for f in RAW_SCHEMAS[t].fields] for t in RAW_SCHEMAS}
     return {
         "customers": pd.DataFrame(customers, columns=cols["customers"]),
@@ -141,8 +149,8 @@ def oracle_rows(raw: dict[str, pd.DataFrame], key: str):
 @pytest.fixture(scope="module")
 def scenarios(spark):
     out = []
-    for seed in (1, 2):
-        raw = make_raw(seed)
+    for seed, duplicates in ((1, False), (2, False), (3, True)):
+        raw = make_raw(seed, duplicates)
         frames = {t: spark.createDataFrame(_records(raw[t]), _nullable(RAW_SCHEMAS[t])) for t in raw}
         out.append((raw, Lake(frames, fx_rows_bound=len(raw["fx_rates"]))))
     return out
@@ -195,3 +203,12 @@ def test_lake_matches_oracle_on_adversarial_raw_data(spark, scenarios, key):
         s = Counter(tuple(_norm(r[i]) for i in s_idx) for r in sdf.collect())
         d = Counter(tuple(_norm(r[i]) for i in d_idx) for r in d_rows)
         assert s == d, (key, list((s - d).elements())[:2], list((d - s).elements())[:2])
+
+
+def test_zero_volume_customer_heads_the_fraud_queue(spark, scenarios):
+    raw, lake = scenarios[2]
+    rows = Gold.of(lake).fraud_signals().collect()
+    zero = [r for r in rows if r.customer_id == "c_zero"]
+    assert zero and zero[0].signals_triggered is None and zero[0].risky_volume_pct is None
+    assert rows[0].signals_triggered is None  # NULL sorts first on the descending signal count
+
