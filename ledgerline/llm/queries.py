@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import line_dedup, simhash
+from ledgerline.llm import line_dedup, simhash, substring_dedup
 from ledgerline.llm.common import table
 from ledgerline.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -22,7 +22,21 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of 50-byte strings that start in an earlier document."""
+    out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op7_simhash": op7_simhash,
+    "op10_suffix_array": op10_suffix_array,
 }
