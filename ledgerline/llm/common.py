@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +28,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     Later plans read the files, so a lost executor costs a re-read. Afterwards
     the driver collects its garbage, which lets Spark remove the shuffle files
-    of plans that no DataFrame refers to any more.
+    of the plan that has just run (twice: listeners still hold it for a moment).
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{label}")
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for pause in (0.2, 0):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(pause)
     return out
 
 

@@ -88,19 +88,24 @@ def _chunk_regions(group: list[int], texts: list[bytes], size: int):
     data = b"".join(texts)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     begins = np.cumsum(lengths) - lengths
+    counts = lengths - size + 1  # windows of each document
     low = _window_min(_gram_hashes(data), size - GRAM + 1)
-    counts = lengths - size + 1
-    doc = np.repeat(np.arange(len(texts)), counts)
-    inside = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = begins[doc] + inside
-    anchor = low[at]
-    first = np.r_[True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]
-    since = np.arange(len(at)) - np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
-    first |= since % RUN == 0
-    starts = np.flatnonzero(first)
-    n_windows = np.diff(np.r_[starts, len(at)])
-    doc = doc[starts]
-    return data, np.asarray(group)[doc], begins[doc], at[starts], n_windows, anchor[starts]
+    edge = np.empty(len(low) + 1, bool)
+    edge[0] = True
+    np.not_equal(low[1:], low[:-1], out=edge[1:-1])
+    edge[begins] = True
+    edge[begins + counts] = True  # from here on windows would cross into the next document
+    edges = np.flatnonzero(edge)
+    starts, n_windows = edges[:-1], np.diff(edges)
+    doc = np.searchsorted(begins, starts, "right") - 1
+    inside = starts - begins[doc] < counts[doc]
+    starts, n_windows, doc = starts[inside], n_windows[inside], doc[inside]
+    if len(n_windows) and n_windows.max() > RUN:
+        parts = -(-n_windows // RUN)
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        starts, n_windows, doc = (np.repeat(x, parts) for x in (starts, n_windows, doc))
+        starts, n_windows = starts + nth * RUN, np.minimum(n_windows - nth * RUN, RUN)
+    return data, np.asarray(group)[doc], begins[doc], starts, n_windows, low[starts]
 
 
 def _ids(rows: pd.DataFrame) -> np.ndarray:

@@ -130,21 +130,31 @@ def _name(text: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 
 def _sorted_names(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of names: pairs of names become names until all differ."""
-    rank, width, n = names.astype(np.int64), 1, len(names)
-    while True:
-        order = np.argsort(rank, kind="stable")
-        ranked = rank[order]
-        if (ranked[1:] != ranked[:-1]).all():
-            return order
-        tail = np.zeros(n, np.int64)
-        tail[: n - width] = rank[width:] + 1
-        key = rank * (n + 1) + tail
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.r_[0, np.cumsum(ranked[1:] != ranked[:-1])]
+    """Order of the suffixes of a string of names.
+
+    A rank is where a group of equal names begins in the order. Each step sorts
+    the members of open groups by the rank that stands ``width`` further on,
+    and doubles ``width``; groups of one are closed.
+    """
+    n = len(names)
+    count = np.bincount(names)
+    rank = (np.cumsum(count) - count)[names]
+    live, width = np.flatnonzero(count[names] > 1), 1
+    while len(live):
+        ahead = live + width
+        key = rank[live] * (n + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
+        order = np.argsort(key)
+        live, key = live[order], key[order]
+        old = rank[live]
+        at = np.arange(len(live))
+        new_key = np.r_[True, key[1:] != key[:-1]]
+        group = np.maximum.accumulate(np.where(np.r_[True, old[1:] != old[:-1]], at, 0))
+        rank[live] = old + np.maximum.accumulate(np.where(new_key, at, 0)) - group
+        live = live[~(new_key & np.r_[new_key[1:], True])]
         width *= 2
+    order = np.empty(n, np.int64)
+    order[rank] = np.arange(n)
+    return order
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
