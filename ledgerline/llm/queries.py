@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import line_dedup, simhash, substring_dedup
+from ledgerline.llm import ctw, line_dedup, simhash, substring_dedup
 from ledgerline.llm.common import table
 from ledgerline.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
 
+def op2_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree code length of every document, beside a unigram base."""
+    return ctw.ctw_scores(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated lines of at least 40 code points in at least 5 documents."""
     out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
@@ -36,6 +41,7 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ctw": op2_ctw,
     "op4_line_dedup": op4_line_dedup,
     "op7_simhash": op7_simhash,
     "op10_suffix_array": op10_suffix_array,
