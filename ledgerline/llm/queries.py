@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ctw, line_dedup, simhash, substring_dedup
+from ledgerline.llm import ctw, decontaminate, line_dedup, simhash, substring_dedup
 from ledgerline.llm.common import table
 from ledgerline.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -27,6 +27,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold at least 0.8 of the five-word shingles of a benchmark item."""
+    found = decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+
+
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the bytes of 50-byte strings that start in an earlier document."""
     out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
@@ -44,5 +50,6 @@ QUERIES = {
     "op2_ctw": op2_ctw,
     "op4_line_dedup": op4_line_dedup,
     "op7_simhash": op7_simhash,
+    "op8_decontaminate": op8_decontaminate,
     "op10_suffix_array": op10_suffix_array,
 }
