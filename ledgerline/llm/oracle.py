@@ -23,4 +23,42 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
-ORACLE_SQL = {"op4_line_dedup": OP4}
+
+def _op9(rounds: int = 8, fraction: float = 0.5, power: float = 0.5, seed: int = 17) -> str:
+    """The raking of ``mixing.mix_sources``, one common table per step."""
+    steps = []
+    for d in ("source", "lang", "topic"):
+        steps.append(
+            f"t_{d} AS (SELECT {d}, n / sum(n) OVER () * (SELECT {fraction} * sum(tokens) FROM cells) AS target "
+            f"FROM (SELECT {d}, pow(sum(tokens), {power}) AS n FROM cells GROUP BY {d}))"
+        )
+    last = "w0"
+    steps.append("w0 AS (SELECT *, tokens::DOUBLE AS w FROM cells)")
+    for i in range(rounds):
+        for d in ("source", "lang", "topic"):
+            name = f"w_{i}_{d}"
+            steps.append(
+                f"{name} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, c.tokens, "
+                f"c.w * t.target / sum(c.w) OVER (PARTITION BY c.{d}) AS w FROM {last} c "
+                f"JOIN t_{d} t ON c.{d} IS NOT DISTINCT FROM t.{d})"
+            )
+            last = name
+    return f"""
+WITH docs AS (
+  SELECT doc_id, source, lang, len(string_split(coalesce(text, ''), ' ')) AS n_tokens,
+         CASE WHEN contains(text, '|') THEN 'table' WHEN contains(text, 'icense') THEN 'legal'
+              WHEN contains(text, '@') THEN 'contact' ELSE 'prose' END AS topic
+  FROM documents
+), cells AS MATERIALIZED (
+  SELECT source, lang, topic, sum(n_tokens) AS tokens FROM docs GROUP BY ALL
+), {", ".join(steps)}
+SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens,
+       round(least(1.0, w / tokens), 6) AS probability, round(greatest(1.0, w / tokens), 6) AS weight
+FROM docs d JOIN {last} c ON d.source IS NOT DISTINCT FROM c.source AND d.lang IS NOT DISTINCT FROM c.lang
+  AND d.topic IS NOT DISTINCT FROM c.topic
+WHERE ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0
+      < least(1.0, w / tokens)
+"""
+
+
+ORACLE_SQL = {"op4_line_dedup": OP4, "op9_mixing": _op9()}

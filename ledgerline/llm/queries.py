@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ctw, decontaminate, line_dedup, simhash, substring_dedup
+from ledgerline.llm import ctw, decontaminate, line_dedup, mixing, quality, simhash, substring_dedup
 from ledgerline.llm.common import table
 from ledgerline.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -22,6 +22,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", kept)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of every document to be low in quality or toxic, and whether it is rejected."""
+    out = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "p_bad", "rejected")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents: four-word shingles, links at four differing bits or fewer."""
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
@@ -33,6 +39,15 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the corpus's tokens, raked to smoothed source, language and topic shares."""
+    out = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "source", "lang", "topic", "n_tokens",
+        F.round("probability", 6).alias("probability"), F.round("weight", 6).alias("weight"),
+    )
+
+
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the bytes of 50-byte strings that start in an earlier document."""
     out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
@@ -49,7 +64,9 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_ctw": op2_ctw,
     "op4_line_dedup": op4_line_dedup,
+    "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op8_decontaminate": op8_decontaminate,
+    "op9_mixing": op9_mixing,
     "op10_suffix_array": op10_suffix_array,
 }

@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm import quality
+
+TENTH = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    docs = spark.read.parquet(f"{TENTH}/documents.parquet")
+    return docs, spark.read.parquet(f"{TENTH}/labels.parquet")
+
+
+def test_held_out_accuracy(labelled):
+    """Fitted without a third of the labels, it judges that third."""
+    docs, labels = labelled
+    hidden = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
+    out = quality.classify(docs, labels.where(~hidden))
+    test = out.join(labels.where(hidden), "doc_id").withColumn("bad", (F.col("quality") == 0) | (F.col("toxic") == 1))
+    row = test.agg(F.avg((F.col("bad") == F.col("rejected")).cast("int")), F.avg(F.when(~F.col("bad"), F.col("rejected").cast("int")))).first()
+    assert row[0] >= 0.88 and row[1] <= 0.05
+    assert out.count() == docs.count()
+
+
+def test_pseudo_labels_reach_the_other_view():
+    """Text tells the classes apart on labelled rows; metadata learns it from the pool's pseudo-labels."""
+    rng = np.random.default_rng(0)
+    bad = rng.random(240) < 0.5
+    text = quality.Sparse.of([np.array([10 + b, 50 + i % 40], np.int32) for i, b in enumerate(bad)])
+    meta = quality.Sparse.of([np.array([100 + int(rng.integers(4))], np.int32) for _ in bad])
+    pool_bad = rng.random(2000) < 0.5
+    pool_text = quality.Sparse.of([np.array([10 + b], np.int32) for b in pool_bad])
+    pool_meta = quality.Sparse.of([np.array([200 + b], np.int32) for b in pool_bad])
+    model = quality.co_train(text, meta, bad, pool_text, pool_meta, 3)
+    assert model.meta[201] > 1 > -1 > model.meta[200]
+    alone = quality.co_train(text, meta, bad, pool_text, pool_meta, 1)
+    assert alone.meta[201] == alone.meta[200] == 0
+    p = [model.score(np.array([10 + b]), np.array([200 + b])) for b in (0, 1)]
+    assert p[0] < 0.1 and p[1] > 0.9
+
+
+def test_awkward_rows_and_labels(spark, awkward, labelled):
+    docs, _ = labelled
+    labels = spark.createDataFrame(
+        [(1, 0, 0), (1, 1, 0), (None, 0, 1), (2, None, None), (4, 1, None)], "doc_id long, quality int, toxic int"
+    )
+    out = quality.classify(awkward.withColumn("p_bad", F.lit("x")), labels)
+    assert out.count() == awkward.count() and out.where("rejected").count() == 0  # too few labels of both classes
+    assert dict(out.dtypes)["p_bad"] == "double"
+    bare = quality.classify(awkward.drop("lang", "source").limit(0), labels)
+    assert bare.count() == 0
+
+
+def test_repeated_rows_score_alike(labelled, awkward):
+    docs, labels = labelled
+    model = quality.train(docs, labels)
+    scored = quality.score_documents(awkward.withColumn("source", F.lit("s")), model)
+    twice = scored.where("doc_id = 2").select("p_bad").distinct().count()
+    assert twice == 1 and scored.where("p_bad is null").count() == 0
