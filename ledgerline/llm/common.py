@@ -28,17 +28,30 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     Later plans read the files, so a lost executor costs a re-read. Afterwards
     the driver collects its garbage, which lets Spark remove the shuffle files
-    of the plan that has just run (twice: listeners still hold it for a moment).
+    of the plan that has just run.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{label}")
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    for pause in (0.2, 0):
+    out._staged = path
+    free_finished(spark)
+    return out
+
+
+def free_finished(spark: SparkSession) -> None:
+    """Collect garbage on the driver, so that Spark removes the shuffle files of plans that are done with."""
+    for pause in (0.2, 0):  # listeners hold the last plan for a moment
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(pause)
-    return out
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete the files of a result of ``stage`` that no later plan reads."""
+    jvm = staged.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(staged._staged)
+    path.getFileSystem(staged.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def total_bytes(df: DataFrame, column: str) -> int:

@@ -32,14 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import BLOCK_BYTES, ascii_lower, stage, text_bytes, total_bytes, with_block
-from ledgerline.llm.packs import pack, shard_of, split_by, unpack
+from ledgerline.llm.common import BLOCK_BYTES, ascii_lower, discard, free_finished, stage, text_bytes, total_bytes, with_block
+from ledgerline.llm.packs import pack, shard_of, split_by, unpack, unpack_all
 
 DEPTH = 5
 #: Never a byte of UTF-8: stands before the text and ends it.
 PAD = 0xFF
 #: Positions handled at once, and strings that a shard is expected to get.
 CHUNK = 1 << 20
+COUNT_CHUNK = 1 << 23
 SHARD_KEYS = 600_000
 #: Bounds of the two top levels: (context byte, decision node).
 TOP = 256 * 256
@@ -58,24 +59,27 @@ def _codes(text: bytes) -> np.ndarray:
     return code
 
 
-def _lgamma(x: np.ndarray) -> np.ndarray:
-    """log Gamma for x > 0: shifted up to at least 8, then Stirling's series."""
-    x = np.asarray(x, np.float64)
-    shift = np.zeros_like(x)
-    small = x < 8
-    y = x.copy()
-    while small.any():
-        shift[small] += np.log(y[small])
-        y[small] += 1
-        small = y < 8
-    z = 1 / (y * y)
-    series = (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z / 1680))) / y
-    return (y - 0.5) * np.log(y) - y + 0.918938533204672742 + series - shift
+#: log Gamma(n + 1/2) and log Gamma(n + 1) of small counts; beyond, Stirling's series is exact to double precision.
+_SMALL = 1 << 14
+_LG_HALF = np.log(np.pi) / 2 + np.r_[0.0, np.cumsum(np.log(np.arange(_SMALL - 1) + 0.5))]
+_LG_ONE = np.r_[0.0, np.cumsum(np.log(np.arange(1, _SMALL)))]
+
+
+def _lgamma(n: np.ndarray, table: np.ndarray, offset: float) -> np.ndarray:
+    """log Gamma(n + offset) of whole counts."""
+    out = table[np.minimum(n, _SMALL - 1).astype(np.int64)]
+    large = np.flatnonzero(n >= _SMALL)
+    if len(large):
+        x = n[large] + offset
+        out[large] = (x - 0.5) * np.log(x) - x + 0.918938533204672742 + (1 / 12 - 1 / (360 * x * x)) / x
+    return out
 
 
 def log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov block probability of ``n0`` zeros and ``n1`` ones."""
-    return _lgamma(n0 + 0.5) + _lgamma(n1 + 0.5) - _lgamma(n0 + n1 + 1.0) - np.log(np.pi)
+    return (
+        _lgamma(n0, _LG_HALF, 0.5) + _lgamma(n1, _LG_HALF, 0.5) - _lgamma(n0 + n1, _LG_ONE, 1.0) - np.log(np.pi)
+    )
 
 
 def _mix(log_est: np.ndarray, log_children: np.ndarray) -> np.ndarray:
@@ -140,9 +144,10 @@ class Subtree:
             key = ((context & ((1 << (8 * depth)) - 1)) << 8) | node
             i = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
             here = keys[i] == key
-            total = counts[i].sum(1)
-            kt = (counts[i, bit] + 0.5) / (total + 1.0)
-            stop = 1.0 if depth == DEPTH else np.exp(self.log_est[depth][i] - self.log_w[depth][i] - LN2)
+            zeros, ones = counts[:, 0], counts[:, 1]
+            odds = (ones + 0.5) / (zeros + ones + 1.0)  # of a one
+            kt = np.where(bit == 1, odds[i], 1 - odds[i])
+            stop = 1.0 if depth == DEPTH else np.exp(self.log_est[depth] - self.log_w[depth] - LN2)[i]
             p = np.where(here, stop * kt + (1 - stop) * p, p)
         add, scale = one
         at = ((context & 255) << 8) | node
@@ -175,16 +180,16 @@ def _tokens(text: bytes) -> list[bytes]:
     return text.split()
 
 
-def _chunks(texts: list[bytes]):
-    """Codes of whole texts, joined up to about ``CHUNK`` positions (a longer text is cut into chunks)."""
+def _chunks(texts: list[bytes], most: int = CHUNK):
+    """Codes of whole texts, joined up to about ``most`` positions (a longer text is cut into chunks)."""
     held, size = [], 0
     for i, text in enumerate(texts):
         code = _codes(text)
-        for a in range(0, len(code), CHUNK):
-            part = code[a : a + CHUNK]
+        for a in range(0, len(code), most):
+            part = code[a : a + most]
             held.append((i, part))
             size += len(part)
-            if size >= CHUNK:
+            if size >= most:
                 yield held
                 held, size = [], 0
     if held:
@@ -193,11 +198,16 @@ def _chunks(texts: list[bytes]):
 
 def _count_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-    for held in _chunks(texts):
-        k, c = np.unique(np.concatenate([part for _, part in held]), return_counts=True)
-        both = np.concatenate([keys, k])
-        keys, index = np.unique(both, return_inverse=True)
-        counts = np.bincount(index, weights=np.concatenate([counts, c]), minlength=len(keys)).astype(np.int64)
+    for held in _chunks(texts, COUNT_CHUNK):
+        code = np.concatenate([part for _, part in held])
+        code.sort()
+        at = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        k, c = code[at], np.diff(np.r_[at, len(code)])
+        if len(keys):
+            both = np.concatenate([keys, k])
+            k, index = np.unique(both, return_inverse=True)
+            c = np.bincount(index, weights=np.concatenate([counts, c]), minlength=len(k)).astype(np.int64)
+        keys, counts = k, c
     return keys, counts
 
 
@@ -240,15 +250,15 @@ def _sum_words(rows: pd.DataFrame) -> tuple[dict[bytes, int], list[list[bytes]]]
     asked = []
     for keys, counts in zip(rows["keys"], rows["counts"], strict=True):
         words = keys.split(b" ") if keys else []
-        for w, n in zip(words, np.frombuffer(counts, np.int64).tolist(), strict=True):
+        for w, n in zip(words, unpack(counts, np.int64).tolist(), strict=True):
             total[w] = total.get(w, 0) + n
         asked.append(words)
     return total, asked
 
 
 def _sum_codes(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys, index = np.unique(unpack(rows["keys"], np.uint64), return_inverse=True)
-    return keys, np.bincount(index, weights=unpack(rows["counts"], np.int64), minlength=len(keys)), index
+    keys, index = np.unique(unpack_all(rows["keys"], np.uint64), return_inverse=True)
+    return keys, np.bincount(index, weights=unpack_all(rows["counts"], np.int64), minlength=len(keys)), index
 
 
 def _measure(rows: pd.DataFrame) -> pd.DataFrame:
@@ -320,12 +330,12 @@ def _score(total_tokens: int, vocabulary: int, train_docs: int):
         mine = answers[answers["kind"] == WORDS]
         for keys, counts in zip(mine["keys"], mine["values"], strict=True):
             words += keys.split(b" ") if keys else []
-            values.append(np.frombuffer(counts, np.int64))
+            values.append(unpack(counts, np.int64))
         count = np.concatenate(values) if values else np.empty(0, np.int64)
         log_p = dict(zip(words, (np.log10(count + 1.0) - scale).tolist(), strict=True))
         unseen = {w for w, n in zip(words, count.tolist(), strict=True) if n == 0}
         mine = answers[answers["kind"] == STRINGS]
-        table = _Table(unpack(mine["keys"], np.uint64), unpack(mine["values"], np.float64))
+        table = _Table(unpack_all(mine["keys"], np.uint64), unpack_all(mine["values"], np.float64))
         texts = [ascii_lower(text_bytes(t)) for t in rows["text"]]
         score = np.zeros(len(texts))
         for held in _chunks(texts):
@@ -393,6 +403,7 @@ def ctw_scores(
     )
     parts = asked.groupBy("kind", "shard").applyInPandas(_measure, "at long, n0 double, n1 double, log_w double")
     top = parts.groupBy("at").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "log_w"))).toPandas()
+    free_finished(spark)
     train_docs = rows.where(~F.col("held_out")).count()
     vocabulary, tokens = top.loc[top["at"] == -1, ["n0", "n1"]].sum().astype(int).tolist()
     one = spark.sparkContext.broadcast(top_levels(top[top["at"] >= 0]))  # 256 x 255 nodes at most
@@ -400,6 +411,7 @@ def ctw_scores(
         asked.groupBy("kind", "shard").applyInPandas(_answer(one), "block int, kind int, keys binary, values binary"),
         "ctw-answers",
     )
+    discard(asked)
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
         _score(tokens + train_docs, vocabulary + (train_docs > 0), train_docs),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "

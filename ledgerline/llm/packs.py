@@ -16,12 +16,18 @@ def shard_of(keys: np.ndarray, n: int) -> np.ndarray:
 
 
 def pack(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values).tobytes()
+    """The bytes of an array, plane by plane (all first bytes, all second ones, ...): equal high bytes compress."""
+    values = np.ascontiguousarray(values)
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
 
 
-def unpack(parts: Iterable[bytes], dtype) -> np.ndarray:
-    joined = b"".join(parts)
-    return np.frombuffer(joined, dtype)
+def unpack(part: bytes, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.frombuffer(part, np.uint8).reshape(size, -1).T.copy().view(dtype).reshape(-1)
+
+
+def unpack_all(parts: Iterable[bytes], dtype) -> np.ndarray:
+    return np.concatenate([np.empty(0, dtype), *(unpack(p, dtype) for p in parts)])
 
 
 def split_by(shards: np.ndarray, n: int) -> Iterable[tuple[int, np.ndarray]]:

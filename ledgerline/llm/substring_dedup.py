@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import suffix_array as sa
 from ledgerline.llm.common import BLOCK_BYTES, stage, text_bytes, total_bytes, with_block
-from ledgerline.llm.packs import pack, shard_of, split_by, unpack
+from ledgerline.llm.packs import pack, shard_of, split_by, unpack, unpack_all
 
 SIZE = 50
 GRAM = 16
@@ -146,9 +146,9 @@ def _repeated_anchors(hot_rows: int):
     """Shard -> for each block, its anchors that occur in two documents of the corpus, and how crowded they are."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(k, np.uint64) for k in rows["keys"]]
+        keys = [unpack(k, np.uint64) for k in rows["keys"]]
         key = np.concatenate(keys)
-        state = unpack(rows["states"], np.uint32)
+        state = unpack_all(rows["states"], np.uint32)
         values, inverse, blocks = np.unique(key, return_inverse=True, return_counts=True)
         regions_of = np.bincount(inverse, weights=state >> 1, minlength=len(values))
         twice = np.bincount(inverse, weights=state & 1, minlength=len(values)) > 0
@@ -169,8 +169,8 @@ def _repeated_anchors(hot_rows: int):
 def _pieces(rows: pd.DataFrame, answers: pd.DataFrame, size: int):
     """For each piece (a repeated region, or a window of a hot one): document index, its place in the document,
     number of windows, the key its shard is dealt by, and its content."""
-    key = unpack(answers["keys"], np.uint64)
-    hot = unpack(answers["hot"], np.uint8)
+    key = unpack_all(answers["keys"], np.uint64)
+    hot = unpack_all(answers["hot"], np.uint8)
     order = np.argsort(key, kind="stable")
     key, hot = key[order], hot[order]
     for data, doc, begin, at, n_windows, anchor in regions(_texts(rows), size):
@@ -246,8 +246,8 @@ def _judge_pieces(size: int):
         for keys, lows, lengths, body in zip(rows["keys"], rows["lows"], rows["lengths"], rows["body"], strict=True):
             mine, at = [], 0
             for k, d, n in zip(
-                np.frombuffer(keys, np.uint64).tolist(), np.frombuffer(lows, np.int64).tolist(),
-                np.frombuffer(lengths, np.int32).tolist(), strict=True,
+                unpack(keys, np.uint64).tolist(), unpack(lows, np.int64).tolist(),
+                unpack(lengths, np.int32).tolist(), strict=True,
             ):
                 content = body[at : at + n]
                 at += n
@@ -288,9 +288,9 @@ def _cut(size: int):
         judged = answers[answers["names"].notna()]
         for names, lows, runs in zip(judged["names"], judged["lows"], judged["runs"], strict=True):
             own: dict[int, list] = {}
-            for j, a, b in np.frombuffer(runs, np.int32).reshape(-1, 3).tolist():
+            for j, a, b in unpack(runs, np.int32).reshape(-1, 3).tolist():
                 own.setdefault(j, []).append((a, b))
-            for j, d in enumerate(np.frombuffer(lows, np.int64).tolist()):
+            for j, d in enumerate(unpack(lows, np.int64).tolist()):
                 known[names[16 * j : 16 * j + 16]] = (d, own.get(j, []))
         flagged = answers[answers["keys"].notna()]
         if len(rows) and len(flagged):
