@@ -24,6 +24,40 @@ FROM judged GROUP BY doc_id
 """
 
 
+_NOTICES = (
+    "VALUES ('Apache-2.0', 'Licensed under the Apache License, Version 2.0.'), "
+    "('CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0.'), "
+    "('GPL-3.0', 'This work is licensed under the GNU General Public License, version 3.'), "
+    "('MIT', 'Released under the MIT License.')"
+)
+
+
+def _shingle_rows(source: str, key: str) -> str:
+    return (
+        f"SELECT {key}, i - 1 AS pos, array_to_string(w[i : i + 4], ' ') AS gram FROM (SELECT {key}, w, "
+        f"unnest(range(1, len(w) - 3)) AS i FROM (SELECT {key}, list_filter(string_split_regex(lower(coalesce(text, '')), "
+        f"'[^a-z0-9]+'), x -> x <> '') AS w FROM {source}) WHERE len(w) >= 5)"
+    )
+
+
+#: Windows of 24 words (20 shingles), one every 12 words: the longest notice has 12.
+OP3 = f"""
+WITH notice(license, text) AS ({_NOTICES}),
+wanted AS (SELECT DISTINCT license, gram FROM ({_shingle_rows("notice", "license")})),
+n_wanted AS (SELECT license, count(*) AS n FROM wanted GROUP BY license),
+hit AS (SELECT d.doc_id, d.pos, w.license, w.gram FROM ({_shingle_rows("documents", "doc_id")}) d JOIN wanted w ON d.gram = w.gram),
+held AS (
+  SELECT DISTINCT doc_id, license, gram, k AS win FROM (
+    SELECT *, unnest(range(greatest(0, ceil((pos - 19) / 12.0))::BIGINT, (pos // 12 + 1)::BIGINT)) AS k FROM hit)
+), found AS (
+  SELECT h.doc_id, h.license, h.win, count(*) / n.n AS share FROM held h JOIN n_wanted n ON h.license = n.license
+  GROUP BY h.doc_id, h.license, h.win, n.n HAVING count(*) / n.n >= 0.8
+)
+SELECT doc_id, license, count(*) AS n_windows, min(win) * 12 AS first_word, max(share) AS containment
+FROM found GROUP BY doc_id, license
+"""
+
+
 def _op9(rounds: int = 8, fraction: float = 0.5, power: float = 0.5, seed: int = 17) -> str:
     """The raking of ``mixing.mix_sources``, one common table per step."""
     steps = []
@@ -61,4 +95,4 @@ WHERE ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13
 """
 
 
-ORACLE_SQL = {"op4_line_dedup": OP4, "op9_mixing": _op9()}
+ORACLE_SQL = {"op3_licenses": OP3, "op4_line_dedup": OP4, "op9_mixing": _op9()}

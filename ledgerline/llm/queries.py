@@ -5,16 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ctw, decontaminate, line_dedup, mixing, quality, simhash, substring_dedup
+from ledgerline.llm import (
+    ctw,
+    decontaminate,
+    embeddings,
+    licenses,
+    line_dedup,
+    mixing,
+    quality,
+    simhash,
+    substring_dedup,
+    url_templates,
+)
 from ledgerline.llm.common import table
 from ledgerline.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
 
+def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by rules and path templates; labels are those of equal id."""
+    return url_templates.filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op2_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Context-tree code length of every document, beside a unigram base."""
     return ctw.ctw_scores(table(spark, sf_dir, "documents"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated lines of at least 40 code points in at least 5 documents."""
     out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
@@ -22,6 +43,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", kept)
 
 
+def op5_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of near-equal embeddings within a label."""
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of every document to be low in quality or toxic, and whether it is rejected."""
     out = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -62,8 +88,11 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_templates": op1_url_templates,
     "op2_ctw": op2_ctw,
+    "op3_licenses": op3_licenses,
     "op4_line_dedup": op4_line_dedup,
+    "op5_pivots": op5_pivots,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op8_decontaminate": op8_decontaminate,
