@@ -3,7 +3,7 @@
     python -m ledgerline refresh  --root ROOT --ds 2024-03-31 --raw-dir RAW [--gate SUITE ...]
                                   [--denylist-format document|lines]
     python -m ledgerline stream   --root ROOT (--inbox DIR | --kafka HOST:PORT --topic NAME)
-    python -m ledgerline report   NAME --root ROOT [--rows 50]
+    python -m ledgerline report   NAME --root ROOT [--rows 50 | --out DIR]
     python -m ledgerline validate SUITE --root ROOT [--ds DS]
     python -m ledgerline constraints --root ROOT
 
@@ -50,7 +50,8 @@ def _parser() -> argparse.ArgumentParser:
     q = sub.add_parser("report", help="run a business report over published gold")
     q.add_argument("name", choices=REPORTS)
     q.add_argument("--root", required=True)
-    q.add_argument("--rows", type=int, default=50)
+    q.add_argument("--rows", type=int, default=50, help="rows of the printed preview")
+    q.add_argument("--out", help="write the whole report here as CSV instead of printing a preview")
     v = sub.add_parser("validate", help="run a quality suite")
     v.add_argument("suite", choices=sorted(quality.SUITES))
     v.add_argument("--root", required=True)
@@ -61,7 +62,10 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> int:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if args.cmd == "validate" and args.suite == "bronze_payments" and not args.ds:
+        parser.error("validate bronze_payments needs --ds")
     spark = pin_utc(SparkSession.builder.appName("ledgerline").getOrCreate())
     layout = Layout(args.root.rstrip("/"))
     if args.cmd == "refresh":
@@ -77,7 +81,12 @@ def main(argv: list[str] | None = None) -> int:
             raise SystemExit("stream needs --inbox or --kafka")
         landing.land_events(messages, layout.stream_landing, layout.stream_checkpoint).awaitTermination()
     elif args.cmd == "report":
-        getattr(refresh.published_gold(spark, layout), args.name)().show(args.rows, truncate=False)
+        rows = getattr(refresh.published_gold(spark, layout), args.name)()
+        if args.out:
+            rows.write.option("header", True).csv(args.out)
+        else:
+            print(f"first {args.rows} rows (--out writes all of them):")
+            rows.show(args.rows, truncate=False)
     elif args.cmd == "validate":
         table = {
             "bronze_payments": lambda: lake.read_bronze(spark, layout, "payments", args.ds),

@@ -1,7 +1,7 @@
 """Lake layout and layer I/O: bronze partitions, silver snapshots, versioned gold.
 
 * Bronze: one Parquet partition per run date ``dt=<ds>``; a rerun overwrites
-  only its own partition (dynamic partition overwrite), siblings are untouched.
+  only its own partition folder, siblings are untouched.
   Every row carries ``_ingested_at``.
 * Silver: a full snapshot per table, overwritten by each run.
 * Gold: all six tables of a refresh are written into a fresh version folder;
@@ -58,16 +58,13 @@ class Layout:
 
 
 def write_bronze(df: DataFrame, layout: Layout, table: str, ds: str) -> str:
-    """Stamp ``_ingested_at`` and overwrite partition ``dt=<ds>`` only."""
+    """Stamp ``_ingested_at`` and replace partition ``dt=<ds>`` as a whole.
+
+    The partition's own folder is overwritten, so a rerun with an empty dataset
+    leaves it empty instead of keeping the old rows.
+    """
     path = layout.bronze(table)
-    (
-        df.withColumn("_ingested_at", F.current_timestamp())
-        .withColumn("dt", F.lit(ds))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(path)
-    )
+    df.withColumn("_ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/dt={ds}")
     return path
 
 
@@ -83,16 +80,13 @@ def bronze_schema(table: str) -> StructType | None:
 
 
 def read_bronze(spark: SparkSession, layout: Layout, table: str, ds: str) -> DataFrame:
-    """Exactly one run's partition (the ``dt`` filter prunes the others at planning).
+    """Exactly one run's partition; a run date that was never ingested fails (PATH_NOT_FOUND).
 
-    Known tables are read with their schema, never inferred: an empty dataset
-    leaves a partition folder without data files, which inference cannot read.
+    Known tables are read with their schema, never inferred.
     """
-    reader = spark.read.option("basePath", layout.bronze(table))
     schema = bronze_schema(table)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(layout.bronze(table)).where(F.col("dt").cast("string") == ds).drop("dt")
+    reader = spark.read if schema is None else spark.read.schema(StructType([f for f in schema if f.name != "dt"]))
+    return reader.parquet(f"{layout.bronze(table)}/dt={ds}")
 
 
 # ---- silver ----------------------------------------------------------------
