@@ -43,11 +43,17 @@ def pct_2dp(num: Column, den: Column, counts: bool = True) -> Column:
     Counts are widened to ``decimal(18,0)`` and multiplied by a ``decimal(3,0)``
     hundred, which keeps the quotient at 16 decimal places: far below the
     distance between a ratio of counts and a rounding tie, so the result is the
-    exactly rounded percentage (a double quotient would not be).
+    exactly rounded percentage (a double quotient would not be). Money needs
+    more digits than a decimal quotient has: there the hundredths of a percent
+    are an integral division of (2 * 10000 * num + den) by (2 * den), which is
+    exact.
     """
     if counts:
         return round2(num.cast(COUNT) * _hundred() / F.nullif(den, F.lit(0)).cast(COUNT))
-    return round2(num / F.nullif(den, F.lit(0)) * _hundred())
+    n, d = F.abs(num.cast(MONEY_SUM)), F.abs(F.nullif(den, F.lit(0)).cast(MONEY_SUM))
+    units = F.call_function("div", n * F.lit(20000).cast("decimal(5,0)") + d, d * F.lit(2).cast("decimal(1,0)"))
+    signed = F.when((num < 0) != (den < 0), -units).otherwise(units)
+    return (signed.cast(COUNT) * F.lit("0.01").cast("decimal(3,2)")).cast(REPORT)
 
 
 def count_ratio(num: Column, den: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import months_between_calendar
 from ledgerline.functions.money import exceeds_ratio, half_up_ratio, pct_2dp
+from ledgerline.operators.gold import agg_cohort_ltv
 
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -52,6 +53,33 @@ def test_pct_of_money_is_exactly_rounded(spark, pairs):
         assert r.p == half_up(Fraction(r.a) * 100 / Fraction(r.b), 2), (r.a, r.b, r.p)
 
 
+def test_pct_of_money_near_ties_and_signs(spark):
+    pairs = [(6668, 20003), (-6668, 20003), (1, 20000), (-1, 20000), (1, 20001), (0, 7), (5, 0)]
+    pairs += [(k * 10**11 + 1, 2 * 10**15 + 1) for k in range(1, 400)]
+    rows = [(Decimal(a).scaleb(-4), Decimal(b).scaleb(-4)) for a, b in pairs]
+    df = spark.createDataFrame(rows, "a decimal(28,4), b decimal(28,4)")
+    for r in df.select("a", "b", pct_2dp(F.col("a"), F.col("b"), counts=False).alias("p")).collect():
+        if r.b == 0:
+            assert r.p is None
+            continue
+        exact = half_up(abs(Fraction(r.a)) * 100 / Fraction(r.b), 2)
+        assert r.p == (-exact if r.a < 0 else exact), (r.a, r.b, r.p)
+
+
+def test_cohort_average_is_rounded_once(spark):
+    # (customers, total in ten-thousandths): 1010050 / 101 = 10000.495..., just below a tie.
+    cells = [(101, 1010050), (2001, 2001 * 5000 + 1000), (3000, 3000 * 7 + 1500), (2999, 2999 * 7 + 1499)]
+    people, paid = [], []
+    for c, (n, total) in enumerate(cells):
+        for i in range(n):
+            people.append((f"{c}-{i}", date(2020, c + 1, 1)))
+            paid.append((f"{c}-{i}", date(2021, 1, 5), "captured", Decimal(total // n + (i < total % n)).scaleb(-4)))
+    customers = spark.createDataFrame(people, "customer_id string, cohort_month date")
+    fact = spark.createDataFrame(paid, "customer_id string, date_key date, status string, amount_usd decimal(18,4)")
+    found = {r.cohort_month.month - 1: r.avg_ltv_usd for r in agg_cohort_ltv(customers, fact).collect()}
+    assert found == {c: half_up(Fraction(total, n * 10**4), 4) for c, (n, total) in enumerate(cells)}
+
+
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(0, 10**6), st.integers(1, 10**6)), min_size=1, max_size=300))
 def test_stored_ratio_rounds_half_up_at_five_places(spark, pairs):
