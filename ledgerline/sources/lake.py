@@ -5,9 +5,10 @@
   Every row carries ``_ingested_at``.
 * Silver: a full snapshot per table, overwritten by each run.
 * Gold: all six tables of a refresh are written into a fresh version folder;
-  only after every write succeeded is the ``_CURRENT`` pointer replaced. A
-  failed refresh therefore leaves the previous version published, and readers
-  never see a half-written star schema.
+  only after every write succeeded is a record added to the ``_CURRENT`` folder,
+  whose newest record names the published version. Records are never replaced or
+  deleted, so a refresh or a publish that fails leaves the previous version
+  published, and readers never see a half-written star schema.
 """
 
 from __future__ import annotations
@@ -152,13 +153,19 @@ def write_gold(df: DataFrame, layout: Layout, version: str, table: str) -> str:
 
 
 def publish_gold(spark: SparkSession, layout: Layout, version: str) -> None:
-    """Point readers at ``version`` (the single step that makes a refresh visible)."""
+    """Point readers at ``version`` (the single step that makes a refresh visible).
+
+    One small file is appended; it becomes visible when its write is committed,
+    and nothing that is there is touched. An older version can be published again.
+    """
     # One literal row built on the JVM side: no Python worker is started for it.
-    spark.range(1).select(F.lit(version).alias("value")).write.mode("overwrite").text(layout.gold_pointer)
+    record = F.lit(f"{time.time_ns():020d} {version}").alias("value")
+    spark.range(0, 1, 1, 1).select(record).write.mode("append").text(layout.gold_pointer)
 
 
 def current_gold_version(spark: SparkSession, layout: Layout) -> str:
-    return spark.read.text(layout.gold_pointer).first()[0]
+    newest = spark.read.text(layout.gold_pointer).agg(F.max("value")).first()[0]
+    return newest.split(" ", 1)[1]
 
 
 def with_partition_column(table: str, schema: StructType) -> StructType:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,23 @@ def test_failed_gold_refresh_keeps_previous_version(spark, tmp_root, monkeypatch
     assert refresh.published_gold(spark, layout)["agg_daily_kpis"].count() == before
 
 
+def test_publish_keeps_what_was_published_until_it_is_committed(spark, tmp_root):
+    layout = Layout(tmp_root)
+    lake.publish_gold(spark, layout, "v1")
+    first = {n for n in os.listdir(layout.gold_pointer) if n.startswith("part-")}
+    # What a publish leaves behind that dies before its commit.
+    half = f"{layout.gold_pointer}/_temporary/0/task_0"
+    os.makedirs(half)
+    with open(f"{half}/part-00000.txt", "w") as f:
+        f.write(f"{time.time_ns():020d} unfinished\n")
+    assert lake.current_gold_version(spark, layout) == "v1"
+    lake.publish_gold(spark, layout, "v2")
+    assert lake.current_gold_version(spark, layout) == "v2"
+    assert first <= set(os.listdir(layout.gold_pointer))
+    lake.publish_gold(spark, layout, "v1")
+    assert lake.current_gold_version(spark, layout) == "v1"
+
+
 def test_refresh_without_stream_uses_batch_events_only(spark, tmp_root):
     layout = Layout(tmp_root)
     refresh.bronze_ingest(spark, layout, "d1", testdata.raw_tables(spark, SF_SMALL))
