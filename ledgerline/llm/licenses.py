@@ -91,8 +91,11 @@ def scan_licenses(
             lambda w: F.struct(s["h"].alias("h"), w.alias("w"), F.slice("shingles", w * stride + 1, width).alias("held")),
         )
 
-    bands = rows.withColumn("hits", hits).where(F.size("hits") > 0)
-    bands = bands.select("doc_id", F.explode(F.flatten(F.transform("hits", windows))).alias("b")).select("doc_id", "b.*")
+    # explode_outer: a filter on the array's size, given or inferred, would be pushed below the
+    # projections and split the whole text again for every shingle.
+    bands = rows.withColumn("hits", hits)
+    bands = bands.select("doc_id", F.explode_outer(F.flatten(F.transform("hits", windows))).alias("b"))
+    bands = bands.where("b is not null").select("doc_id", "b.*")
 
     def bin_of(h: Column) -> Column:
         return F.shiftrightunsigned(h, 64 - BIN_BITS)
