@@ -23,14 +23,18 @@ def align_stream(stream_landing: DataFrame) -> DataFrame:
     return stream_landing.select(*EVENT_COLUMNS)
 
 
-def split_malformed(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(events with an id, quarantined rows without one).
+def quarantine(batch: DataFrame, stream_landing: DataFrame) -> DataFrame:
+    """Rows of either delivery without an id, which :func:`union_dedupe` cannot keep.
 
-    A message that did not parse lands as an all-NULL row; it has no key to
-    deduplicate on, so it is routed to quarantine instead of silver.
+    ``source`` names the delivery; ``kafka_ts`` and ``raw_value`` are a message's
+    arrival time and text. A batch row has no arrival time, and its ``raw_value``
+    is the row as JSON. Repeated rows stay repeated.
     """
-    has_id = F.col("event_id").isNotNull()
-    return events.where(has_id), events.where(~has_id)
+    lost = F.col("event_id").isNull()
+    as_json = F.to_json(F.struct(*EVENT_COLUMNS)).alias("raw_value")
+    from_batch = batch.where(lost).select(F.lit("batch").alias("source"), *EVENT_COLUMNS, as_json)
+    from_stream = stream_landing.where(lost).select(F.lit("stream").alias("source"), "*")
+    return from_stream.unionByName(from_batch, allowMissingColumns=True)
 
 
 def union_dedupe(batch: DataFrame, stream: DataFrame) -> DataFrame:
@@ -38,8 +42,7 @@ def union_dedupe(batch: DataFrame, stream: DataFrame) -> DataFrame:
     both = batch.withColumn("_source", F.lit(0)).unionByName(
         align_stream(stream).withColumn("_source", F.lit(1)), allowMissingColumns=True
     )
-    keyed, _ = split_malformed(both)
     survivor = F.min(F.struct("_source", "event_ts", "customer_id", "type")).alias("_s")
-    return keyed.groupBy("event_id").agg(survivor).select(
+    return both.where(F.col("event_id").isNotNull()).groupBy("event_id").agg(survivor).select(
         "event_id", "_s.customer_id", "_s.type", "_s.event_ts"
     )

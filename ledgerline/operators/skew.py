@@ -42,8 +42,14 @@ def join_splitting_hot_keys(
     if adaptive_skew_handling(big.sparkSession):
         return big.join(small, key, how)
     hot_key_rows = HOT_KEY_ROWS if hot_key_rows is None else hot_key_rows
-    hot = F.broadcast(big.groupBy(key).count().where(F.col("count") > hot_key_rows).select(key))
-    hot_rows = big.join(hot, key, "left_semi")
-    cold_rows = big.join(hot, key, "left_anti")
+    keyed = big.where(F.col(key).isNotNull())
+    hot = F.broadcast(keyed.groupBy(key).count().where(F.col("count") > hot_key_rows).select(key))
+    hot_rows = keyed.join(hot, key, "left_semi")
+    cold_rows = keyed.join(hot, key, "left_anti")
     hot_small = F.broadcast(small.join(hot, key, "left_semi"))
-    return cold_rows.join(small, key, how).unionByName(hot_rows.join(hot_small, key, how))
+    joined = cold_rows.join(small, key, how).unionByName(hot_rows.join(hot_small, key, how))
+    if how == "inner":
+        return joined
+    # A NULL key matches nothing: its rows go past the join instead of all meeting in one task.
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema if f.name != key]
+    return joined.unionByName(big.where(F.col(key).isNull()).select("*", *absent))

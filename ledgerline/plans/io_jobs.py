@@ -113,14 +113,14 @@ def stream_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event messages drained from an inbox by an availableNow streaming query."""
     layout = _layout(spark, "stream")
     _land_messages(spark, sf_dir, layout)
-    return landing.read_landing(spark, layout.stream_landing)
+    return landing.read_landing(spark, layout.stream_landing).drop("raw_value")
 
 
 def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream landing + bronze + silver + published gold; the published fact."""
     layout = _layout(spark, "gold")
     _land_messages(spark, sf_dir, layout)
-    refresh.full_refresh(spark, layout, RUN_DATE, testdata.raw_tables(spark, sf_dir))
+    refresh.full_refresh(spark, layout, RUN_DATE, testdata.raw_tables(spark, sf_dir), testdata.PASSING_GATES)
     return refresh.published_gold(spark, layout)["fct_payments"]
 
 

@@ -54,8 +54,8 @@ o_pay_k AS (
     SELECT li.ok, li.ln, li.sk,
            o.o_orderdate + li.ln * INTERVAL 1 HOUR AS created_ts,
            'p_' || li.ok || '_' || li.ln AS payment_id,
-           'c_' || o.o_custkey AS customer_id,
-           'm_' || li.sk AS merchant_id,
+           CASE WHEN o.o_custkey % 97 = 3 THEN 'cx_' ELSE 'c_' END || o.o_custkey AS customer_id,
+           CASE WHEN li.sk % 41 = 9 THEN 'mx_' ELSE 'm_' END || li.sk AS merchant_id,
            CAST(li.amt AS DOUBLE) AS amount,
            CASE WHEN (li.ok + li.ln) % 20 < 1 THEN 'CLP' WHEN (li.ok + li.ln) % 20 < 3 THEN 'EUR'
                 WHEN (li.ok + li.ln) % 20 < 5 THEN 'MXN' WHEN (li.ok + li.ln) % 20 < 8 THEN 'BRL'
@@ -86,14 +86,14 @@ o_raw_customers AS (
            CAST(DATE '1995-01-01' + CAST((c_custkey * 37) % 900 AS INTEGER) AS VARCHAR) AS signup_date,
            ['AR', 'US', 'BR', 'MX', 'CL', 'ES'][c_nationkey % 6 + 1] AS country,
            c_mktsegment AS marketing_channel
-    FROM customer WHERE c_custkey % 97 <> 3
+    FROM customer
 ),
 o_raw_merchants AS (
     SELECT 'm_' || s_suppkey AS merchant_id,
            ['retail', 'groceries', 'crypto', 'gaming', 'travel', 'saas', 'digital_content'][s_suppkey % 7 + 1] AS category,
            ['low', 'medium', 'high'][s_suppkey % 3 + 1] AS risk_level,
            {_iso("CAST(DATE '1995-01-01' + CAST((s_suppkey * 11) % 900 AS INTEGER) AS TIMESTAMP)")} AS created_at
-    FROM supplier WHERE s_suppkey % 41 <> 9
+    FROM supplier
 ),
 o_raw_fx AS (
     SELECT CAST(DATE '1995-01-01' + CAST(r.d AS INTEGER) AS VARCHAR) AS date, q.ccy AS from_ccy, 'USD' AS to_ccy,
@@ -104,7 +104,7 @@ o_raw_fx AS (
 ),
 o_raw_blacklist AS (
     SELECT 'c_' || c_custkey AS customer_id, '2001-12-31T23:59:59+00:00' AS blacklist_updated_at
-    FROM customer WHERE c_custkey % 97 <> 3 AND c_custkey % 50 = 7
+    FROM customer WHERE c_custkey % 50 = 7
 ),
 o_ev AS (
     SELECT event_id AS _id, ts AS _ts, 'e_' || event_id AS event_id, 'c_' || user_id AS customer_id,
@@ -113,9 +113,11 @@ o_ev AS (
            {_iso('ts', '%Y-%m-%dT%H:%M:%S.%f')} AS event_ts
     FROM events
 ),
-o_raw_events AS (SELECT event_id, customer_id, type, event_ts FROM o_ev WHERE _id % 5 <> 0),
+o_raw_events AS (SELECT event_id, customer_id, type, event_ts FROM o_ev),
 o_stream AS (
-    SELECT event_id, customer_id, type, event_ts, _ts + INTERVAL 2 SECOND AS kafka_ts FROM o_ev WHERE _id % 2 = 0
+    SELECT CASE WHEN _id % 5 = 0 THEN 'es_' || _id ELSE event_id END AS event_id, customer_id, type, event_ts,
+           _ts + INTERVAL 2 SECOND AS kafka_ts
+    FROM o_ev
 )"""
 
 def _double_to_decimal(x: str, target: str) -> str:

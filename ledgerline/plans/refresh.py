@@ -4,7 +4,7 @@ Each job reads its input layer, composes the operators lazily, and writes its
 output layer; the written layer is what the next job reads, so lineage is cut
 at every layer boundary. Row counts and drop counts are collected with
 ``Observation`` inside the writing job instead of separate counting jobs.
-Optional quality gates stop a run before it publishes.
+Quality gates, on unless switched off, stop a run before it publishes.
 """
 
 from __future__ import annotations
@@ -74,7 +74,12 @@ def read_stream_landing(spark: SparkSession, layout: Layout) -> DataFrame | None
 
 
 def silver_refresh(spark: SparkSession, layout: Layout, ds: str) -> dict[str, int]:
-    """Bronze of ``ds`` -> the seven silver tables; returns the payment drop counts."""
+    """Bronze of ``ds`` -> the seven silver tables; returns the payment drop counts.
+
+    A day and currency quoted twice would price its payments twice, so it fails
+    the run (:class:`~ledgerline.operators.quality.ConstraintsViolated`) before
+    anything is written.
+    """
     b = {t: lake.read_bronze(spark, layout, t, ds) for t in RAW_TABLES}
     customers = clean.clean_customers(b["customers"])
     merchants = clean.clean_merchants(b["merchants"])
@@ -82,6 +87,7 @@ def silver_refresh(spark: SparkSession, layout: Layout, ds: str) -> dict[str, in
     chargebacks = clean.clean_chargebacks(b["chargebacks"])
     fx_rates = clean.clean_fx_rates(b["fx_rates"])
     denylist = clean.distinct_denylist(b["blacklist"])
+    quality.require_unique(fx_rates.where(F.col("to_ccy") == "USD"), ["date", "from_ccy"], "fx_rates to USD")
 
     outputs = {
         "customers": enrich.enrich_customers(customers, denylist),
@@ -94,7 +100,7 @@ def silver_refresh(spark: SparkSession, layout: Layout, ds: str) -> dict[str, in
     if stream is None:
         outputs["events"] = clean.clean_events(b["events"])
     else:
-        _, outputs["events_quarantine"] = events.split_malformed(events.align_stream(stream))
+        outputs["events_quarantine"] = events.quarantine(b["events"], stream)
         outputs["events"] = clean.clean_events(events.union_dedupe(b["events"], stream))
 
     drops = Observation("silver_drops")
@@ -108,11 +114,13 @@ def silver_refresh(spark: SparkSession, layout: Layout, ds: str) -> dict[str, in
     return counts
 
 
-def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = False) -> str:
+def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = True) -> str:
     """Silver -> a new gold version, published only when every table is written.
 
     Both marts and the calendar are built from the written fact, so they agree
-    with what was published and nothing is held in executor memory.
+    with what was published and nothing is held in executor memory. Unless
+    ``gate`` is switched off, the fact's suite and every key and constraint of
+    the written tables must hold, else the version is not published.
     """
     version = lake.new_gold_version()
     silver = {t: lake.read_silver(spark, layout, t) for t in ("customers", "merchants", "payments")}
@@ -139,28 +147,34 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = False) -> str
     if gate:
         tasks["gate"] = lambda: quality.validate(fct, "gold_fct_payments")
     run_concurrently(tasks)
+    if gate:
+        quality.enforce_constraints(_gold_version(spark, layout, version).tables)
     lake.publish_gold(spark, layout, version)
     return version
 
 
-def published_gold(spark: SparkSession, layout: Layout) -> Gold:
-    version = lake.current_gold_version(spark, layout)
+def _gold_version(spark: SparkSession, layout: Layout, version: str) -> Gold:
     schemas = gold_schemas(spark)
     return Gold({t: lake.read_gold(spark, layout, t, version, schemas[t]) for t in GOLD_TABLES})
 
 
+def published_gold(spark: SparkSession, layout: Layout) -> Gold:
+    return _gold_version(spark, layout, lake.current_gold_version(spark, layout))
+
+
 def full_refresh(
     spark: SparkSession,
     layout: Layout,
     ds: str,
     raw: Mapping[str, DataFrame],
-    gates: tuple[str, ...] = (),
+    gates: tuple[str, ...] = tuple(quality.SUITES),
 ) -> dict:
-    """Bronze -> silver -> gold for one run date, with the requested quality gates.
+    """Bronze -> silver -> gold for one run date, behind the quality gates.
 
-    ``gates`` names the suites that must pass (``bronze_payments``,
-    ``silver_payments``, ``gold_fct_payments``); a failing gate raises
-    :class:`~ledgerline.operators.quality.SuiteFailed` before the next layer.
+    ``gates`` names the suites that must pass: all of them, unless the caller
+    names fewer. A failing gate raises
+    :class:`~ledgerline.operators.quality.SuiteFailed` before the next layer;
+    ``gold_fct_payments`` also enforces the keys and constraints of all gold tables.
     """
     out: dict = {"bronze": bronze_ingest(spark, layout, ds, raw)}
     if "bronze_payments" in gates:

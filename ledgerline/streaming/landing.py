@@ -31,10 +31,16 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     Works on batch and streaming DataFrames alike; ``value`` may be binary (the
     broker) or text. PERMISSIVE parsing: bad JSON yields NULL fields.
     """
-    return messages.select(
-        F.from_json(F.col("value").cast("string"), EVENTS).alias("event"),
-        F.col("timestamp").alias("kafka_ts"),
-    ).select("event.*", "kafka_ts")
+    return _parse(messages).select(*EVENTS.fieldNames(), "kafka_ts")
+
+
+def _parse(messages: DataFrame) -> DataFrame:
+    """The parsed event, its arrival time and, where it has no id, the message as it came (``raw_value``)."""
+    text = F.col("value").cast("string")
+    parsed = messages.select(
+        F.from_json(text, EVENTS).alias("event"), F.col("timestamp").alias("kafka_ts"), text.alias("text")
+    )
+    return parsed.select("event.*", "kafka_ts", F.when(F.col("event.event_id").isNull(), F.col("text")).alias("raw_value"))
 
 
 # Upper bound on one micro-batch: a backlog is drained as several bounded
@@ -74,10 +80,10 @@ def land_events(messages: DataFrame, output: str, checkpoint: str) -> StreamingQ
 
     The checkpoint records consumed offsets and the sink's file log, so a rerun
     without new messages writes nothing and a restarted run resumes where the
-    last committed batch ended. The landing is partitioned by arrival day, so a
-    daily reconciliation reads only the days it needs.
+    last committed batch ended. The landing is partitioned by arrival day; a
+    message without an id keeps its text in ``raw_value``.
     """
-    parsed = parse_messages(messages).withColumn("arrival_date", F.to_date("kafka_ts"))
+    parsed = _parse(messages).withColumn("arrival_date", F.to_date("kafka_ts"))
     return (
         parsed.writeStream.format("parquet")
         .option("path", output)
@@ -91,4 +97,7 @@ def land_events(messages: DataFrame, output: str, checkpoint: str) -> StreamingQ
 
 def read_landing(spark: SparkSession, output: str) -> DataFrame:
     """The landed events (the sink's file log lists only committed files)."""
-    return spark.read.parquet(output).drop("arrival_date")
+    landed = spark.read.parquet(output).drop("arrival_date")
+    if "raw_value" in landed.columns:
+        return landed
+    return landed.withColumn("raw_value", F.lit(None).cast("string"))  # landed before it was kept

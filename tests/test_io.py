@@ -70,7 +70,7 @@ def test_refresh_without_stream_uses_batch_events_only(spark, tmp_root):
     refresh.bronze_ingest(spark, layout, "d1", testdata.raw_tables(spark, SF_SMALL))
     assert refresh.read_stream_landing(spark, layout) is None
     drops = refresh.silver_refresh(spark, layout, "d1")
-    assert lake.read_silver(spark, layout, "events").count() == 800
+    assert lake.read_silver(spark, layout, "events").count() == 1000
     assert drops["pre_signup"] == 796 and drops["missing_fx"] == 162
     assert lake.read_silver(spark, layout, "payments").count() == 3245
 
@@ -109,7 +109,8 @@ def test_malformed_message_lands_as_null_row_and_is_quarantined(spark, tmp_root)
     assert row.event_id is None and row.kafka_ts is not None
     refresh.bronze_ingest(spark, layout, "d1", testdata.raw_tables(spark, SF_SMALL))
     refresh.silver_refresh(spark, layout, "d1")
-    assert lake.read_silver(spark, layout, "events_quarantine").count() == 1
+    (lost,) = lake.read_silver(spark, layout, "events_quarantine").collect()
+    assert lost.source == "stream" and lost.raw_value == "{not json" and lost.kafka_ts is not None
     assert lake.read_silver(spark, layout, "events").where(F.col("event_id").isNull()).count() == 0
 
 
@@ -149,11 +150,11 @@ def test_cli_stream_report_and_constraints(spark, tmp_root, capsys):
 
     raw.write_jsonl(testdata.event_messages(spark, SF_SMALL), f"{tmp_root}/inbox/a")
     assert main(["stream", "--root", f"{tmp_root}/lake", "--inbox", f"{tmp_root}/inbox/*"]) == 0
-    assert landing.read_landing(spark, f"{tmp_root}/lake/bronze/events_stream").count() == 500
+    assert landing.read_landing(spark, f"{tmp_root}/lake/bronze/events_stream").count() == 1000
 
     layout = Layout(f"{tmp_root}/lake")
-    refresh.full_refresh(spark, layout, "d1", testdata.raw_tables(spark, SF_SMALL))
-    assert lake.read_silver(spark, layout, "events").count() == 900  # batch 800 + stream 500, deduplicated
+    refresh.full_refresh(spark, layout, "d1", testdata.raw_tables(spark, SF_SMALL), testdata.PASSING_GATES)
+    assert lake.read_silver(spark, layout, "events").count() == 1200  # batch 1000 + 200 of the stream alone
     capsys.readouterr()
     assert main(["report", "chargeback_rate_by_merchant", "--root", f"{tmp_root}/lake", "--rows", "5"]) == 0
     assert "chargeback_rate_pct" in capsys.readouterr().out
@@ -164,9 +165,9 @@ def test_cli_stream_report_and_constraints(spark, tmp_root, capsys):
 
 def test_rerun_of_a_run_date_is_idempotent(spark, tmp_root):
     layout = Layout(tmp_root)
-    first = refresh.full_refresh(spark, layout, "d1", testdata.raw_tables(spark, SF_SMALL))
+    first = refresh.full_refresh(spark, layout, "d1", testdata.raw_tables(spark, SF_SMALL), testdata.PASSING_GATES)
     kpis_1 = sorted(refresh.published_gold(spark, layout)["agg_daily_kpis"].collect())
-    second = refresh.full_refresh(spark, layout, "d1", testdata.raw_tables(spark, SF_SMALL))
+    second = refresh.full_refresh(spark, layout, "d1", testdata.raw_tables(spark, SF_SMALL), testdata.PASSING_GATES)
     assert first["bronze"] == second["bronze"] and first["silver_drops"] == second["silver_drops"]
     assert second["gold_version"] != first["gold_version"]
     assert lake.current_gold_version(spark, layout) == second["gold_version"]
@@ -191,3 +192,25 @@ def test_empty_datasets_do_not_break_the_refresh(spark, tmp_root):
     g = refresh.published_gold(spark, layout)
     assert g["fct_payments"].count() == 0 and g["dim_date"].count() == 0
     assert g.fraud_signals().count() == 0 and g.ltv_by_cohort().count() == 0
+
+
+def test_gates_are_on_by_default_and_a_refused_run_does_not_publish(spark, tmp_root):
+    from ledgerline.operators.quality import ConstraintsViolated, SuiteFailed
+
+    raw = dict(testdata.raw_tables(spark, SF_SMALL))
+    with pytest.raises(SuiteFailed, match="bronze_payments"):
+        refresh.full_refresh(spark, Layout(f"{tmp_root}/a"), "d1", raw)
+
+    layout = Layout(f"{tmp_root}/b")
+    first = refresh.full_refresh(spark, layout, "d1", raw, testdata.PASSING_GATES)["gold_version"]
+    doubled = raw | {"customers": raw["customers"].union(raw["customers"].where("customer_id = 'c_4'"))}
+    with pytest.raises((ConstraintsViolated, SuiteFailed)):
+        refresh.full_refresh(spark, layout, "d2", doubled, ("gold_fct_payments",))
+    longer = raw | {"customers": raw["customers"].withColumn("country", F.lit("ARG"))}
+    with pytest.raises(ConstraintsViolated, match=r"varchar\(country,2\)"):
+        refresh.full_refresh(spark, layout, "d3", longer, testdata.PASSING_GATES)
+    assert lake.current_gold_version(spark, layout) == first
+    quotes = raw | {"fx_rates": raw["fx_rates"].union(raw["fx_rates"].limit(1))}
+    refresh.bronze_ingest(spark, layout, "d4", quotes)
+    with pytest.raises(ConstraintsViolated, match="fx_rates"):
+        refresh.silver_refresh(spark, layout, "d4")

@@ -34,13 +34,13 @@ def test_fixture_counts_sf0001(spark):
 
     lake = Lake.from_testdata(spark, SF_SMALL)
     assert lake.payments.count() == 4599
-    assert lake.customers.count() == 148 and lake.merchants.count() == 9
+    assert lake.customers.count() == 150 and lake.merchants.count() == 10
     assert lake.chargebacks.count() == 130 and lake.denylist.count() == 3 and lake.fx_rates.count() == 12785
     silver = lake.silver_payments
     assert silver.count() == 3245
     assert silver.agg(F.sum("amount_usd")).first()[0] == Decimal("111164423.2981")
     assert lake.dim_date.count() == 2371 and lake.agg_cohort_ltv.count() == 828
-    assert lake.events.count() == 900 and lake.events_batch_only.count() == 800
+    assert lake.events.count() == 1200 and lake.events_batch_only.count() == 1000
 
 
 def test_mapping_invariants(spark):

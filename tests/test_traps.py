@@ -129,8 +129,9 @@ def test_union_dedupe_keeps_batch_copy_and_quarantines_malformed(spark):
     )
     out = {r.event_id: r for r in events.union_dedupe(batch, stream).collect()}
     assert set(out) == {"e1", "e2"} and out["e1"].customer_id == "c1"
-    _, bad = events.split_malformed(events.align_stream(stream))
-    assert bad.count() == 1
+    unnamed = spark.createDataFrame([(None, "c7", "login", "2024-01-03T00:00:00+00:00")], schema)
+    lost = {r.source: r for r in events.quarantine(batch.union(unnamed), stream).collect()}
+    assert set(lost) == {"batch", "stream"} and '"c7"' in lost["batch"].raw_value
 
 
 def test_denylist_document_is_exploded(spark, tmp_root):
