@@ -43,11 +43,16 @@ def scan_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two run dates, then a rerun of the first: both partitions survive, no duplicates."""
+    """Three run dates; one is rerun with other rows, one with none: only the last run of each stays."""
     layout = _layout(spark, "bronze-overwrite")
     payments = testdata.raw_payments(spark, sf_dir)
-    for ds in ("2001-12-30", RUN_DATE, "2001-12-30"):
-        lake.write_bronze(payments, layout, "payments", ds)
+    other = payments.withColumn("payment_id", F.concat(F.lit("old_"), "payment_id"))
+    runs = [
+        ("2001-12-29", payments), ("2001-12-30", other), (RUN_DATE, payments),
+        ("2001-12-30", payments), ("2001-12-29", payments.limit(0)),
+    ]
+    for ds, rows in runs:
+        lake.write_bronze(rows, layout, "payments", ds)
     landed = spark.read.parquet(layout.bronze("payments"))
     return landed.groupBy(F.col("dt").cast("string").alias("dt")).agg(
         F.count("*").alias("rows"), F.count_distinct("payment_id").alias("payment_ids")
@@ -69,13 +74,13 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A silver table written twice: the second run replaces the first."""
+    """A silver table written twice with different rows: the second run replaces the first."""
     layout = _layout(spark, "silver-snapshot")
     customers = testdata.raw_customers(spark, sf_dir)
     from ledgerline.operators.clean import clean_customers
 
-    for _ in range(2):
-        lake.write_silver(clean_customers(customers), layout, "customers")
+    for rows in (customers.withColumn("customer_id", F.concat(F.lit("old_"), "customer_id")), customers):
+        lake.write_silver(clean_customers(rows), layout, "customers")
     return lake.read_silver(spark, layout, "customers")
 
 

@@ -46,10 +46,10 @@ def test_two_chargebacks_duplicate_a_payment(spark):
 
 
 def test_foreign_quote_currency_is_ignored(spark):
-    fx = [(date(2024, 2, 1), "ARS", "EUR", Decimal("0.0011")), (date(2024, 2, 1), "ARS", "USD", Decimal("0.0012"))]
+    fx = [(date(2024, 2, 1), "BRL", "EUR", Decimal("0.18")), (date(2024, 2, 1), "BRL", "USD", Decimal("0.2"))]
     p, c, m, fxd, cb = frames(spark, [payment()], fx=fx)
     rows = enrich.enrich_payments(p, c, m, fxd, cb).collect()
-    assert len(rows) == 1 and rows[0].amount_usd == Decimal("1.2000")
+    assert len(rows) == 1 and rows[0].amount_usd == Decimal("15.0000")
 
 
 def test_missing_rate_drops_and_is_counted(spark):
@@ -154,7 +154,7 @@ def test_null_payment_date_is_its_own_drop_rule(spark):
 def test_tiny_payment_rounds_to_zero_usd_and_fails_the_silver_gate(spark):
     from ledgerline.operators.quality import SuiteFailed, validate
 
-    p, c, m, fx, cb = frames(spark, [payment(amount="0.01")])
+    p, c, m, fx, cb = frames(spark, [payment(amount="0.0001")])
     silver = enrich.enrich_payments(p, c, m, fx, cb)
     assert silver.first().amount_usd == Decimal("0.0000")
     with pytest.raises(SuiteFailed, match=r"between\(amount_usd\)=1"):
