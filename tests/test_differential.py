@@ -152,7 +152,7 @@ def scenarios(spark):
     for seed, duplicates in ((1, False), (2, False), (3, True)):
         raw = make_raw(seed, duplicates)
         frames = {t: spark.createDataFrame(_records(raw[t]), _nullable(RAW_SCHEMAS[t])) for t in raw}
-        out.append((raw, Lake(frames, fx_rows_bound=len(raw["fx_rates"]))))
+        out.append((raw, Lake(frames)))
     return out
 
 
@@ -224,7 +224,7 @@ def test_explicit_hot_key_split_matches_oracle(spark, scenarios):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     skew.HOT_KEY_ROWS = 20
     try:
-        lake = Lake(cached.raw, fx_rows_bound=len(raw["fx_rates"]))  # plans built under these settings
+        lake = Lake(cached.raw)  # plans built under these settings
         assert "LeftSemi" in plan_text(lake.silver_payments)
         for key in KEYS:
             sdf = to_utc_wall_clock(_spark_query(lake, key))
