@@ -1,8 +1,8 @@
 """URL filter over a tree of path templates per host.
 
-Level by level, a path segment under its parent stays literal if enough of the
-parent's urls have it; otherwise it becomes the wildcard ``*``. Paths beyond
-``MAX_DEPTH`` segments end in ``**``. Sibling branches of equal shape whose
+Level by level, until no url has a further segment, a path segment under its
+parent stays literal if at least ``MIN_URLS`` urls have it, however many the
+parent has; otherwise it becomes the wildcard ``*``. Sibling branches of equal shape whose
 labelled bad rates do not differ significantly are merged into one branch. A template is blocked if its labelled bad rate,
 smoothed towards its host's and that towards the overall rate, reaches
 ``BAD_RATE``. Explicit rules go before the tree.
@@ -10,6 +10,8 @@ smoothed towards its host's and that towards the overall rate, reaches
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,12 +26,12 @@ RULES = [
     ("block", "com", "/de/"),
 ]
 
-MAX_DEPTH = 4
-#: A literal segment has at least so many urls, and this share of its parent's.
+#: A literal segment has at least so many urls.
 MIN_URLS = 20
-MIN_SHARE = 0.02
 #: Branches whose rates differ by at most so many standard errors are similar.
 SIMILAR_Z = 1.96
+#: Branches up to which a group's segment names them all.
+NAMED = 50
 #: Labels that the prior counts for.
 PRIOR_LABELS = 10.0
 BAD_RATE = 0.5
@@ -57,41 +59,49 @@ def matching_rule(rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
     return name, verdict
 
 
-def _grow(urls: DataFrame, max_depth: int, min_urls: int, min_share: float) -> DataFrame:
-    """``urls`` with ``template``: an array of literal segments and wildcards."""
-    rows = urls.withColumn("segments", F.filter(F.split("path", "/"), lambda s: s != ""))
-    rows = rows.withColumn("template", F.array().cast("array<string>"))
-    for depth in range(max_depth):
-        rows = rows.withColumn("segment", F.get("segments", F.lit(depth)))
-        nodes = rows.where("segment is not null").groupBy("host", "template", "segment").agg(F.count("*").alias("n"))
-        nodes = stage(nodes, "url-nodes")
-        parents = nodes.groupBy("host", "template").agg(F.sum("n").alias("total"))
-        literal = nodes.join(parents, ["host", "template"])
-        literal = literal.where((F.col("n") >= min_urls) & (F.col("n") >= F.col("total") * min_share))
-        literal = stage(literal.select("host", "template", "segment", F.lit(True).alias("literal")), "url-literals")
-        rows = rows.join(literal, ["host", "template", "segment"], "left")
-        step = F.when(F.col("segment").isNull(), F.array().cast("array<string>")).otherwise(
-            F.array(F.when(F.col("literal"), F.col("segment")).otherwise("*"))
-        )
-        rows = rows.withColumn("template", F.concat("template", step)).drop("literal", "segment")
-    deeper = F.size("segments") > max_depth
-    rest = F.when(deeper, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
-    return rows.withColumn("template", F.concat("template", rest)).drop("segments")
-
+def _grow(urls: DataFrame, min_urls: int) -> tuple[DataFrame, int]:
+    """``urls`` with ``template``, an array of literal segments and wildcards, and the levels that can hold literals.
 
-def _merge(templates: DataFrame, max_depth: int) -> DataFrame:
+    A node of fewer than ``min_urls`` urls has no literal below it, so its urls
+    leave with a wildcard for each further segment; so do urls without one.
+    """
+    rows = urls.withColumn("segments", F.filter(F.split("path", "/"), lambda s: s != ""))
+    rows = rows.withColumn("template", F.array().cast("array<string>")).withColumn("large", F.lit(True))
+    done, depth = [], 0
+    while True:
+        rest = F.size("segments") - depth
+        rows = stage(rows.withColumn("open", F.col("large") & (rest > 0)).drop("large"), "url-level")
+        closed = F.concat("template", F.array_repeat(F.lit("*"), rest))
+        done.append(rows.where("not open").withColumn("template", closed).drop("open", "segments"))
+        rows = rows.where("open").drop("open").withColumn("segment", F.get("segments", F.lit(depth)))
+        if rows.isEmpty():
+            return reduce(DataFrame.unionByName, done), depth
+        nodes = rows.groupBy("host", "template", "segment").agg(F.count("*").alias("n"))
+        nodes = nodes.groupBy("host", "template", F.when(F.col("n") >= min_urls, F.col("segment")).alias("segment"))
+        large = stage(nodes.agg(F.sum("n").alias("n")).where(F.col("n") >= min_urls).drop("n"), "url-nodes")
+        literal = large.where("segment is not null").withColumn("literal", F.lit(True))
+        others = large.where("segment is null").select("host", "template", F.lit(True).alias("others"))
+        rows = rows.join(literal, ["host", "template", "segment"], "left").join(others, ["host", "template"], "left")
+        step = F.array(F.when(F.col("literal"), F.col("segment")).otherwise("*"))
+        rows = rows.withColumn("large", F.coalesce("literal", "others", F.lit(False)))
+        rows = rows.withColumn("template", F.concat("template", step)).drop("literal", "others", "segment")
+        depth += 1
+
+
+def _merge(templates: DataFrame, levels: int) -> DataFrame:
     """``templates`` (host, template, labelled, bad) with ``merged``, after joining similar siblings at every depth.
 
     Siblings are ordered by their bad rate (one more label of each kind added);
     a new group begins where a branch differs from the one before it by
     ``SIMILAR_Z`` standard errors of two proportions. A group's segment lists its
-    branches, of which a family has at most 1 / ``min_share``.
+    branches up to ``NAMED`` of them; beyond, it gives the first and the count of
+    the others (groups of a family have no branch in common, so names differ).
     """
     rows = templates.withColumn("merged", F.col("template"))
     family, order = Window.partitionBy("host", "shape"), ["rate", "segment"]
-    for depth in range(max_depth, 0, -1):
+    for depth in range(levels, 0, -1):
         segment = F.get("merged", F.lit(depth - 1))
-        before, after = F.slice("merged", 1, depth - 1), F.slice("merged", depth + 1, max_depth + 1)
+        before, after = F.slice("merged", 1, depth - 1), F.slice("merged", depth + 1, F.size("merged"))
         branches = rows.where(segment.isNotNull() & (segment != "*")).groupBy("host", "merged").agg(
             (F.sum("labelled") + 2).alias("n"), (F.sum("bad") + 1).alias("b")
         )
@@ -103,7 +113,10 @@ def _merge(templates: DataFrame, max_depth: int) -> DataFrame:
         branches = branches.withColumn("new", F.coalesce((F.abs(F.col("rate") - pb / pn) > SIMILAR_Z * error).cast("int"), F.lit(0)))
         branches = branches.withColumn("group", F.sum("new").over(family.orderBy(*order)))
         group = Window.partitionBy("host", "shape", "group")
-        name = F.array_join(F.array_sort(F.collect_set("segment").over(group)), "|")
+        branches = branches.withColumn("place", F.row_number().over(group.orderBy("segment")))
+        size, first = F.count("*").over(group), F.min("segment").over(group)
+        listed = F.array_join(F.array_sort(F.collect_set(F.when(F.col("place") <= NAMED, F.col("segment"))).over(group)), "|")
+        name = F.when(size <= NAMED, listed).otherwise(F.concat(first, F.lit("|+"), size - 1))
         joined = F.concat(before, F.array(name), after)
         renamed = stage(branches.select("host", "merged", joined.alias("renamed")), "url-branches")
         rows = rows.join(renamed, ["host", "merged"], "left").withColumn("merged", F.coalesce("renamed", "merged"))
@@ -115,9 +128,7 @@ def filter_urls(
     pages: DataFrame,
     labels: DataFrame,
     rules: list[tuple[str, str, str]] | None = None,
-    max_depth: int = MAX_DEPTH,
     min_urls: int = MIN_URLS,
-    min_share: float = MIN_SHARE,
     bad_rate: float = BAD_RATE,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, template, bad_rate``: one row per row of ``pages``.
@@ -135,11 +146,12 @@ def filter_urls(
     bad = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
     known = labels.where("doc_id is not null and (quality is not null or toxic is not null)")
     known = known.groupBy(F.col("doc_id").cast("long").alias("page_id")).agg(F.max(bad.cast("int")).alias("is_bad"))
-    grown = stage(_grow(urls, max_depth, min_urls, min_share).join(known, "page_id", "left"), "url-grown")
+    grown, levels = _grow(urls, min_urls)
+    grown = stage(grown.join(known, "page_id", "left"), "url-grown")
     templates = grown.groupBy("host", "template").agg(
         F.count("is_bad").alias("labelled"), F.coalesce(F.sum("is_bad"), F.lit(0)).alias("bad")
     )
-    merged = _merge(stage(templates, "url-templates"), max_depth)
+    merged = _merge(stage(templates, "url-templates"), levels)
     overall = merged.agg(F.sum("bad").alias("b"), F.sum("labelled").alias("n")).first()
     prior = (overall["b"] or 0) / (overall["n"] or 1)
     by_host, by_template = Window.partitionBy("host"), Window.partitionBy("host", "merged")

@@ -62,3 +62,22 @@ def test_templates_merge_and_judge(spark):
     out = url_templates.filter_urls(pages, labels)
     got = {(r["template"], r["verdict"], r["n"]) for r in out.groupBy("template", "verdict").count().withColumnRenamed("count", "n").collect()}
     assert got == {("/de|en/*", "allow", 200), ("/spam/*", "block", 100)}
+
+
+def test_small_directories_of_a_large_host_stay_literal(spark):
+    """60 directories of 25 urls each (under 2% of the host): the one labelled bad is blocked, the others are not."""
+    urls = [(i, f"http://h.net/d{i % 60:02}/{1000 + i}") for i in range(1500)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i % 60 != 7), 0) for i in range(1500)], "doc_id long, quality int, toxic int")
+    blocked = url_templates.filter_urls(pages, labels).where("verdict = 'block'").select("template", "path").collect()
+    assert len(blocked) == 25 and {r["template"] for r in blocked} == {"/d07/*"} and all(r["path"].startswith("/d07/") for r in blocked)
+
+
+def test_urls_that_differ_in_a_deep_segment(spark):
+    urls = [(i, f"http://h.net/a/b/c/d/{('good', 'spam')[i % 2]}/{1000 + i}") for i in range(200)]
+    pages = spark.createDataFrame([*urls, (900, "http://h.net/a/b/c/d/rare/x/y/z")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0), 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    out = url_templates.filter_urls(pages, labels)
+    got = {(r["template"], r["verdict"], r["n"]) for r in out.groupBy("template", "verdict").count().withColumnRenamed("count", "n").collect()}
+    rare = {g for g in got if g[0] == "/a/b/c/d/*/*/*/*"}
+    assert got - rare == {("/a/b/c/d/good/*", "allow", 100), ("/a/b/c/d/spam/*", "block", 100)} and len(rare) == 1
