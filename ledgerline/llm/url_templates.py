@@ -2,17 +2,21 @@
 
 Level by level, until no url has a further segment, a path segment under its
 parent stays literal if at least ``MIN_URLS`` urls have it, however many the
-parent has; otherwise it becomes the wildcard ``*``. Sibling branches of equal shape whose
-labelled bad rates do not differ significantly are merged into one branch. A template is blocked if its labelled bad rate,
-smoothed towards its host's and that towards the overall rate, reaches
-``BAD_RATE``. Explicit rules go before the tree.
+parent has; otherwise it becomes the wildcard ``*``. Sibling branches of equal
+shape are merged into groups in which no two differ significantly in their
+labelled bad rates. A template is blocked if its labelled bad rate, smoothed
+towards its parent's, that towards the host's and that towards the overall rate,
+reaches ``BAD_RATE``. Explicit rules go before the tree.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import stage
@@ -30,6 +34,8 @@ RULES = [
 MIN_URLS = 20
 #: Branches whose rates differ by at most so many standard errors are similar.
 SIMILAR_Z = 1.96
+#: Fewer labels cannot differ from as many others, all good against all bad; such branches stay by themselves.
+TELLING = 4
 #: Branches up to which a group's segment names them all.
 NAMED = 50
 #: Labels that the prior counts for.
@@ -88,42 +94,118 @@ def _grow(urls: DataFrame, min_urls: int) -> tuple[DataFrame, int]:
         depth += 1
 
 
+def similar_groups(types: list[tuple[int, int]]) -> list[int]:
+    """The group of each (labelled, bad) of a family's branches.
+
+    In order of their rates (one more label of each kind added), a type joins
+    the group before it if it differs from none of the group's types by
+    ``SIMILAR_Z`` standard errors of two proportions, nor, having more labels
+    than each of them, from all of them together.
+    """
+    n, b = (np.array(x, float) for x in zip(*types, strict=True))
+    rate = (b + 1) / (n + 2)
+
+    def similar(i: int, labelled: np.ndarray, bad: np.ndarray) -> np.ndarray:
+        n1, n2 = n[i] + 2, labelled + 2
+        pooled = (b[i] + bad + 2) / (n1 + n2)
+        error = np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n2))
+        return np.abs(rate[i] - (bad + 1) / n2) <= SIMILAR_Z * error
+
+    groups, group, members = [0] * len(types), -1, []
+    for i in np.lexsort((n, rate)):
+        own_n, own_b = n[members], b[members]
+        fits = bool(members) and similar(i, own_n, own_b).all()
+        if fits and n[i] > own_n.max():
+            fits = similar(i, own_n.sum(), own_b.sum())
+        if not fits:
+            group, members = group + 1, []
+        members.append(i)
+        groups[i] = group
+    return groups
+
+
+def _grouped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        out = [
+            (host, shape, t["labelled"], t["bad"], group)
+            for host, shape, types in zip(batch["host"], batch["shape"], batch["types"], strict=True)
+            for t, group in zip(types, similar_groups([(t["labelled"], t["bad"]) for t in types]), strict=True)
+        ]
+        yield pd.DataFrame(out, columns=["host", "shape", "labelled", "bad", "group"])
+
+
 def _merge(templates: DataFrame, levels: int) -> DataFrame:
     """``templates`` (host, template, labelled, bad) with ``merged``, after joining similar siblings at every depth.
 
-    Siblings are ordered by their bad rate (one more label of each kind added);
-    a new group begins where a branch differs from the one before it by
-    ``SIMILAR_Z`` standard errors of two proportions. A group's segment lists its
+    Branches of fewer than ``TELLING`` labels stay alone. Those of equal labels
+    are alike, so a family's groups are found on its distinct (labelled, bad)
+    pairs, of which L labels allow about L ** (2 / 3). A group's segment lists its
     branches up to ``NAMED`` of them; beyond, it gives the first and the count of
     the others (groups of a family have no branch in common, so names differ).
     """
     rows = templates.withColumn("merged", F.col("template"))
-    family, order = Window.partitionBy("host", "shape"), ["rate", "segment"]
+    kind = ["host", "shape", "labelled", "bad"]
     for depth in range(levels, 0, -1):
         segment = F.get("merged", F.lit(depth - 1))
         before, after = F.slice("merged", 1, depth - 1), F.slice("merged", depth + 1, F.size("merged"))
         branches = rows.where(segment.isNotNull() & (segment != "*")).groupBy("host", "merged").agg(
-            (F.sum("labelled") + 2).alias("n"), (F.sum("bad") + 1).alias("b")
+            F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")
         )
-        branches = branches.withColumn("segment", segment).withColumn("shape", F.concat(before, F.array(F.lit("*")), after))
-        branches = branches.withColumn("rate", F.col("b") / F.col("n"))
-        pn, pb = (F.lag(c).over(family.orderBy(*order)) for c in ("n", "b"))
-        pooled = (F.col("b") + pb) / (F.col("n") + pn)
-        error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n") + 1 / pn))
-        branches = branches.withColumn("new", F.coalesce((F.abs(F.col("rate") - pb / pn) > SIMILAR_Z * error).cast("int"), F.lit(0)))
-        branches = branches.withColumn("group", F.sum("new").over(family.orderBy(*order)))
-        group = Window.partitionBy("host", "shape", "group")
-        branches = branches.withColumn("place", F.row_number().over(group.orderBy("segment")))
-        size, first = F.count("*").over(group), F.min("segment").over(group)
-        listed = F.array_join(F.array_sort(F.collect_set(F.when(F.col("place") <= NAMED, F.col("segment"))).over(group)), "|")
-        name = F.when(size <= NAMED, listed).otherwise(F.concat(first, F.lit("|+"), size - 1))
-        joined = F.concat(before, F.array(name), after)
-        renamed = stage(branches.select("host", "merged", joined.alias("renamed")), "url-branches")
+        branches = branches.where(F.col("labelled") >= TELLING).withColumn("segment", segment)
+        branches = stage(branches.withColumn("shape", F.concat(before, F.array(F.lit("*")), after)), "url-branches")
+        families = branches.select(*kind).distinct().groupBy("host", "shape").agg(F.collect_list(F.struct("labelled", "bad")).alias("types"))
+        groups = families.mapInPandas(_grouped, "host string, shape array<string>, labelled long, bad long, group int")
+        branches = stage(branches.join(groups, kind), "url-grouped")
+        group = ["host", "shape", "group"]
+        several = branches.groupBy(*group).agg(F.count("*").alias("size"), F.min("segment").alias("first")).where("size > 1")
+        several = stage(several, "url-groups")
+        few = branches.join(several.where(F.col("size") <= NAMED), group, "left_semi")
+        names = few.groupBy(*group).agg(F.array_join(F.array_sort(F.collect_list("segment")), "|").alias("name"))
+        many = several.where(F.col("size") > NAMED).select(*group, F.concat("first", F.lit("|+"), F.col("size") - 1).alias("name"))
+        renamed = branches.join(names.unionByName(many), group)
+        renamed = renamed.select("host", "merged", F.concat(before, F.array("name"), after).alias("renamed"))
         rows = rows.join(renamed, ["host", "merged"], "left").withColumn("merged", F.coalesce("renamed", "merged"))
         rows = stage(rows.drop("renamed"), "url-merged")
     return rows
 
 
+def _smoothed(bad: Column, labelled: Column, towards: Column) -> Column:
+    return (bad + PRIOR_LABELS * towards) / (labelled + PRIOR_LABELS)
+
+
+def _judge(merged: DataFrame, levels: int) -> DataFrame:
+    """``merged`` templates with ``bad_rate``.
+
+    The overall rate is the prior of a host, and down the tree a node's prior is
+    the rate of the nearest node above that has further labels, else the host's.
+    A template's rate is that of its merged group, whose prior is the mean of
+    its templates' by their labels; without labels, it is the template's prior.
+    """
+    overall = merged.agg(F.sum("bad").alias("b"), F.sum("labelled").alias("n")).first()
+    overall = F.lit(float((overall["b"] or 0) / (overall["n"] or 1)))
+    sums = (F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
+    hosts = merged.groupBy("host").agg(*sums)
+    hosts = hosts.select("host", "n", _smoothed(F.col("b"), F.col("n"), overall).alias("rate"))
+    rows = merged.join(hosts, "host").withColumn("prior", F.col("rate"))
+    for depth in range(1, levels + 1):
+        rows = rows.withColumnsRenamed({"n": "above", "rate": "above_rate"}).withColumn("node", F.slice("template", 1, depth))
+        nodes = rows.where(F.size("template") >= depth).groupBy("host", "node").agg(*sums)
+        rows = rows.join(nodes, ["host", "node"], "left")
+        inside = (F.size("template") >= depth) & F.col("n").isNotNull()
+        prior = F.when(inside & (F.col("n") < F.col("above")), F.col("above_rate")).otherwise(F.col("prior"))
+        rows = rows.withColumn("prior", prior)
+        rows = rows.withColumn("rate", F.when(inside, _smoothed(F.col("b"), F.col("n"), F.col("prior"))).otherwise(F.col("above_rate")))
+        rows = rows.withColumn("n", F.when(inside, F.col("n")).otherwise(F.col("above")))
+        rows = stage(rows.drop("above", "above_rate", "node", "b"), "url-priors")
+    own = F.when(F.col("labelled") < F.col("n"), F.col("rate")).otherwise(F.col("prior"))
+    rows = rows.select("host", "template", "merged", "labelled", "bad", own.alias("prior"))
+    weighted = F.sum(F.col("prior") * F.col("labelled")) / F.sum("labelled")
+    groups = rows.where("labelled > 0").groupBy("host", "merged").agg(*sums, weighted.alias("towards"))
+    groups = groups.select("host", "merged", _smoothed(F.col("b"), F.col("n"), F.col("towards")).alias("group_rate"))
+    rows = rows.join(groups, ["host", "merged"], "left")
+    return rows.select("host", "template", "merged", F.coalesce("group_rate", "prior").alias("bad_rate"))
+
+
 def filter_urls(
     pages: DataFrame,
     labels: DataFrame,
@@ -152,17 +234,7 @@ def filter_urls(
         F.count("is_bad").alias("labelled"), F.coalesce(F.sum("is_bad"), F.lit(0)).alias("bad")
     )
     merged = _merge(stage(templates, "url-templates"), levels)
-    overall = merged.agg(F.sum("bad").alias("b"), F.sum("labelled").alias("n")).first()
-    prior = (overall["b"] or 0) / (overall["n"] or 1)
-    by_host, by_template = Window.partitionBy("host"), Window.partitionBy("host", "merged")
-
-    def smoothed(window: Window, towards: Column) -> Column:
-        n = F.sum("labelled").over(window)
-        return (F.sum("bad").over(window) + PRIOR_LABELS * towards) / (n + PRIOR_LABELS)
-
-    judged = merged.withColumn("host_rate", smoothed(by_host, F.lit(float(prior))))
-    judged = judged.withColumn("bad_rate", smoothed(by_template, F.col("host_rate")))
-    judged = stage(judged.select("host", "template", "merged", "bad_rate"), "url-judged")
+    judged = stage(_judge(merged, levels), "url-judged")
     name, decided = matching_rule(rules if rules is not None else RULES)
     verdict = F.coalesce(decided, F.when(F.col("bad_rate") >= bad_rate, "block").otherwise("allow"))
     return grown.join(judged, ["host", "template"]).select(

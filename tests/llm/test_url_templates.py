@@ -81,3 +81,28 @@ def test_urls_that_differ_in_a_deep_segment(spark):
     got = {(r["template"], r["verdict"], r["n"]) for r in out.groupBy("template", "verdict").count().withColumnRenamed("count", "n").collect()}
     rare = {g for g in got if g[0] == "/a/b/c/d/*/*/*/*"}
     assert got - rare == {("/a/b/c/d/good/*", "allow", 100), ("/a/b/c/d/spam/*", "block", 100)} and len(rare) == 1
+
+
+def test_no_group_holds_branches_that_differ():
+    groups = url_templates.similar_groups([(200, round(200 * (0.02 + 0.08 * i))) for i in range(13)])
+    assert groups == sorted(groups) and max(groups) >= 5  # .02 to .98: no chain from .18 to .82
+    assert url_templates.similar_groups([(8, 8), (8, 0)]) == [1, 0]
+    assert url_templates.similar_groups([(200, 100), (200, 104), (4, 2)]) == [0, 0, 0]
+    assert url_templates.similar_groups([(4, 0), (200, 110)]) == [0, 0]
+    assert url_templates.similar_groups([(4, 0), (5, 0), (6, 0), (7, 0), (200, 110)])[4] == 1
+
+
+def test_bad_branch_beside_unlabelled_and_mixed_ones(spark):
+    """/bad and /good (8 labels each) stay apart although /none has no label; /casino/new, without any, follows /casino."""
+    urls = [(i, f"http://h.net/{('bad', 'good', 'none')[i % 3]}/{i}") for i in range(90)]
+    urls += [(100 + i, f"http://h.net/casino/{('old', 'new')[i % 2]}/{i}") for i in range(100)]
+    urls += [(1000 + i, f"http://h.net/main/{i}") for i in range(200)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    known = [(i, int(i % 3 == 1)) for i in range(24) if i % 3 < 2] + [(100 + i, 0) for i in range(0, 100, 2)]
+    known += [(1000 + i, 1) for i in range(200)]
+    labels = spark.createDataFrame([(i, q, 0) for i, q in known], "doc_id long, quality int, toxic int")
+    out = url_templates.filter_urls(pages, labels).selectExpr("split(path, '/')[1] || '/' || split(path, '/')[2] AS p", "verdict", "template")
+    got = {(r["p"].split("/")[0] if "casino" not in r["p"] else r["p"], r["template"], r["verdict"]) for r in out.collect()}
+    assert {g[2] for g in got if g[0] == "casino/new"} == {"block"} == {g[2] for g in got if g[0] == "casino/old"}
+    assert {g[2] for g in got if g[0] == "none"} == {"allow"} and {g[1] for g in got if g[0] == "none"} == {"/none/*"}
+    assert {g[1] for g in got if g[0] == "bad"}.isdisjoint(g[1] for g in got if g[0] in ("good", "main"))
