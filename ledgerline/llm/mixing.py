@@ -2,7 +2,7 @@
 
 Tokens are summed by cell (source x language x topic). Raking then scales the
 cells to the target marginals of one dimension after the other until all three
-hold. A document is kept with the probability that its cell's target asks for,
+hold within ``TOLERANCE``. A document is kept with the probability that its cell's target asks for,
 by the hash of its id, and carries the weight that makes expected weighted tokens
 meet the targets where a cell has fewer tokens than asked for. DataFrame
 functions only.
@@ -21,7 +21,10 @@ DIMENSIONS = ("source", "lang", "topic")
 #: Share of the corpus's tokens to sample, and the power that evens out the shares of a dimension's values.
 FRACTION = 0.5
 POWER = 0.5
+#: Rounds of raking at least; then until the margins are within the tolerance (relative), and no more than so many.
 ROUNDS = 8
+TOLERANCE = 1e-3
+MAX_ROUNDS = 500
 SEED = 17
 #: Cells up to which their table is sent to the tasks (a cell is about 100 bytes); beyond, it is joined by a shuffle.
 BROADCAST_CELLS = 100_000
@@ -51,17 +54,31 @@ def smoothed_targets(cells: DataFrame, dimension: str, power: float, total: floa
     return sums.select(dimension, (share * F.lit(total / norm)).alias(f"target_{dimension}"))
 
 
+def margin_error(cells: DataFrame) -> float:
+    """The largest relative distance of a dimension's sums of ``w`` from their targets; targets of 0 hold anyway."""
+    errors = []
+    for d in DIMENSIONS:
+        total, target = F.sum("w").over(Window.partitionBy(d)), F.col(f"target_{d}")
+        errors.append(F.when(target > 0, F.abs(total / target - 1)).otherwise(0.0))
+    return float(cells.select(F.greatest(*errors).alias("e")).agg(F.max("e").alias("e")).first()["e"] or 0.0)
+
+
 def rake(cells: DataFrame, rounds: int) -> DataFrame:
     """``cells`` with ``w``, tokens scaled to ``target_<dimension>`` of every dimension in turn.
 
-    A value whose cells have no tokens cannot be scaled and stays at 0.
+    At least ``rounds`` rounds, and until every sum is within ``TOLERANCE`` of its
+    target; a ``ValueError`` after ``MAX_ROUNDS``, as for targets that no weights
+    of the given cells meet together.
     """
     cells = cells.withColumn("w", F.col("tokens").cast("double"))
-    for _ in range(rounds):
+    done, error = 0, 0.0
+    while done < rounds or (error := margin_error(cells)) > TOLERANCE:
+        if done >= max(rounds, MAX_ROUNDS):
+            raise ValueError(f"margins are still {error:.3g} off their targets after {done} rounds of raking")
         for d in DIMENSIONS:
             total = F.sum("w").over(Window.partitionBy(d))
             cells = cells.withColumn("w", F.when(total > 0, F.col("w") * F.col(f"target_{d}") / total).otherwise(0.0))
-        cells = stage(cells, "mix-round")
+        cells, done = stage(cells, "mix-round"), done + 1
     return cells
 
 
@@ -105,7 +122,7 @@ def mix_sources(
     ``targets`` may give ``(<dimension>, share)`` tables; a dimension without one
     aims at its token shares to the ``power``, and a value that a given table
     leaves out is not sampled. Together the targets ask for ``fraction`` of all
-    tokens. Null source or language is a value of its own; a null text has one
+    tokens; targets that cannot be met together are an error. Null source or language is a value of its own; a null text has one
     token. Rows that share an id are drawn alike, a null id as one. An empty
     table gives no rows.
     """

@@ -50,3 +50,27 @@ def test_awkward_rows(spark, awkward):
 def test_main_path_is_native(spark, docs):
     plan = mixing.mix_sources(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_margins_hold_with_the_querys_parameters(spark, docs):
+    rows = docs.withColumn("topic", mixing.topic()).withColumn("n_tokens", mixing.token_count())
+    cells = mixing.mixed_cells(rows.select(*mixing.DIMENSIONS, "n_tokens"), mixing.FRACTION, mixing.POWER, mixing.ROUNDS, None)
+    cells = [(r, r["tokens"] * r["probability"] * r["weight"]) for r in cells.collect()]
+    for d in mixing.DIMENSIONS:
+        tokens, got = Counter(), Counter()
+        for r, w in cells:
+            tokens[r[d]] += r["tokens"]
+            got[r[d]] += w
+        norm = sum(n**mixing.POWER for n in tokens.values())
+        for value, n in tokens.items():
+            want = sum(tokens.values()) * mixing.FRACTION * n**mixing.POWER / norm
+            assert got[value] == pytest.approx(want, rel=1.01 * mixing.TOLERANCE)
+
+
+def test_targets_that_cannot_hold_together_raise(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_ROUNDS", 9)
+    docs = spark.createDataFrame([(1, "a b", "s", "en"), (2, "c d", "t", "de")], "doc_id long, text string, source string, lang string")
+    sources = spark.createDataFrame([("s", 1.0), ("t", 1.0)], "source string, share double")
+    langs = spark.createDataFrame([("en", 3.0), ("de", 1.0)], "lang string, share double")
+    with pytest.raises(ValueError, match="off their targets"):
+        mixing.mix_sources(docs, targets={"source": sources, "lang": langs})
