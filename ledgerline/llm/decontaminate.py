@@ -176,10 +176,20 @@ def _signature_rows(rows: DataFrame, size: int, containment: float, short: list[
     return rows.mapInPandas(run, "id long, partition int, key long")
 
 
+def _short_lengths(items: DataFrame, size: int) -> DataFrame:
+    """Numbers of words of the items with fewer than ``size``, by the words of ``shingles``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            n = batch["text"].map(lambda t: len(_WORD.findall((t or "").lower()))).astype("int64")
+            yield pd.DataFrame({"n": n[(n >= 1) & (n < size)].unique()})
+
+    return items.select("text").mapInPandas(run, "n long")
+
+
 def _by_shuffle(docs: DataFrame, items: DataFrame, size: int, containment: float) -> DataFrame:
     """The same search when the items are too large to send: joins on the signature, then exact containment."""
-    lengths = items.select(F.size(F.expr(r"regexp_extract_all(lower(text), '(?U)\\w+', 0)")).alias("n")).where(f"n between 1 and {size - 1}")
-    short = sorted(r["n"] for r in lengths.distinct().collect())  # at most size - 1 values
+    short = sorted(r["n"] for r in _short_lengths(items, size).distinct().collect())  # at most size - 1 values
     wanted = stage(_signature_rows(items.select(F.col("item_id").alias("id"), "text"), size, containment, short, True), "decon-items")
     rows = docs.select(F.col("doc_id").alias("id"), "text").where("doc_id is not null")
     found = _signature_rows(rows, size, containment, short, False).withColumnRenamed("id", "doc_id")

@@ -71,3 +71,16 @@ def test_query_returns_pairs(spark):
     out = queries.op8_decontaminate(spark, SMALL)
     assert out.columns == ["doc_id", "item_id", "n_shingles", "n_shared", "containment"]
     assert out.agg(F.min("containment")).first()[0] >= 0.8
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+def test_short_items_with_combining_marks(spark, limit):
+    """Python's words end at vowel signs and loose accents: both paths must count them alike."""
+    items = [(1, "हिन्दी"), (2, "café au"), (3, "éé")]
+    docs = [(i, f"vorn eins zwei drei {t} hinten vier sechs") for i, t in items] + [(9, "ohne etwas davon und mehr Worte")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for item in [*([i] for i in items), items]:  # alone, no other item brings its length
+        some = bench.where(F.col("item_id").isin([i for i, _ in item]))
+        found = decontaminate.contained_items(spark.createDataFrame(docs, "doc_id long, text string"), some, broadcast_bytes=limit)
+        got = {tuple(r) for r in found.collect()}
+        assert got == brute(docs, item) and {(i, i) for i, _ in item} <= {g[:2] for g in got}
