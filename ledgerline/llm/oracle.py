@@ -62,3 +62,35 @@ WHERE ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13
 
 
 ORACLE_SQL = {"op4_line_dedup": OP4, "op9_mixing": _op9()}
+
+
+def _op12() -> str:
+    """Turns and losses as stated; formatted lengths from the template's marks and the escapes, each of which adds one."""
+    controls = r"<\|im_start\|>|<\|im_end\|>|</?s>|\[/?INST\]|<</?SYS>>"
+    extra = "len(regexp_extract_all({0}, '" + controls + r"')) + length({0}) - length(replace({0}, '\', ''))"
+    return f"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), line AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+    length('<|im_start|><|im_end|>') + 2 + length(text) + {extra.format("text")}
+    + length(role) + {extra.format("role")} + length(role) - length(replace(role, chr(10), '')) AS n
+  FROM given
+), placed AS (
+  SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS so_far,
+    pos = max(pos) OVER (PARTITION BY conv_id) AS is_last
+  FROM line
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(so_far) FILTER (WHERE role = 'assistant' OR is_last)::BIGINT AS formatted_chars,
+  count(*) FILTER (WHERE role = 'assistant' OR is_last) AS n_examples
+FROM placed GROUP BY conv_id
+"""
+
+
+ORACLE_SQL["op12_chat_format"] = _op12()
