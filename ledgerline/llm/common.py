@@ -14,8 +14,20 @@ from ledgerline.session import scratch_path
 #: ASCII white space, the only characters that separate words or are stripped from lines.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
-#: Rows of one Arrow batch are at most so many; texts are a few kB, so a batch stays near 10 MB.
+#: Bytes of text of one block, the unit that texts are grouped in for block-wise operators.
 BLOCK_BYTES = 8 << 20
+#: Bytes of one Arrow batch on its way to a Python worker (a longer row is a batch of its own).
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch grow beyond ``BATCH_BYTES``: the default, 64 MB, is held several times over by each task.
+
+    The session's own limit stays if it is lower. Called by operators that send texts to Python workers.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

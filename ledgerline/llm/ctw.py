@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import BLOCK_BYTES, ascii_lower, discard, free_finished, stage, text_bytes, total_bytes, with_block
+from ledgerline.llm.common import BLOCK_BYTES, ascii_lower, bound_batches, discard, free_finished, stage, text_bytes, total_bytes, with_block
 from ledgerline.llm.packs import pack, shard_of, split_by, unpack, unpack_all
 
 DEPTH = 5
@@ -40,7 +40,7 @@ DEPTH = 5
 PAD = 0xFF
 #: Positions handled at once, and strings that a shard is expected to get.
 CHUNK = 1 << 20
-COUNT_CHUNK = 1 << 23
+COUNT_CHUNK = 1 << 21
 SHARD_KEYS = 600_000
 #: Bounds of the two top levels: (context byte, decision node).
 TOP = 256 * 256
@@ -86,72 +86,73 @@ def _mix(log_est: np.ndarray, log_children: np.ndarray) -> np.ndarray:
     return np.logaddexp(log_est, log_children) - LN2
 
 
-def decision_nodes(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The eight decision nodes (1..255) that code each byte, and the bit taken at each: arrays (n, 8)."""
-    s = symbols.astype(np.int64)[:, None]
-    level = np.arange(8)
-    return (1 << level) | (s >> (8 - level)), (s >> (7 - level)) & 1
-
-
 class Subtree:
-    """All contexts that end in some two bytes, at depths 2..DEPTH, for the strings of one shard."""
+    """All contexts that end in some two bytes, at depths 2..DEPTH, for the strings of one shard.
+
+    The decision nodes of one depth and level (how many bits of the byte are
+    known) are held together: their keys are the context's bytes followed by
+    those bits, so strings sorted by context and byte have them in order.
+    """
 
     def __init__(self, codes: np.ndarray, counts: np.ndarray):
         """``codes`` are distinct; only those with a positive count have been seen."""
         seen = counts > 0
         codes, counts = codes[seen].astype(np.int64), counts[seen].astype(np.float64)
-        node, bit = decision_nodes(codes & 255)
-        context = codes >> 8
-        self.keys: dict[int, np.ndarray] = {}
-        self.counts: dict[int, np.ndarray] = {}
-        self.log_est: dict[int, np.ndarray] = {}
-        self.log_w: dict[int, np.ndarray] = {}
+        self.keys: dict[tuple[int, int], np.ndarray] = {}
+        self.one: dict[tuple[int, int], np.ndarray] = {}
+        self.stop: dict[tuple[int, int], np.ndarray] = {}
+        log_w: dict[int, np.ndarray] = {}
+        tops = []
         for depth in range(DEPTH, 1, -1):
-            key = ((context & ((1 << (8 * depth)) - 1))[:, None] << 8) | node
-            keys, index = np.unique(key.ravel(), return_inverse=True)
-            weight = np.repeat(counts, 8)
-            ones = np.bincount(index, weights=weight * bit.ravel(), minlength=len(keys))
-            total = np.bincount(index, weights=weight, minlength=len(keys))
-            est = log_kt(total - ones, ones)
-            if depth == DEPTH:
-                log_w = est
-            else:  # a child's key without its oldest byte is its parent's
-                child = self.keys[depth + 1]
-                parent = np.searchsorted(keys, ((child >> 8) & ((1 << (8 * depth)) - 1)) << 8 | (child & 255))
-                log_w = _mix(est, np.bincount(parent, weights=self.log_w[depth + 1], minlength=len(keys)))
-            self.keys[depth], self.counts[depth] = keys, np.stack([total - ones, ones], 1)
-            self.log_est[depth], self.log_w[depth] = est, log_w
+            strings = codes & ((1 << (8 * (depth + 1))) - 1)
+            order = np.argsort(strings, kind="stable")
+            strings, weight = strings[order], counts[order]
+            for level in range(8):
+                prefix = strings >> (8 - level)
+                at = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]][: len(prefix)])
+                keys = prefix[at]
+                total = np.add.reduceat(weight, at) if len(at) else np.empty(0)
+                ones = np.add.reduceat(weight * ((strings >> (7 - level)) & 1), at) if len(at) else np.empty(0)
+                est = log_kt(total - ones, ones)
+                if depth == DEPTH:
+                    log_w[level] = est
+                else:  # a child's key without its oldest byte is its parent's
+                    parent = np.searchsorted(keys, self.keys[depth + 1, level] & ((1 << (8 * depth + level)) - 1))
+                    log_w[level] = _mix(est, np.bincount(parent, weights=log_w[level], minlength=len(keys)))
+                self.keys[depth, level] = keys
+                self.one[depth, level] = (ones + 0.5) / (total + 1.0)
+                self.stop[depth, level] = np.exp(est - log_w[level] - LN2) if depth < DEPTH else np.ones(len(keys))
+                if depth == 2:
+                    node = (1 << level) | (keys & ((1 << level) - 1))
+                    tops.append((((keys >> level) & 255) << 8 | node, total - ones, ones, log_w[level]))
+        self.tops = [np.concatenate(c) for c in zip(*tops, strict=True)]
 
     def top(self) -> pd.DataFrame:
         """Counts and log P_w of the depth-2 nodes, summed by (last byte, decision node)."""
-        keys = self.keys[2]
-        at = ((keys >> 8) & 255) << 8 | (keys & 255)
-        columns = (self.counts[2][:, 0], self.counts[2][:, 1], self.log_w[2])
-        sums = [np.bincount(at, weights=c, minlength=TOP) for c in columns]
+        at = self.tops[0]
+        sums = [np.bincount(at, weights=c, minlength=TOP) for c in self.tops[1:]]
         some = np.flatnonzero(np.bincount(at, minlength=TOP))
         return pd.DataFrame({"at": some, "n0": sums[0][some], "n1": sums[1][some], "log_w": sums[2][some]})
 
     def log10(self, codes: np.ndarray, one: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         """log10 of the predicted probability of each string's last byte. ``one``: see ``top_levels``."""
         codes = codes.astype(np.int64)
-        node, bit = decision_nodes(codes & 255)
-        node, bit, context = node.ravel(), bit.ravel(), np.repeat(codes >> 8, 8)
-        p = np.full(len(node), 0.5)  # below an unseen context every bit is even
-        for depth in range(DEPTH, 1, -1):
-            keys, counts = self.keys[depth], self.counts[depth]
-            if not len(keys):
-                continue
-            key = ((context & ((1 << (8 * depth)) - 1)) << 8) | node
-            i = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            here = keys[i] == key
-            zeros, ones = counts[:, 0], counts[:, 1]
-            odds = (ones + 0.5) / (zeros + ones + 1.0)  # of a one
-            kt = np.where(bit == 1, odds[i], 1 - odds[i])
-            stop = 1.0 if depth == DEPTH else np.exp(self.log_est[depth] - self.log_w[depth] - LN2)[i]
-            p = np.where(here, stop * kt + (1 - stop) * p, p)
         add, scale = one
-        at = ((context & 255) << 8) | node
-        return np.log10(add[at, bit] + scale[at] * p).reshape(-1, 8).sum(1)
+        out = np.zeros(len(codes))
+        for level in range(8):
+            bit = (codes >> (7 - level)) & 1
+            p = np.full(len(codes), 0.5)  # below an unseen context every bit is even
+            for depth in range(DEPTH, 1, -1):
+                keys = self.keys[depth, level]
+                if not len(keys):
+                    continue
+                key = (codes & ((1 << (8 * (depth + 1))) - 1)) >> (8 - level)
+                i = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                odds, stop = self.one[depth, level][i], self.stop[depth, level][i]
+                p = np.where(keys[i] == key, stop * np.where(bit == 1, odds, 1 - odds) + (1 - stop) * p, p)
+            at = (codes & 0xFF00) | (1 << level) | ((codes & 255) >> (8 - level))
+            out += np.log10(add[at, bit] + scale[at] * p)
+        return out
 
 
 def top_levels(top: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -387,6 +388,7 @@ def ctw_scores(
     even. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     n_bytes = total_bytes(rows, "text")
     blocks = max(1, -(-n_bytes // BLOCK_BYTES))
