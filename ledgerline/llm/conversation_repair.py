@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ledgerline.llm.common import ASCII_SPACE, stage
+from ledgerline.llm.common import ASCII_SPACE, bound_batches, stage
 
 START, SYSTEM, USER, ASSISTANT = range(4)
 STATES = (START, SYSTEM, USER, ASSISTANT)
@@ -302,6 +302,7 @@ def repair_report(rows: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     with a null ``conv_id`` are one conversation. Other columns are ignored; an
     empty table gives no rows.
     """
+    bound_batches(rows.sparkSession)
     rows = _clean(rows)
     slim = _slim(rows)
     seen = (
@@ -342,6 +343,7 @@ def _arrow_schema(ddl: str) -> pa.Schema:
 
 def _with_audits(rows: DataFrame, report: DataFrame) -> DataFrame:
     """Each conversation's audit, then its rows in order, within one partition; texts are moved once."""
+    bound_batches(rows.sparkSession)
     rows = _clean(rows).withColumn("print", _print("role", "text"))
     lines = rows.select("conv_id", F.lit(1).alias("kind"), "turn", "role", "print", "text")
     audits = report.select(

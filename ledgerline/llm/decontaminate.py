@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stage
+from ledgerline.llm.common import bound_batches, stage
 
 WORDS = 5
 CONTAINMENT = 0.8
@@ -243,6 +243,7 @@ def contained_items(
     give one pair (of repeated ids, the row that shares most counts). Other
     columns are ignored; an empty table on either side gives no rows.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.where("item_id is not null").distinct()

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import ASCII_SPACE, ascii_lower, stage
+from ledgerline.llm.common import ASCII_SPACE, ascii_lower, bound_batches, stage
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -170,14 +170,15 @@ def line_dedup(
     holds them; all other lines stay, joined by a newline. A null or empty text
     is one empty line; a null text that loses nothing stays null. Rows that
     share a doc_id are one document: counted once, kept or cut alike. Rows with
-    a null id are not counted and keep no frequent line. The output must not
-    already have columns ``n_lines``, ``n_dropped``, ``__id`` or ``__drop``
-    (they are renamed on the way in: see ``_fresh``). An empty table gives no rows.
+    a null id are not counted and keep no frequent line. Columns
+    named ``n_lines``, ``n_dropped``, ``__id`` or ``__drop`` are replaced or left
+    out. An empty table gives no rows.
 
     The table is fed in ``batches`` (by the hash of the id); the runs then
     screen every batch once all of them are in, because the rule counts
     documents of the whole table.
     """
+    bound_batches(docs.sparkSession)
     docs = _fresh(docs)
     lines = line_hashes(docs, min_chars, id_column, text_column).withColumn(
         "batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")

@@ -15,16 +15,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stage
+from ledgerline.llm.common import discard, stage
 
 DIMENSIONS = ("source", "lang", "topic")
 #: Share of the corpus's tokens to sample, and the power that evens out the shares of a dimension's values.
 FRACTION = 0.5
 POWER = 0.5
-#: Rounds of raking at least; then until the margins are within the tolerance (relative), and no more than so many.
+#: Rounds of raking after which the margins are checked, until they are within the tolerance (relative), and at most so many.
 ROUNDS = 8
 TOLERANCE = 1e-3
-MAX_ROUNDS = 500
+MAX_ROUNDS = 504
 SEED = 17
 #: Cells up to which their table is sent to the tasks (a cell is about 100 bytes); beyond, it is joined by a shuffle.
 BROADCAST_CELLS = 100_000
@@ -66,20 +66,25 @@ def margin_error(cells: DataFrame) -> float:
 def rake(cells: DataFrame, rounds: int) -> DataFrame:
     """``cells`` with ``w``, tokens scaled to ``target_<dimension>`` of every dimension in turn.
 
-    At least ``rounds`` rounds, and until every sum is within ``TOLERANCE`` of its
-    target; a ``ValueError`` after ``MAX_ROUNDS``, as for targets that no weights
-    of the given cells meet together.
+    Rounds run in one job for each ``rounds`` of them, after which the sums are
+    checked: it ends when every sum is within ``TOLERANCE`` of its target. A
+    ``ValueError`` after ``MAX_ROUNDS``, as for targets that no weights of the
+    given cells meet together.
     """
     cells = cells.withColumn("w", F.col("tokens").cast("double"))
-    done, error = 0, 0.0
-    while done < rounds or (error := margin_error(cells)) > TOLERANCE:
-        if done >= max(rounds, MAX_ROUNDS):
-            raise ValueError(f"margins are still {error:.3g} off their targets after {done} rounds of raking")
-        for d in DIMENSIONS:
+    done = 0
+    while True:
+        before = cells
+        for d in DIMENSIONS * rounds:
             total = F.sum("w").over(Window.partitionBy(d))
             cells = cells.withColumn("w", F.when(total > 0, F.col("w") * F.col(f"target_{d}") / total).otherwise(0.0))
-        cells, done = stage(cells, "mix-round"), done + 1
-    return cells
+        cells, done = stage(cells, "mix-rounds"), done + rounds
+        if done > rounds:
+            discard(before)
+        if (error := margin_error(cells)) <= TOLERANCE:
+            return cells
+        if done >= MAX_ROUNDS:
+            raise ValueError(f"margins are still {error:.3g} off their targets after {done} rounds of raking")
 
 
 def mixed_cells(docs: DataFrame, fraction: float, power: float, rounds: int, targets: dict[str, DataFrame] | None) -> DataFrame:

@@ -24,25 +24,38 @@ FROM judged GROUP BY doc_id
 """
 
 
-def _op9(rounds: int = 8, fraction: float = 0.5, power: float = 0.5, seed: int = 17) -> str:
-    """The raking of ``mixing.mix_sources``, one common table per step."""
+def _op9(rounds: int = 8, blocks: int = 10, tolerance: float = 1e-3, fraction: float = 0.5, power: float = 0.5, seed: int = 17) -> str:
+    """The raking of ``mixing.mix_sources``, one common table per step.
+
+    After each ``rounds`` rounds the margins are measured; the weights are those of the first block of rounds after
+    which they are within the tolerance. No row is kept if none of the unrolled blocks is.
+    """
+    dimensions = ("source", "lang", "topic")
     steps = []
-    for d in ("source", "lang", "topic"):
+    for d in dimensions:
         steps.append(
-            f"t_{d} AS (SELECT {d}, n / sum(n) OVER () * (SELECT {fraction} * sum(tokens) FROM cells) AS target "
+            f"t_{d} AS MATERIALIZED (SELECT {d}, n / sum(n) OVER () * (SELECT {fraction} * sum(tokens) FROM cells) AS target "
             f"FROM (SELECT {d}, pow(sum(tokens), {power}) AS n FROM cells GROUP BY {d}))"
         )
     last = "w0"
     steps.append("w0 AS (SELECT *, tokens::DOUBLE AS w FROM cells)")
-    for i in range(rounds):
-        for d in ("source", "lang", "topic"):
-            name = f"w_{i}_{d}"
-            steps.append(
-                f"{name} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, c.tokens, "
-                f"c.w * t.target / sum(c.w) OVER (PARTITION BY c.{d}) AS w FROM {last} c "
-                f"JOIN t_{d} t ON c.{d} IS NOT DISTINCT FROM t.{d})"
-            )
-            last = name
+    done = []
+    for block in range(blocks):
+        for i in range(rounds):
+            for d in dimensions:
+                name = f"w_{block}_{i}_{d}"
+                steps.append(
+                    f"{name} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, c.tokens, "
+                    f"c.w * t.target / sum(c.w) OVER (PARTITION BY c.{d}) AS w FROM {last} c "
+                    f"JOIN t_{d} t ON c.{d} IS NOT DISTINCT FROM t.{d})"
+                )
+                last = name
+        errors = " UNION ALL ".join(
+            f"SELECT abs(sum(c.w) / any_value(t.target) - 1) AS e FROM {last} c "
+            f"JOIN t_{d} t ON c.{d} IS NOT DISTINCT FROM t.{d} GROUP BY c.{d}"
+            for d in dimensions
+        )
+        done.append(f"SELECT {block} AS block, *, (SELECT max(e) FROM ({errors})) AS error FROM {last}")
     return f"""
 WITH docs AS (
   SELECT doc_id, source, lang, len(string_split(coalesce(text, ''), ' ')) AS n_tokens,
@@ -51,10 +64,12 @@ WITH docs AS (
   FROM documents
 ), cells AS MATERIALIZED (
   SELECT source, lang, topic, sum(n_tokens) AS tokens FROM docs GROUP BY ALL
-), {", ".join(steps)}
+), {", ".join(steps)},
+raked AS MATERIALIZED ({" UNION ALL ".join(done)}),
+final AS (SELECT * FROM raked WHERE block = (SELECT min(block) FROM raked WHERE error <= {tolerance}))
 SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens,
        round(least(1.0, w / tokens), 6) AS probability, round(greatest(1.0, w / tokens), 6) AS weight
-FROM docs d JOIN {last} c ON d.source IS NOT DISTINCT FROM c.source AND d.lang IS NOT DISTINCT FROM c.lang
+FROM docs d JOIN final c ON d.source IS NOT DISTINCT FROM c.source AND d.lang IS NOT DISTINCT FROM c.lang
   AND d.topic IS NOT DISTINCT FROM c.topic
 WHERE ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0
       < least(1.0, w / tokens)

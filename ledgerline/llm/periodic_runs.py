@@ -35,6 +35,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import bound_batches
+
 MIN_WORDS = 12
 #: Scales begin at this gram length; shorter periods (below four times it) are scanned lag by lag.
 FIRST_GRAM = 16
@@ -287,6 +289,7 @@ def periodic_runs(
                     begin, size = i, 0
                 size += n or 0
 
+    bound_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").cast("binary").alias("text")
     )

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import ascii_lower, text_bytes
+from ledgerline.llm.common import ascii_lower, bound_batches, text_bytes
 
 MAX_LABELLED = 16_000
 MAX_POOL = 8_000
@@ -276,6 +276,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
 
 def score_documents(docs: DataFrame, model: Model, name: str = "p_bad") -> DataFrame:
     """``docs`` with the probability that each row is low in quality or toxic; a column of that name is replaced."""
+    bound_batches(docs.sparkSession)
     docs = docs.drop(*[c for c in docs.columns if c.lower() == name.lower()])
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2 x BUCKETS weights
     n = len(docs.columns)

@@ -20,7 +20,7 @@ the bucket and spreads over all tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, count
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import ascii_lower, local_roots, stage, text_bytes
+from ledgerline.llm.common import ascii_lower, bound_batches, local_roots, stage, text_bytes
 from ledgerline.llm.components import connected_components
 
 SEED = 42
@@ -72,17 +72,28 @@ def fingerprint(text: bytes, size: int) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int, id_column: str, text_column: str) -> DataFrame:
-    """``(doc_id, fp)``: one signed 64-bit fingerprint per row; a null text is empty."""
+    """``(doc_id, fp, text_md5)``: one signed 64-bit fingerprint per row; a null text is empty."""
+    bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter(
                 (fingerprint(text_bytes(t.as_py()), size) for t in batch.column(1)), np.uint64, batch.num_rows
             )
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(fps.view(np.int64)), batch.column(2)], names=["doc_id", "fp", "text_md5"]
+            )
+
+    rows = docs.select(
+        F.col(id_column).cast("long").alias("doc_id"),
+        F.col(text_column).cast("string").alias("text"),
+        _text_md5(text_column).alias("text_md5"),
+    )
+    return rows.mapInArrow(run, "doc_id long, fp long, text_md5 binary")
+
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+def _text_md5(text_column: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary")))
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -207,16 +218,49 @@ def simhash_groups(
     non-null id of the group, or null if there is none. Repeated rows stay.
     Other columns of ``docs`` are ignored; an empty table gives no rows.
     """
-    rows = stage(fingerprints(docs, shingle_words, id_column, text_column), "simhash-prints")
+    rows = stage(fingerprints(docs, shingle_words, id_column, text_column).drop("text_md5"), "simhash-prints")
+    labelled = _labelled(rows, max_bits, bucket_rows)
+    lows = stage(labelled.groupBy("component").agg(F.min("low").alias("component_id")), "simhash-lows")
+    classes = stage(labelled.join(lows, "component").select("fp", "component_id"), "simhash-classes")
+    return rows.join(classes, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _labelled(rows: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
+    """``fp, low, component``: each fingerprint, the smallest id that has it, the smallest fingerprint of its component."""
     # Equal fingerprints are one node: the minimum is combined before the shuffle, however many copies there are.
     nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-nodes")
     parts = connected_components(near_links(nodes.select("fp"), max_bits, bucket_rows), "simhash")
     labelled = nodes.join(parts, nodes["fp"] == parts["node"], "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("component")
     )
-    labelled = stage(labelled, "simhash-labelled")
-    lows = stage(labelled.groupBy("component").agg(F.min("low").alias("component_id")), "simhash-lows")
-    classes = stage(labelled.join(lows, "component").select("fp", "component_id"), "simhash-classes")
-    return rows.join(classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return stage(labelled, "simhash-labelled")
+
+
+def one_per_group(
+    docs: DataFrame,
+    shingle_words: int = 4,
+    max_bits: int = 4,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    bucket_rows: int = 4096,
+) -> DataFrame:
+    """The rows of ``docs`` with one row of each SimHash group, all columns kept.
+
+    The row with the smallest id stays, rows without an id coming after all
+    others; of several texts of that id, the one with the least MD5. Groups are
+    told apart by their fingerprints, not by ids: rows that share an id but not
+    a group are judged each in its own group. Of rows equal in id and text (null
+    and empty texts are equal) one stays; if they differ in other columns, any.
+    An empty table gives no rows.
+    """
+    rows = stage(fingerprints(docs, shingle_words, id_column, text_column), "simhash-prints")
+    labelled = _labelled(rows, max_bits, bucket_rows)
+    place = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_md5")
+    first = rows.join(labelled.select("fp", "component"), "fp").groupBy("component").agg(F.min(place).alias("first"))
+    kept = stage(first.select(F.col("first.doc_id").alias("i"), F.col("first.text_md5").alias("m")), "simhash-kept")
+    mark = next(c for c in ("_" * n + "text_md5" for n in count(2)) if c not in docs.columns)
+    marked = docs.withColumn(mark, _text_md5(text_column))
+    same = marked[id_column].cast("long").eqNullSafe(kept["i"]) & (marked[mark] == kept["m"])
+    return marked.join(kept, same, "left_semi").dropDuplicates([id_column, mark]).drop(mark)
