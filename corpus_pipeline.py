@@ -27,12 +27,11 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: that of the smallest id; documents without one come after all others."""
-    stand_in = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    keyed = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), stand_in))
-    groups = simhash.simhash_groups(keyed, id_column="__key")
-    kept = stage(groups.select(F.col("component_id").alias("__key")).distinct(), "pipeline-simhash-kept")
-    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    """One document of each SimHash group: that of the smallest id; documents without one come after all others.
+
+    Documents that share an id but not a group each stand for their own group; of equal ones, one stays.
+    """
+    return simhash.one_per_group(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
