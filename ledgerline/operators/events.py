@@ -37,12 +37,23 @@ def quarantine(batch: DataFrame, stream_landing: DataFrame) -> DataFrame:
     return from_stream.unionByName(from_batch, allowMissingColumns=True)
 
 
-def union_dedupe(batch: DataFrame, stream: DataFrame) -> DataFrame:
-    """Union by name (missing columns become NULL), one row per ``event_id``."""
+def ranked(batch: DataFrame, stream: DataFrame) -> DataFrame:
+    """Union by name (missing columns become NULL): ``event_id, survivor``, the struct of the copy that stays.
+
+    Copies are ranked by that struct: the least one stays.
+    """
     both = batch.withColumn("_source", F.lit(0)).unionByName(
         align_stream(stream).withColumn("_source", F.lit(1)), allowMissingColumns=True
     )
-    survivor = F.min(F.struct("_source", "event_ts", "customer_id", "type")).alias("_s")
-    return both.where(F.col("event_id").isNotNull()).groupBy("event_id").agg(survivor).select(
-        "event_id", "_s.customer_id", "_s.type", "_s.event_ts"
-    )
+    survivor = F.min(F.struct("_source", "event_ts", "customer_id", "type")).alias("survivor")
+    return both.where(F.col("event_id").isNotNull()).groupBy("event_id").agg(survivor)
+
+
+def survivor_columns(rows: DataFrame) -> DataFrame:
+    """Events from :func:`ranked` rows."""
+    return rows.select("event_id", "survivor.customer_id", "survivor.type", "survivor.event_ts")
+
+
+def union_dedupe(batch: DataFrame, stream: DataFrame) -> DataFrame:
+    """Both deliveries with one row per ``event_id``."""
+    return survivor_columns(ranked(batch, stream))

@@ -9,15 +9,19 @@ must contain (the mapped data, or its row counts).
 from __future__ import annotations
 
 import uuid
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators import clean
 from ledgerline.plans import refresh
 from ledgerline.plans.catalog import Query
 from ledgerline.schemas import EVENTS, PAYMENTS
 from ledgerline.session import scratch_path
 from ledgerline.sources import lake, raw, testdata
+from ledgerline.sources.event_index import EventIndex, IndexState
 from ledgerline.sources.lake import Layout
 from ledgerline.streaming import landing
 
@@ -80,7 +84,9 @@ def silver_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.operators.clean import clean_customers
 
     for rows in (customers.withColumn("customer_id", F.concat(F.lit("old_"), "customer_id")), customers):
-        lake.write_silver(clean_customers(rows), layout, "customers")
+        run = lake.new_run()
+        entry = lake.write_silver(clean_customers(rows), layout, run, "customers")
+        lake.publish_silver(spark, layout, run, RUN_DATE, {"customers": entry})
     return lake.read_silver(spark, layout, "customers")
 
 
@@ -106,9 +112,9 @@ def events_batch_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Lake(raw_tables, stream=stream).events
 
 
-def _land_messages(spark: SparkSession, sf_dir: str, layout: Layout) -> None:
+def _land_messages(spark: SparkSession, messages: DataFrame, layout: Layout) -> None:
     inbox = f"{layout.root}/inbox/{uuid.uuid4().hex[:8]}"
-    raw.write_jsonl(testdata.event_messages(spark, sf_dir), inbox)
+    raw.write_jsonl(messages, inbox)
     query = landing.land_events(landing.file_messages(spark, f"{layout.root}/inbox/*"), layout.stream_landing,
                                 layout.stream_checkpoint)
     query.awaitTermination()
@@ -117,18 +123,107 @@ def _land_messages(spark: SparkSession, sf_dir: str, layout: Layout) -> None:
 def stream_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event messages drained from an inbox by an availableNow streaming query."""
     layout = _layout(spark, "stream")
-    _land_messages(spark, sf_dir, layout)
+    _land_messages(spark, testdata.event_messages(spark, sf_dir), layout)
     return landing.read_landing(spark, layout.stream_landing).drop("raw_value")
 
 
 def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream landing + bronze + silver + published gold; the published fact."""
     layout = _layout(spark, "gold")
-    _land_messages(spark, sf_dir, layout)
+    _land_messages(spark, testdata.event_messages(spark, sf_dir), layout)
     refresh.full_refresh(spark, layout, RUN_DATE, testdata.raw_tables(spark, sf_dir), testdata.PASSING_GATES)
     return refresh.published_gold(spark, layout)["fct_payments"]
 
 
+def events_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events reconciled in three runs, each reading only the arrival days that changed.
+
+    A third of the arrival days lands before each run; before the second, the
+    first third's messages are replayed. The batch delivery grows from run to
+    run, so that copies of the stream are indexed before the batch's copy, which
+    outranks them, arrives.
+    """
+    layout = _layout(spark, "events-incremental")
+    messages, batch = testdata.event_messages(spark, sf_dir), testdata.raw_events(spark, sf_dir)
+    day = F.pmod(F.datediff(F.to_date("timestamp"), F.lit("1970-01-01").cast("date")), F.lit(3))
+    index, state = EventIndex(spark, layout.event_index, buckets=8), IndexState(buckets=8)
+    for run in range(3):
+        landed = messages.where(day == run)
+        if run == 1:
+            landed = landed.unionByName(messages.where(day == 0))
+        _land_messages(spark, landed, layout)
+        delivered = batch.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) <= run)
+        state, _ = index.reconcile(delivered, refresh.read_stream_landing(spark, layout), state)
+    return clean.clean_events(index.events(state.batches))
+
+
+CHANGED_MONTH = "1997-03"
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two refreshes that differ in the amounts of one month: the published fact, and which refresh wrote each month."""
+    layout = _layout(spark, "gold-incremental")
+    tables = dict(testdata.raw_tables(spark, sf_dir))
+    in_month = F.col("created_at").startswith(CHANGED_MONTH)
+    amount = F.when(in_month, F.col("amount") * 2).otherwise(F.col("amount"))
+    payments = tables["payments"]
+    versions = []
+    for rows in (payments.withColumn("amount", amount).select(*payments.columns), payments):
+        run = refresh.full_refresh(spark, layout, RUN_DATE, tables | {"payments": rows}, ("gold_fct_payments",))
+        versions.append(run["gold_version"])
+    written = lake.gold_manifest(spark, layout)["months"]
+    second = [date.fromisoformat(m) for m, entry in written.items() if entry["version"] == versions[1]]
+    by = F.when(F.col("date_month").isin(second), 2).otherwise(1).alias("written_by")
+    return refresh.published_gold(spark, layout)["fct_payments"].select("*", by)
+
+
+def _digest(table: str, df: DataFrame) -> DataFrame:
+    """``table_name, rows, digest``: the digest adds up the first 32 bits of each row's MD5, columns in the order of their names."""
+
+    def text(name: str, kind: str):
+        column = F.col(name)
+        if kind == "timestamp":
+            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        elif kind == "double":
+            column = column.cast("decimal(24,6)")
+        return F.coalesce(column.cast("string"), F.lit("~"))
+
+    row = F.concat_ws("|", *(text(c, t) for c, t in sorted(df.dtypes)))
+    head = F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("long")
+    return df.agg(
+        F.lit(table).alias("table_name"), F.count("*").alias("rows"), F.coalesce(F.sum(head), F.lit(0)).alias("digest")
+    )
+
+
+def bronze_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven bronze tables of an ingest, as rows and digests of their contents."""
+    layout = _layout(spark, "bronze-tables")
+    refresh.bronze_ingest(spark, layout, RUN_DATE, testdata.raw_tables(spark, sf_dir))
+    parts = [_digest(t, lake.read_bronze(spark, layout, t, RUN_DATE).drop("_ingested_at")) for t in refresh.RAW_TABLES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def silver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All silver tables of one published version, as rows and digests of their contents."""
+    layout = _layout(spark, "silver-tables")
+    _land_messages(spark, testdata.event_messages(spark, sf_dir), layout)
+    refresh.bronze_ingest(spark, layout, RUN_DATE, testdata.raw_tables(spark, sf_dir))
+    refresh.silver_refresh(spark, layout, RUN_DATE)
+    entries = lake.published_silver(spark, layout)
+    return reduce(
+        DataFrame.unionByName,
+        [_digest(t, lake.read_silver_table(spark, layout, t, entry)) for t, entry in sorted(entries.items())],
+    )
+
+
+def gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six tables of a published gold version, as rows and digests of their contents."""
+    layout = _layout(spark, "gold-tables")
+    refresh.full_refresh(spark, layout, RUN_DATE, testdata.raw_tables(spark, sf_dir), testdata.PASSING_GATES)
+    published = refresh.published_gold(spark, layout)
+    return reduce(DataFrame.unionByName, [_digest(t, published[t]) for t in refresh.GOLD_TABLES])
+
+
 IO_QUERIES: dict[str, Query] = {
     "scan_csv": scan_csv,
     "scan_jsonl": scan_jsonl,
@@ -139,4 +234,9 @@ IO_QUERIES: dict[str, Query] = {
     "events_batch_only": events_batch_only,
     "stream_land": stream_land,
     "gold_refresh": gold_refresh,
+    "events_incremental": events_incremental,
+    "gold_incremental": gold_incremental,
+    "bronze_tables": bronze_tables,
+    "silver_tables": silver_tables,
+    "gold_tables": gold_tables,
 }

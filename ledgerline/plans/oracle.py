@@ -592,3 +592,89 @@ FROM (VALUES ('2001-12-30'), ('2001-12-31')) d(dt),
         ),
     }
 )
+
+
+# ---- Whole jobs: rows and digests of every table they write -------------------------
+
+_EVENTS = ORACLE_SQL["events_union_dedupe"].removeprefix(PREFIX)
+_TIMES = {"created_at_utc", "updated_at_utc", "filed_at", "event_ts", "chargeback_filed_at"}
+
+
+def _digest(table: str, view: str, columns: str | list[str], times: set[str] = _TIMES) -> str:
+    """Rows of a view, and the sum of the first 32 bits of the MD5 of each row (columns by name, ``|`` between, ``~`` for NULL)."""
+    names = columns.split() if isinstance(columns, str) else columns
+
+    def text(c: str) -> str:
+        value = f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')" if c in times else f"CAST({c} AS VARCHAR)"
+        return f"coalesce({value}, '~')"
+
+    row = " || '|' || ".join(map(text, sorted(names)))
+    return (
+        f"SELECT '{table}' AS table_name, count(*) AS rows, "
+        f"CAST(coalesce(sum(CAST('0x' || substr(md5({row}), 1, 8) AS BIGINT)), 0) AS BIGINT) AS digest FROM {view}"
+    )
+
+
+def _digests(*parts: str) -> str:
+    return _q("\nUNION ALL ".join(parts))
+
+
+_MONEY_RAW = "CAST(amount AS DECIMAL(24,6)) AS amount"
+ORACLE_SQL.update(
+    {
+        "events_incremental": ORACLE_SQL["events_union_dedupe"],
+        "gold_incremental": _q(
+            """SELECT *, CAST(date_trunc('month', date_key) AS DATE) AS date_month,
+       CASE WHEN date_trunc('month', date_key) = DATE '1997-03-01' THEN 2 ELSE 1 END AS written_by
+FROM o_fct"""
+        ),
+        "bronze_tables": _digests(
+            _digest("customers", "o_raw_customers", "customer_id signup_date country marketing_channel"),
+            _digest("merchants", "o_raw_merchants", "merchant_id category risk_level created_at"),
+            _digest(
+                "payments",
+                f"(SELECT * REPLACE ({_MONEY_RAW}) FROM o_raw_payments)",
+                "payment_id customer_id merchant_id amount currency status created_at updated_at method",
+            ),
+            _digest("chargebacks", "o_raw_chargebacks", "payment_id reason_code filed_at", set()),
+            _digest(
+                "fx_rates",
+                "(SELECT * REPLACE (CAST(rate AS DECIMAL(24,6)) AS rate) FROM o_raw_fx)",
+                "date from_ccy to_ccy rate",
+            ),
+            _digest("events", "o_raw_events", "event_id customer_id type event_ts", set()),
+            _digest("blacklist", "o_raw_blacklist", "customer_id blacklist_updated_at"),
+        ),
+        "silver_tables": _digests(
+            _digest(
+                "customers",
+                "o_silver_customers",
+                "customer_id signup_date country marketing_channel is_blacklisted cohort_month",
+            ),
+            _digest("merchants", "o_merchants", "merchant_id category risk_level created_at", {"created_at"}),
+            _digest(
+                "payments",
+                "o_silver_payments",
+                "payment_id customer_id merchant_id amount_original currency status method created_at_utc updated_at_utc "
+                "fx_rate_to_usd amount_usd chargeback_reason_code chargeback_filed_at has_chargeback",
+            ),
+            _digest("chargebacks", "o_chargebacks", "payment_id reason_code filed_at"),
+            _digest("fx_rates", "o_fx", "date from_ccy to_ccy rate"),
+            _digest("blacklist", "o_denylist", "customer_id"),
+            _digest("events", f"({_EVENTS})", "event_id customer_id type event_ts"),
+            "SELECT 'events_quarantine', 0, 0",
+        ),
+        "gold_tables": _digests(
+            *(
+                _digest(table, view, columns, _TIMES | ({"created_at"} if table == "dim_merchant" else set()))
+                for table, (view, columns) in _GOLD_VIEWS.items()
+                if table != "fct_payments"
+            ),
+            _digest(
+                "fct_payments",
+                "(SELECT *, CAST(date_trunc('month', date_key) AS DATE) AS date_month FROM o_fct)",
+                [*_GOLD_VIEWS["fct_payments"][1], "date_month"],
+            ),
+        ),
+    }
+)

@@ -12,6 +12,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict
+from datetime import date
 from typing import TypeVar
 
 from pyspark.errors import AnalysisException
@@ -21,8 +23,9 @@ from pyspark.sql import functions as F
 from ledgerline.operators import clean, enrich, events, gold, quality
 from ledgerline.plans.catalog import Gold, gold_schemas
 from ledgerline.sources import lake
-from ledgerline.sources.lake import Layout
-from ledgerline.streaming.landing import read_landing
+from ledgerline.sources.event_index import EventIndex, IndexState, arrived_on
+from ledgerline.sources.lake import Layout, SilverTable
+from ledgerline.streaming.landing import read_landing_days
 
 LOG = logging.getLogger(__name__)
 T = TypeVar("T")
@@ -63,9 +66,9 @@ def bronze_ingest(spark: SparkSession, layout: Layout, ds: str, raw: Mapping[str
 
 
 def read_stream_landing(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    """The stream landing, or ``None`` if the streaming job never ran."""
+    """The stream landing with its arrival days, or ``None`` if the streaming job never ran."""
     try:
-        return read_landing(spark, layout.stream_landing)
+        return read_landing_days(spark, layout.stream_landing)
     except AnalysisException as exc:
         if (exc.getCondition() or "") in _NO_LANDING:
             LOG.info("no stream landing (%s); using batch events only", exc.getCondition())
@@ -73,13 +76,23 @@ def read_stream_landing(spark: SparkSession, layout: Layout) -> DataFrame | None
         raise
 
 
-def silver_refresh(spark: SparkSession, layout: Layout, ds: str) -> dict[str, int]:
-    """Bronze of ``ds`` -> the seven silver tables; returns the payment drop counts.
+def silver_refresh(spark: SparkSession, layout: Layout, ds: str, gate: bool = False) -> dict[str, int]:
+    """Bronze of ``ds`` -> a new silver version; returns the payment drop counts.
+
+    Every table is written into folders of this run; one manifest then
+    publishes them together, so a run that fails, or whose payments do not pass
+    their suite (``gate``), leaves the silver before it as it was.
+
+    With a stream landing, events are reconciled incrementally: only arrival days
+    that changed since the published version are read. Events delivered by
+    earlier runs stay, also if the batch of ``ds`` no longer holds them.
 
     A day and currency quoted twice would price its payments twice, so it fails
     the run (:class:`~ledgerline.operators.quality.ConstraintsViolated`) before
     anything is written.
     """
+    run = lake.new_run()
+    before = lake.published_silver(spark, layout)
     b = {t: lake.read_bronze(spark, layout, t, ds) for t in RAW_TABLES}
     customers = clean.clean_customers(b["customers"])
     merchants = clean.clean_merchants(b["merchants"])
@@ -96,46 +109,88 @@ def silver_refresh(spark: SparkSession, layout: Layout, ds: str) -> dict[str, in
         "fx_rates": fx_rates,
         "blacklist": denylist,
     }
+    tasks: dict[str, Callable[[], dict[str, SilverTable]]] = {}
     stream = read_stream_landing(spark, layout)
     if stream is None:
         outputs["events"] = clean.clean_events(b["events"])
     else:
-        outputs["events_quarantine"] = events.quarantine(b["events"], stream)
-        outputs["events"] = clean.clean_events(events.union_dedupe(b["events"], stream))
+        tasks["events"] = lambda: _reconcile_events(spark, layout, run, b["events"], stream, before)
 
     drops = Observation("silver_drops")
     outputs["payments"] = enrich.enrich_payments_observed(payments, customers, merchants, fx_rates, chargebacks, drops)
 
-    run_concurrently({t: (lambda t=t, df=df: lake.write_silver(df, layout, t)) for t, df in outputs.items()})
-    counts = dict(drops.get)
+    for table, df in outputs.items():
+        tasks[table] = lambda t=table, df=df: {t: lake.write_silver(df, layout, run, t)}
+    written = {name: entry for part in run_concurrently(tasks).values() for name, entry in part.items()}
+    if gate:
+        quality.validate(lake.read_silver_table(spark, layout, "payments", written["payments"]), "silver_payments")
+    lake.publish_silver(spark, layout, run, ds, written)
+    # No payment kept: adaptive execution may cut the observed branch off the plan, so its counts are taken anew.
+    observed = bool(written["payments"].slices)
+    rules = enrich.flag_payment_rules(payments, customers, merchants, fx_rates).agg(*enrich.drop_counts())
+    counts = dict(drops.get) if observed else rules.first().asDict()
     for rule, n in counts.items():
         if n:
             LOG.warning("silver dropped %d payments: %s", n, rule)
     return counts
 
 
+def _reconcile_events(
+    spark: SparkSession, layout: Layout, run: str, batch: DataFrame, landing: DataFrame, before: dict[str, SilverTable]
+) -> dict[str, SilverTable]:
+    """Bring the event index up to date; rows without an id go to the quarantine of their arrival day."""
+    known = before.get("events")
+    state = IndexState(**known.index) if known and known.index else IndexState()
+    state, read = EventIndex(spark, layout.event_index, state.buckets).reconcile(batch, landing, state)
+    LOG.info("events: arrival days read: %s", ", ".join(read) or "none")
+    lost = events.quarantine(batch, landing.where(arrived_on(read)))
+    return {
+        "events": SilverTable(clean.clean_events(batch).schema.jsonValue(), index=asdict(state)),
+        "events_quarantine": lake.write_quarantine(
+            lost, layout, run, [d or lake.NULL_SLICE for d in read], before.get("events_quarantine")
+        ),
+    }
+
+
 def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = True) -> str:
     """Silver -> a new gold version, published only when every table is written.
 
-    Both marts and the calendar are built from the written fact, so they agree
+    The fact's months are compared with those of the published version by their
+    prints; months that did not change are referred to, only the others are
+    read, sorted and written. Both marts and the calendar are built from the written fact, so they agree
     with what was published and nothing is held in executor memory. Unless
     ``gate`` is switched off, the fact's suite and every key and constraint of
     the written tables must hold, else the version is not published.
     """
-    version = lake.new_gold_version()
-    silver = {t: lake.read_silver(spark, layout, t) for t in ("customers", "merchants", "payments")}
+    version = lake.new_run()
+    tables = lake.published_silver(spark, layout)
+    silver = {t: lake.read_silver_table(spark, layout, t, tables[t]) for t in ("customers", "merchants")}
+    payments = lake.read_silver_table(spark, layout, "payments", tables["payments"], slices=True)
+    fct_schema = gold.fct_payments(payments).schema
+    months: dict[str, dict] = {}
 
     def write(table: str, df: DataFrame) -> Callable[[], str]:
         return lambda: lake.write_gold(df, layout, version, table)
 
+    def write_changed_months() -> None:
+        months.update(_unchanged_months(spark, layout, payments))
+        changed = [m for m, entry in months.items() if "version" not in entry]
+        if changed:
+            rows = payments.where(F.col(lake.MONTH_COLUMN).isin([date.fromisoformat(m) for m in changed]))
+            lake.write_gold(gold.fct_payments(rows), layout, version, "fct_payments")
+        for m in changed:
+            months[m]["version"] = version
+        LOG.info("gold fact: %d of %d months written", len(changed), len(months))
+
     run_concurrently(
         {
             "dim_customer": write("dim_customer", gold.dim_customer(silver["customers"])),
             "dim_merchant": write("dim_merchant", gold.dim_merchant(silver["merchants"])),
-            "fct_payments": write("fct_payments", gold.fct_payments(silver["payments"])),
+            "fct_payments": write_changed_months,
         }
     )
-    fct = lake.read_gold(spark, layout, "fct_payments", version, schema=gold.fct_payments(silver["payments"]).schema)
+    where = {m: entry["version"] for m, entry in months.items()}
+    fct = lake.read_gold(spark, layout, "fct_payments", version, fct_schema, where)
     dim_customer = lake.read_gold(
         spark, layout, "dim_customer", version, schema=gold.dim_customer(silver["customers"]).schema
     )
@@ -148,18 +203,33 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = True) -> str:
         tasks["gate"] = lambda: quality.validate(fct, "gold_fct_payments")
     run_concurrently(tasks)
     if gate:
-        quality.enforce_constraints(_gold_version(spark, layout, version).tables)
-    lake.publish_gold(spark, layout, version)
+        quality.enforce_constraints(_gold_version(spark, layout, version, where).tables)
+    lake.publish_gold(spark, layout, version, months, fct_schema.jsonValue())
     return version
 
 
-def _gold_version(spark: SparkSession, layout: Layout, version: str) -> Gold:
+def _unchanged_months(spark: SparkSession, layout: Layout, payments: DataFrame) -> dict[str, dict]:
+    """The prints of all months; those that the published version holds alike name the version that wrote them."""
+    fct = gold.fct_payments(payments)
+    prints = lake.month_prints(fct)
+    log = lake.gold_log(spark, layout)
+    before = log.latest() or {"months": {}, "schema": None}
+    if before["schema"] == fct.schema.jsonValue():
+        for month, entry in before["months"].items():
+            if month in prints and all(entry[k] == prints[month][k] for k in ("rows", "print")):
+                prints[month]["version"] = entry["version"]
+    return prints
+
+
+def _gold_version(spark: SparkSession, layout: Layout, version: str, months: dict[str, str]) -> Gold:
     schemas = gold_schemas(spark)
-    return Gold({t: lake.read_gold(spark, layout, t, version, schemas[t]) for t in GOLD_TABLES})
+    return Gold({t: lake.read_gold(spark, layout, t, version, schemas[t], months) for t in GOLD_TABLES})
 
 
 def published_gold(spark: SparkSession, layout: Layout) -> Gold:
-    return _gold_version(spark, layout, lake.current_gold_version(spark, layout))
+    """The newest gold version; its months are those of one manifest, whatever is published meanwhile."""
+    manifest = lake.gold_manifest(spark, layout)
+    return _gold_version(spark, layout, manifest["version"], {m: e["version"] for m, e in manifest["months"].items()})
 
 
 def full_refresh(
@@ -179,8 +249,6 @@ def full_refresh(
     out: dict = {"bronze": bronze_ingest(spark, layout, ds, raw)}
     if "bronze_payments" in gates:
         quality.validate(lake.read_bronze(spark, layout, "payments", ds), "bronze_payments")
-    out["silver_drops"] = silver_refresh(spark, layout, ds)
-    if "silver_payments" in gates:
-        quality.validate(lake.read_silver(spark, layout, "payments"), "silver_payments")
+    out["silver_drops"] = silver_refresh(spark, layout, ds, gate="silver_payments" in gates)
     out["gold_version"] = gold_refresh(spark, layout, gate="gold_fct_payments" in gates)
     return out

@@ -3,25 +3,29 @@
 * Bronze: one Parquet partition per run date ``dt=<ds>``; a rerun overwrites
   only its own partition folder, siblings are untouched.
   Every row carries ``_ingested_at``.
-* Silver: a full snapshot per table, overwritten by each run.
-* Gold: all six tables of a refresh are written into a fresh version folder;
-  only after every write succeeded is a record added to the ``_CURRENT`` folder,
-  whose newest record names the published version. Records are never replaced or
-  deleted, so a refresh or a publish that fails leaves the previous version
-  published, and readers never see a half-written star schema.
+* Silver: a run writes its tables into folders of its own and publishes them
+  together as one numbered version (:mod:`ledgerline.sources.versions`). A run
+  that fails midway leaves the version before it whole. Payments are stored by
+  month, quarantined events by arrival day, events as an index
+  (:mod:`ledgerline.sources.event_index`).
+* Gold: likewise one version of six tables. The fact is stored by month, and a
+  version refers to the months that did not change since the one before it.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
+from ledgerline.operators import clean
 from ledgerline.schemas import RAW_SCHEMAS
+from ledgerline.sources.event_index import EventIndex, IndexState
+from ledgerline.sources.versions import NULL_SLICE, VersionLog, read_slices, write_slices, written_slices
 
 
 @dataclass(frozen=True)
@@ -33,18 +37,29 @@ class Layout:
     def bronze(self, table: str) -> str:
         return f"{self.root}/bronze/{table}"
 
-    def silver(self, table: str) -> str:
-        return f"{self.root}/silver/{table}"
+    @property
+    def silver(self) -> str:
+        return f"{self.root}/silver"
 
-    def gold_version(self, version: str) -> str:
-        return f"{self.root}/gold/v={version}"
+    def silver_run(self, run: str, table: str) -> str:
+        """A table that a run writes as a whole."""
+        return f"{self.silver}/run={run}/{table}"
 
-    def gold(self, version: str, table: str) -> str:
-        return f"{self.gold_version(version)}/{table}"
+    def silver_sliced(self, table: str) -> str:
+        """A table whose slices the versions share."""
+        return f"{self.silver}/{table}"
+
+    @property
+    def event_index(self) -> str:
+        return f"{self.silver}/events_index"
 
     @property
-    def gold_pointer(self) -> str:
-        return f"{self.root}/gold/_CURRENT"
+    def gold_root(self) -> str:
+        return f"{self.root}/gold"
+
+    def gold(self, version: str, table: str) -> str:
+        """A gold table of a version; of a table stored by month, the folder that all versions share."""
+        return f"{self.gold_root}/{table}" if table in GOLD_PARTITIONS else f"{self.gold_root}/v={version}/{table}"
 
     @property
     def stream_landing(self) -> str:
@@ -92,27 +107,95 @@ def read_bronze(spark: SparkSession, layout: Layout, table: str, ds: str) -> Dat
 
 # ---- silver ----------------------------------------------------------------
 
+MONTH_COLUMN = "date_month"
+DAY_COLUMN = "arrival_date"
+
+
+def new_run() -> str:
+    """A name for one run's folders; versions are ordered by their manifests, not by it."""
+    return time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + "-" + uuid.uuid4().hex[:8]
+
 
-def write_silver(df: DataFrame, layout: Layout, table: str) -> str:
-    path = layout.silver(table)
+@dataclass
+class SilverTable:
+    """Where a version keeps a table: a folder, slices of a shared folder, or batches of the event index."""
+
+    schema: dict
+    path: str | None = None
+    slice_column: str | None = None
+    slices: dict[str, str] | None = None
+    index: dict | None = None
+
+
+def write_silver(df: DataFrame, layout: Layout, run: str, table: str) -> SilverTable:
+    """Write one silver table into an unpublished run; its entry of the manifest.
+
+    Payments are clustered by the month of the payment day, so that gold reads
+    only the months it needs.
+    """
+    schema = df.schema.jsonValue()
+    if table == "payments":
+        root = layout.silver_sliced(table)
+        by_month = cluster_by_month(df, F.to_date("created_at_utc"), ["created_at_utc", "payment_id"])
+        write_slices(by_month, root, MONTH_COLUMN, run)
+        slices = {m: run for m in written_slices(df.sparkSession, root, MONTH_COLUMN, run)}
+        return SilverTable(schema, slice_column=MONTH_COLUMN, slices=slices)
+    path = layout.silver_run(run, table)
     df.write.mode("overwrite").parquet(path)
-    return path
+    return SilverTable(schema, path=path)
 
 
-def read_silver(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
-    return spark.read.parquet(layout.silver(table))
+def write_quarantine(df: DataFrame, layout: Layout, run: str, read_days: list[str], before: SilverTable | None) -> SilverTable:
+    """Quarantined events by arrival day: those of the days read anew, and the batch's (no day); other days stay as they were."""
+    root = layout.silver_sliced("events_quarantine")
+    schema = df.drop(DAY_COLUMN).schema.jsonValue()
+    write_slices(df, root, DAY_COLUMN, run)
+    written = written_slices(df.sparkSession, root, DAY_COLUMN, run)
+    kept = dict(before.slices or {}) if before else {}
+    for day in (*read_days, NULL_SLICE):
+        kept.pop(day, None)
+    return SilverTable(schema, slice_column=DAY_COLUMN, slices=kept | {d: run for d in written})
+
+
+def silver_log(spark: SparkSession, layout: Layout) -> VersionLog:
+    return VersionLog(spark, layout.silver)
+
+
+def publish_silver(spark: SparkSession, layout: Layout, run: str, ds: str, tables: dict[str, SilverTable]) -> int:
+    """Make the tables of a run the current silver, all at once; its version number."""
+    return silver_log(spark, layout).publish(
+        {"run": run, "ds": ds, "tables": {name: asdict(table) for name, table in tables.items()}}
+    )
+
+
+def published_silver(spark: SparkSession, layout: Layout, number: int | None = None) -> dict[str, SilverTable]:
+    """The tables of the newest (or a given) silver version; none before the first."""
+    log = silver_log(spark, layout)
+    manifest = log.latest() if number is None else log.read(number)
+    return {name: SilverTable(**entry) for name, entry in (manifest or {"tables": {}})["tables"].items()}
+
+
+def read_silver_table(spark: SparkSession, layout: Layout, table: str, entry: SilverTable, slices: bool = False) -> DataFrame:
+    """A table of a version; ``slices`` keeps the partition column, for filters that prune."""
+    schema = StructType.fromJson(entry.schema)
+    if entry.index is not None:
+        state = IndexState(**entry.index)
+        return clean.clean_events(EventIndex(spark, layout.event_index, state.buckets).events(state.batches))
+    if entry.slices is not None:
+        df = read_slices(spark, layout.silver_sliced(table), entry.slice_column, DateType(), entry.slices, schema)
+        return df if slices else df.drop(entry.slice_column)
+    return spark.read.schema(schema).parquet(entry.path)
+
+
+def read_silver(spark: SparkSession, layout: Layout, table: str, number: int | None = None) -> DataFrame:
+    """A table of the newest (or a given) silver version."""
+    return read_silver_table(spark, layout, table, published_silver(spark, layout, number)[table])
 
 
 # ---- gold ------------------------------------------------------------------
 
 # Date-partitioned gold tables: table -> (date column, secondary sort key).
-# Directories are per calendar month of the date (``date_month=YYYY-MM-01``).
 GOLD_PARTITIONS = {"fct_payments": ("date_key", "payment_id")}
-MONTH_COLUMN = "date_month"
-
-
-def new_gold_version() -> str:
-    return time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + "-" + uuid.uuid4().hex[:8]
 
 
 def prepare_gold(df: DataFrame, table: str) -> DataFrame:
@@ -134,45 +217,70 @@ def prepare_gold(df: DataFrame, table: str) -> DataFrame:
     if table not in GOLD_PARTITIONS:
         return df
     day, key = GOLD_PARTITIONS[table]
+    return cluster_by_month(df, F.col(day), [day, key])
+
+
+def cluster_by_month(df: DataFrame, day: Column, order: list[str]) -> DataFrame:
+    """``df`` with the month of ``day``, its rows gathered by month and sorted (see :func:`prepare_gold`)."""
     with_month = df.withColumn(MONTH_COLUMN, F.trunc(day, "MM"))
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
         clustered = with_month.hint("rebalance", MONTH_COLUMN)
     else:
-        clustered = with_month.repartitionByRange(day, key)
-    return clustered.sortWithinPartitions(day, key)
+        clustered = with_month.repartitionByRange(*order)
+    return clustered.sortWithinPartitions(*order)
+
+
+def month_prints(fct: DataFrame) -> dict[str, dict]:
+    """Per month of a date-partitioned table: its rows and two sums of 64-bit row hashes, independent of row order.
+
+    One aggregate; as many rows reach the driver as there are months.
+    """
+    columns = [c for c in fct.columns if c != MONTH_COLUMN]
+    day = GOLD_PARTITIONS["fct_payments"][0]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(20,0)")).cast("string") for seed in (1, 2)]
+    rows = fct.groupBy(F.trunc(day, "MM").cast("string").alias("month")).agg(
+        F.count("*").alias("n"), *(x.alias(f"h{i}") for i, x in enumerate(sums))
+    )
+    return {r["month"]: {"rows": r["n"], "print": [r["h0"], r["h1"]]} for r in rows.collect()}
 
 
 def write_gold(df: DataFrame, layout: Layout, version: str, table: str) -> str:
-    """Write one gold table into an unpublished version folder."""
+    """Write one gold table into an unpublished version."""
     path = layout.gold(version, table)
-    writer = prepare_gold(df, table).write.mode("overwrite")
     if table in GOLD_PARTITIONS:
-        writer = writer.partitionBy(MONTH_COLUMN)
-    writer.parquet(path)
+        write_slices(prepare_gold(df, table), path, MONTH_COLUMN, version)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return path
 
 
-def publish_gold(spark: SparkSession, layout: Layout, version: str) -> None:
+def gold_log(spark: SparkSession, layout: Layout) -> VersionLog:
+    return VersionLog(spark, layout.gold_root)
+
+
+def publish_gold(
+    spark: SparkSession, layout: Layout, version: str, months: dict[str, dict] | None = None, schema: dict | None = None
+) -> int:
     """Point readers at ``version`` (the single step that makes a refresh visible).
 
-    One small file is appended; it becomes visible when its write is committed,
-    and nothing that is there is touched. An older version can be published again.
+    ``months`` tells for each month of the fact which version wrote it, and its
+    print; ``schema`` is the fact's.
     """
-    # One literal row built on the JVM side: no Python worker is started for it.
-    record = F.lit(f"{time.time_ns():020d} {version}").alias("value")
-    spark.range(0, 1, 1, 1).select(record).write.mode("append").text(layout.gold_pointer)
+    return gold_log(spark, layout).publish({"version": version, "months": months or {}, "schema": schema})
 
 
 def current_gold_version(spark: SparkSession, layout: Layout) -> str:
-    newest = spark.read.text(layout.gold_pointer).agg(F.max("value")).first()[0]
-    return newest.split(" ", 1)[1]
+    return gold_manifest(spark, layout)["version"]
 
 
-def with_partition_column(table: str, schema: StructType) -> StructType:
-    """The stored schema of a gold table: partitioned tables gain ``date_month``."""
-    if table not in GOLD_PARTITIONS or MONTH_COLUMN in schema.fieldNames():
-        return schema
-    return StructType(schema.fields + [StructField(MONTH_COLUMN, DateType(), True)])
+def gold_manifest(spark: SparkSession, layout: Layout, version: str | None = None) -> dict:
+    """The newest manifest, or the newest one of ``version``."""
+    log = gold_log(spark, layout)
+    for number in reversed(log.numbers()):
+        manifest = log.read(number)
+        if version in (None, manifest["version"]):
+            return manifest
+    raise FileNotFoundError(f"no published gold version {version or ''} under {layout.gold_root}")
 
 
 def read_gold(
@@ -181,16 +289,21 @@ def read_gold(
     table: str,
     version: str | None = None,
     schema: StructType | None = None,
+    months: dict[str, str] | None = None,
 ) -> DataFrame:
-    """A published (or given) version of a gold table.
+    """A published (or given) version of a gold table. ``months`` are the fact's, of a version not published yet.
 
     A partitioned table also exposes its ``date_month`` partition column;
     filtering on it prunes whole month directories. With ``schema`` (the
     table's schema as built) nothing is inferred, so an empty partitioned
     table reads as empty.
     """
+    if table in GOLD_PARTITIONS:
+        if months is None:
+            manifest = gold_manifest(spark, layout, version)
+            months = {m: entry["version"] for m, entry in manifest["months"].items()}
+            schema = schema or StructType.fromJson(manifest["schema"])
+        return read_slices(spark, layout.gold(version, table), MONTH_COLUMN, DateType(), months, schema)
     version = version or current_gold_version(spark, layout)
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(with_partition_column(table, schema))
+    reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(layout.gold(version, table))

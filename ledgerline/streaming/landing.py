@@ -95,9 +95,14 @@ def land_events(messages: DataFrame, output: str, checkpoint: str) -> StreamingQ
     )
 
 
-def read_landing(spark: SparkSession, output: str) -> DataFrame:
-    """The landed events (the sink's file log lists only committed files)."""
-    landed = spark.read.parquet(output).drop("arrival_date")
+def read_landing_days(spark: SparkSession, output: str) -> DataFrame:
+    """The landed events with their partition column ``arrival_date`` (the sink's file log lists only committed files)."""
+    landed = spark.read.parquet(output)
     if "raw_value" in landed.columns:
         return landed
     return landed.withColumn("raw_value", F.lit(None).cast("string"))  # landed before it was kept
+
+
+def read_landing(spark: SparkSession, output: str) -> DataFrame:
+    """The landed events."""
+    return read_landing_days(spark, output).drop("arrival_date")

@@ -51,16 +51,15 @@ def test_failed_gold_refresh_keeps_previous_version(spark, tmp_root, monkeypatch
 def test_publish_keeps_what_was_published_until_it_is_committed(spark, tmp_root):
     layout = Layout(tmp_root)
     lake.publish_gold(spark, layout, "v1")
-    first = {n for n in os.listdir(layout.gold_pointer) if n.startswith("part-")}
+    folder = f"{layout.gold_root}/_versions"
+    first = {n for n in os.listdir(folder) if n.endswith(".json")}
     # What a publish leaves behind that dies before its commit.
-    half = f"{layout.gold_pointer}/_temporary/0/task_0"
-    os.makedirs(half)
-    with open(f"{half}/part-00000.txt", "w") as f:
-        f.write(f"{time.time_ns():020d} unfinished\n")
+    with open(f"{folder}/.draft-unfinished", "w") as f:
+        f.write('{"version": "unfini')
     assert lake.current_gold_version(spark, layout) == "v1"
     lake.publish_gold(spark, layout, "v2")
     assert lake.current_gold_version(spark, layout) == "v2"
-    assert first <= set(os.listdir(layout.gold_pointer))
+    assert first < {n for n in os.listdir(folder) if n.endswith(".json")}
     lake.publish_gold(spark, layout, "v1")
     assert lake.current_gold_version(spark, layout) == "v1"
 

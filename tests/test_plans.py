@@ -157,9 +157,9 @@ def test_hot_month_is_split_across_files_by_rebalance(spark, tmp_root):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
-    root = f"{tmp_root}/gold/v=v1/fct_payments".replace("file:", "")
-    hot = glob.glob(f"{root}/date_month=2024-01-01/*.parquet")
-    cold = glob.glob(f"{root}/date_month=2024-02-01/*.parquet")
+    root = f"{tmp_root}/gold/fct_payments".replace("file:", "")
+    hot = glob.glob(f"{root}/date_month=2024-01-01/version=v1/*.parquet")
+    cold = glob.glob(f"{root}/date_month=2024-02-01/version=v1/*.parquet")
     assert len(hot) > 1 and len(cold) >= 1
     back = spark.read.parquet(root)
     assert back.count() == 20000 and back.where(F.col("date_month") == F.lit(date(2024, 1, 1))).count() == 18000
