@@ -245,15 +245,23 @@ def _rows(table: str, kind: str, name: str, count: Column) -> Column:
     )
 
 
-def foreign_key_orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """One row ``n``: child rows whose non-NULL key has no parent row.
+def foreign_key_orphans(child: DataFrame, parents: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """One row with a column for each ``(key, parent, parent_key)``: child rows whose non-NULL key has no parent row.
 
-    Child keys are counted per key first (partial aggregation), so the anti
-    join moves one row per distinct key, not one per child row.
+    One pass over the child for all of its keys: they are counted by (which
+    key, value) within each task first, so the anti join moves one row per
+    distinct key, not one per child row and key.
     """
-    keys = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    parents = parent.select(F.col(parent_key).alias(key))
-    return keys.join(parents, key, "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n"))
+    which = [F.struct(F.lit(i).alias("fk"), F.col(key).cast("string").alias("value")) for i, (key, _, _) in enumerate(parents)]
+    held = child.select(F.inline(F.array(*which))).where("value is not null").groupBy("fk", "value").agg(F.count("*").alias("n"))
+    known = reduce(
+        DataFrame.unionByName,
+        [p.select(F.lit(i).alias("fk"), F.col(key).cast("string").alias("value")) for i, (_, p, key) in enumerate(parents)],
+    )
+    lost = held.join(known, ["fk", "value"], "left_anti")
+    return lost.agg(
+        *(F.coalesce(F.sum(F.when(F.col("fk") == i, F.col("n"))), F.lit(0)).alias(f"_fk{i}") for i in range(len(parents)))
+    )
 
 
 def enforce_constraints(tables: dict[str, DataFrame]) -> None:
@@ -281,11 +289,12 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
                 F.inline(F.array(_rows(table, "primary_key", f"unique({','.join(pk)})", F.col("n"))))
             )
         )
-    for child, key, parent, parent_key in FOREIGN_KEYS:
-        name = f"fk({key}->{parent}.{parent_key})"
-        parts.append(
-            foreign_key_orphans(tables[child], key, tables[parent], parent_key).select(
-                F.inline(F.array(_rows(child, "foreign_key", name, F.col("n"))))
-            )
-        )
+    for child in dict.fromkeys(child for child, *_ in FOREIGN_KEYS):
+        keys = [(key, parent, parent_key) for c, key, parent, parent_key in FOREIGN_KEYS if c == child]
+        lost = foreign_key_orphans(tables[child], [(key, tables[parent], pk) for key, parent, pk in keys])
+        rows = [
+            _rows(child, "foreign_key", f"fk({key}->{parent}.{pk})", F.col(f"_fk{i}"))
+            for i, (key, parent, pk) in enumerate(keys)
+        ]
+        parts.append(lost.select(F.inline(F.array(*rows))))
     return reduce(DataFrame.unionByName, parts)

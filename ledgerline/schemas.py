@@ -8,7 +8,19 @@ suites, not by these flags.
 
 from __future__ import annotations
 
-from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 
 def _strings(*names: str) -> list[StructField]:
@@ -61,3 +73,46 @@ RISK_LEVELS = ["low", "medium", "high"]
 # Merchant categories counted as risky by the fraud and merchant-risk reports.
 RISKY_CATEGORIES = ["crypto", "gaming"]
 # ---------------------------------------------------------------------------
+
+_TYPES = {
+    "string": StringType(),
+    "date": DateType(),
+    "timestamp": TimestampType(),
+    "boolean": BooleanType(),
+    "int": IntegerType(),
+    "smallint": ShortType(),
+    "money": DecimalType(18, 4),
+    "rate": DecimalType(18, 6),
+    "ratio": DecimalType(6, 5),
+}
+
+
+def _columns(**kinds: str) -> StructType:
+    """A schema from the name of each column's type, in order."""
+    return StructType([StructField(name, _TYPES[kind], True) for name, kind in kinds.items()])
+
+
+# ---- Fixed values: the columns and types of the gold tables --------------------------
+GOLD_SCHEMAS = {
+    "dim_customer": _columns(
+        customer_id="string", signup_date="date", country="string", marketing_channel="string",
+        cohort_month="date", is_blacklisted="boolean",
+    ),
+    "dim_merchant": _columns(merchant_id="string", category="string", risk_level="string", created_at="timestamp"),
+    "fct_payments": _columns(
+        payment_id="string", customer_id="string", merchant_id="string", date_key="date", amount_original="money",
+        currency="string", fx_rate_to_usd="rate", amount_usd="money", status="string", method="string",
+        created_at_utc="timestamp", updated_at_utc="timestamp", has_chargeback="boolean",
+        chargeback_reason_code="string", chargeback_filed_at="timestamp",
+    ),
+    "agg_daily_kpis": _columns(
+        date_key="date", total_payments="int", captured_payments="int", refused_payments="int",
+        refunded_payments="int", auth_rate="ratio", chargeback_rate="ratio", gross_volume_usd="money",
+        captured_volume_usd="money", unique_customers="int", unique_merchants="int",
+    ),
+    "agg_cohort_ltv": _columns(
+        cohort_month="date", months_since_signup="smallint", active_customers="int", total_ltv_usd="money",
+        avg_ltv_usd="money",
+    ),
+}
+# ---------------------------------------------------------------------------------------
