@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import clean, enrich, events, gold, quality
 from ledgerline.plans.catalog import Gold, gold_schemas
 from ledgerline.sources import lake
-from ledgerline.sources.event_index import EventIndex, IndexState, arrived_on
+from ledgerline.sources.event_index import EventIndex, IndexState, arrived_on, buckets_for, day_counts
 from ledgerline.sources.lake import Layout, SilverTable
 from ledgerline.streaming.landing import read_landing_days
 
@@ -126,7 +126,7 @@ def silver_refresh(spark: SparkSession, layout: Layout, ds: str, gate: bool = Fa
         quality.validate(lake.read_silver_table(spark, layout, "payments", written["payments"]), "silver_payments")
     lake.publish_silver(spark, layout, run, ds, written)
     # No payment kept: adaptive execution may cut the observed branch off the plan, so its counts are taken anew.
-    observed = bool(written["payments"].slices)
+    observed = not lake.read_silver_table(spark, layout, "payments", written["payments"]).isEmpty()
     rules = enrich.flag_payment_rules(payments, customers, merchants, fx_rates).agg(*enrich.drop_counts())
     counts = dict(drops.get) if observed else rules.first().asDict()
     for rule, n in counts.items():
@@ -140,7 +140,10 @@ def _reconcile_events(
 ) -> dict[str, SilverTable]:
     """Bring the event index up to date; rows without an id go to the quarantine of their arrival day."""
     known = before.get("events")
-    state = IndexState(**known.index) if known and known.index else IndexState()
+    if known and known.index:
+        state = IndexState(**known.index)
+    else:
+        state = IndexState(buckets=buckets_for(sum(day_counts(landing).values())))
     state, read = EventIndex(spark, layout.event_index, state.buckets).reconcile(batch, landing, state)
     LOG.info("events: arrival days read: %s", ", ".join(read) or "none")
     lost = events.quarantine(batch, landing.where(arrived_on(read)))
@@ -164,20 +167,25 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = True) -> str:
     """
     version = lake.new_run()
     tables = lake.published_silver(spark, layout)
-    silver = {t: lake.read_silver_table(spark, layout, t, tables[t]) for t in ("customers", "merchants")}
-    payments = lake.read_silver_table(spark, layout, "payments", tables["payments"], slices=True)
-    fct_schema = gold.fct_payments(payments).schema
+    silver = {t: lake.read_silver_table(spark, layout, t, tables[t]) for t in ("customers", "merchants", "payments")}
+    new_fct = gold.fct_payments(silver["payments"])
     months: dict[str, dict] = {}
 
     def write(table: str, df: DataFrame) -> Callable[[], str]:
         return lambda: lake.write_gold(df, layout, version, table)
 
     def write_changed_months() -> None:
-        months.update(_unchanged_months(spark, layout, payments))
+        before = lake.gold_log(spark, layout).latest()
+        if before is None or before["schema"] != new_fct.schema.jsonValue():  # nothing to compare with: prints come later
+            lake.write_gold(new_fct, layout, version, "fct_payments")
+            root = layout.gold(version, "fct_payments")
+            months.update({m: {"version": version} for m in lake.written_slices(spark, root, lake.MONTH_COLUMN, version)})
+            return
+        months.update(_compared_months(new_fct, before["months"]))
         changed = [m for m, entry in months.items() if "version" not in entry]
         if changed:
-            rows = payments.where(F.col(lake.MONTH_COLUMN).isin([date.fromisoformat(m) for m in changed]))
-            lake.write_gold(gold.fct_payments(rows), layout, version, "fct_payments")
+            in_changed = F.trunc("date_key", "MM").isin([date.fromisoformat(m) for m in changed])
+            lake.write_gold(new_fct.where(in_changed), layout, version, "fct_payments")
         for m in changed:
             months[m]["version"] = version
         LOG.info("gold fact: %d of %d months written", len(changed), len(months))
@@ -190,7 +198,7 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = True) -> str:
         }
     )
     where = {m: entry["version"] for m, entry in months.items()}
-    fct = lake.read_gold(spark, layout, "fct_payments", version, fct_schema, where)
+    fct = lake.read_gold(spark, layout, "fct_payments", version, new_fct.schema, where)
     dim_customer = lake.read_gold(
         spark, layout, "dim_customer", version, schema=gold.dim_customer(silver["customers"]).schema
     )
@@ -201,23 +209,23 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = True) -> str:
     }
     if gate:
         tasks["gate"] = lambda: quality.validate(fct, "gold_fct_payments")
-    run_concurrently(tasks)
+    if any("print" not in entry for entry in months.values()):
+        tasks["prints"] = lambda: lake.month_prints(fct)
+    done = run_concurrently(tasks)
+    for m, entry in done.get("prints", {}).items():
+        months[m] |= entry
     if gate:
         quality.enforce_constraints(_gold_version(spark, layout, version, where).tables)
-    lake.publish_gold(spark, layout, version, months, fct_schema.jsonValue())
+    lake.publish_gold(spark, layout, version, months, new_fct.schema.jsonValue())
     return version
 
 
-def _unchanged_months(spark: SparkSession, layout: Layout, payments: DataFrame) -> dict[str, dict]:
-    """The prints of all months; those that the published version holds alike name the version that wrote them."""
-    fct = gold.fct_payments(payments)
+def _compared_months(fct: DataFrame, before: dict[str, dict]) -> dict[str, dict]:
+    """The prints of all months; those that a version before holds alike name the version that wrote them."""
     prints = lake.month_prints(fct)
-    log = lake.gold_log(spark, layout)
-    before = log.latest() or {"months": {}, "schema": None}
-    if before["schema"] == fct.schema.jsonValue():
-        for month, entry in before["months"].items():
-            if month in prints and all(entry[k] == prints[month][k] for k in ("rows", "print")):
-                prints[month]["version"] = entry["version"]
+    for month, entry in before.items():
+        if month in prints and all(entry.get(k) == prints[month][k] for k in ("rows", "print")):
+            prints[month]["version"] = entry["version"]
     return prints
 
 

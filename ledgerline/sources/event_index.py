@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.events import align_stream, ranked, survivor_columns
 
-BUCKETS = 64
+#: Rows of the landing that a bucket of a new index is planned for, and how many buckets there are at least and most.
+BUCKET_ROWS, BUCKETS, MOST_BUCKETS = 2_000_000, 8, 8192
 #: The newest arrival days are read again by every run, changed or not.
 REPLAY_DAYS = 2
 #: Batches an event's rows may be spread over before they are folded into one.
@@ -48,6 +49,11 @@ class IndexState:
     buckets: int = BUCKETS
 
 
+def buckets_for(rows: int) -> int:
+    """Buckets of an index that is started with so many rows in the landing; it keeps the number."""
+    return max(BUCKETS, min(MOST_BUCKETS, -(-rows // BUCKET_ROWS)))
+
+
 class EventIndex:
     def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
         self.spark, self.path, self.buckets = spark, path, buckets

@@ -5,9 +5,11 @@
   Every row carries ``_ingested_at``.
 * Silver: a run writes its tables into folders of its own and publishes them
   together as one numbered version (:mod:`ledgerline.sources.versions`). A run
-  that fails midway leaves the version before it whole. Payments are stored by
-  month, quarantined events by arrival day, events as an index
-  (:mod:`ledgerline.sources.event_index`).
+  that fails midway leaves the version before it whole. Quarantined events are
+  stored by arrival day, events as an index
+  (:mod:`ledgerline.sources.event_index`). Payments are recomputed by each run from
+  that day's bronze, and gold clusters them by month: a month-wise silver would
+  cost a shuffle of all payments more.
 * Gold: likewise one version of six tables. The fact is stored by month, and a
   version refers to the months that did not change since the one before it.
 """
@@ -18,7 +20,7 @@ import time
 import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
@@ -128,18 +130,8 @@ class SilverTable:
 
 
 def write_silver(df: DataFrame, layout: Layout, run: str, table: str) -> SilverTable:
-    """Write one silver table into an unpublished run; its entry of the manifest.
-
-    Payments are clustered by the month of the payment day, so that gold reads
-    only the months it needs.
-    """
+    """Write one silver table into an unpublished run; its entry of the manifest."""
     schema = df.schema.jsonValue()
-    if table == "payments":
-        root = layout.silver_sliced(table)
-        by_month = cluster_by_month(df, F.to_date("created_at_utc"), ["created_at_utc", "payment_id"])
-        write_slices(by_month, root, MONTH_COLUMN, run)
-        slices = {m: run for m in written_slices(df.sparkSession, root, MONTH_COLUMN, run)}
-        return SilverTable(schema, slice_column=MONTH_COLUMN, slices=slices)
     path = layout.silver_run(run, table)
     df.write.mode("overwrite").parquet(path)
     return SilverTable(schema, path=path)
@@ -175,15 +167,15 @@ def published_silver(spark: SparkSession, layout: Layout, number: int | None = N
     return {name: SilverTable(**entry) for name, entry in (manifest or {"tables": {}})["tables"].items()}
 
 
-def read_silver_table(spark: SparkSession, layout: Layout, table: str, entry: SilverTable, slices: bool = False) -> DataFrame:
-    """A table of a version; ``slices`` keeps the partition column, for filters that prune."""
+def read_silver_table(spark: SparkSession, layout: Layout, table: str, entry: SilverTable) -> DataFrame:
+    """A table of a version."""
     schema = StructType.fromJson(entry.schema)
     if entry.index is not None:
         state = IndexState(**entry.index)
         return clean.clean_events(EventIndex(spark, layout.event_index, state.buckets).events(state.batches))
     if entry.slices is not None:
         df = read_slices(spark, layout.silver_sliced(table), entry.slice_column, DateType(), entry.slices, schema)
-        return df if slices else df.drop(entry.slice_column)
+        return df.drop(entry.slice_column)
     return spark.read.schema(schema).parquet(entry.path)
 
 
@@ -217,17 +209,12 @@ def prepare_gold(df: DataFrame, table: str) -> DataFrame:
     if table not in GOLD_PARTITIONS:
         return df
     day, key = GOLD_PARTITIONS[table]
-    return cluster_by_month(df, F.col(day), [day, key])
-
-
-def cluster_by_month(df: DataFrame, day: Column, order: list[str]) -> DataFrame:
-    """``df`` with the month of ``day``, its rows gathered by month and sorted (see :func:`prepare_gold`)."""
     with_month = df.withColumn(MONTH_COLUMN, F.trunc(day, "MM"))
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
         clustered = with_month.hint("rebalance", MONTH_COLUMN)
     else:
-        clustered = with_month.repartitionByRange(*order)
-    return clustered.sortWithinPartitions(*order)
+        clustered = with_month.repartitionByRange(day, key)
+    return clustered.sortWithinPartitions(day, key)
 
 
 def month_prints(fct: DataFrame) -> dict[str, dict]:
