@@ -140,11 +140,9 @@ def _reconcile_events(
 ) -> dict[str, SilverTable]:
     """Bring the event index up to date; rows without an id go to the quarantine of their arrival day."""
     known = before.get("events")
-    if known and known.index:
-        state = IndexState(**known.index)
-    else:
-        state = IndexState(buckets=buckets_for(sum(day_counts(landing).values())))
-    state, read = EventIndex(spark, layout.event_index, state.buckets).reconcile(batch, landing, state)
+    days = day_counts(landing)
+    state = IndexState(**known.index) if known and known.index else IndexState(buckets=buckets_for(sum(days.values())))
+    state, read = EventIndex(spark, layout.event_index, state.buckets).reconcile(batch, landing, state, days=days)
     LOG.info("events: arrival days read: %s", ", ".join(read) or "none")
     lost = events.quarantine(batch, landing.where(arrived_on(read)))
     return {
@@ -215,7 +213,7 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = True) -> str:
     for m, entry in done.get("prints", {}).items():
         months[m] |= entry
     if gate:
-        quality.enforce_constraints(_gold_version(spark, layout, version, where).tables)
+        quality.enforce_constraints(_gold_version(spark, layout, version, fct).tables)
     lake.publish_gold(spark, layout, version, months, new_fct.schema.jsonValue())
     return version
 
@@ -229,15 +227,19 @@ def _compared_months(fct: DataFrame, before: dict[str, dict]) -> dict[str, dict]
     return prints
 
 
-def _gold_version(spark: SparkSession, layout: Layout, version: str, months: dict[str, str]) -> Gold:
+def _gold_version(spark: SparkSession, layout: Layout, version: str, fct: DataFrame) -> Gold:
     schemas = gold_schemas(spark)
-    return Gold({t: lake.read_gold(spark, layout, t, version, schemas[t], months) for t in GOLD_TABLES})
+    others = (t for t in GOLD_TABLES if t not in lake.GOLD_PARTITIONS)
+    return Gold({t: lake.read_gold(spark, layout, t, version, schemas[t]) for t in others} | {"fct_payments": fct})
 
 
 def published_gold(spark: SparkSession, layout: Layout) -> Gold:
     """The newest gold version; its months are those of one manifest, whatever is published meanwhile."""
     manifest = lake.gold_manifest(spark, layout)
-    return _gold_version(spark, layout, manifest["version"], {m: e["version"] for m, e in manifest["months"].items()})
+    months = {m: entry["version"] for m, entry in manifest["months"].items()}
+    schema = gold_schemas(spark)["fct_payments"]
+    fct = lake.read_gold(spark, layout, "fct_payments", manifest["version"], schema, months)
+    return _gold_version(spark, layout, manifest["version"], fct)
 
 
 def full_refresh(

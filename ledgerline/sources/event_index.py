@@ -94,14 +94,20 @@ class EventIndex:
         return batch
 
     def reconcile(
-        self, batch_events: DataFrame, landing: DataFrame, state: IndexState, replay_days: int = REPLAY_DAYS
+        self,
+        batch_events: DataFrame,
+        landing: DataFrame,
+        state: IndexState,
+        replay_days: int = REPLAY_DAYS,
+        days: dict[str, int] | None = None,
     ) -> tuple[IndexState, list[str]]:
         """Bring the index up to date; the new state and the arrival days that were read.
 
-        ``landing`` has its partition column ``arrival_date``. Rows without an id
-        are not indexed (see ``operators.events.quarantine``).
+        ``landing`` has its partition column ``arrival_date``; ``days`` are its
+        ``day_counts``, if known. Rows without an id are not indexed (see
+        ``operators.events.quarantine``).
         """
-        days = day_counts(landing)
+        days = day_counts(landing) if days is None else days
         read = days_to_read(days, state.days, replay_days)
         candidates = ranked(batch_events, align_stream(landing.where(arrived_on(read))))
         candidates = candidates.repartition(self.buckets, "event_id")  # as the index lies, whatever the session's default
