@@ -39,20 +39,81 @@ def _got(df, **options):
     return [tuple(r) for r in out.select("vec_id", "n_links", "component_id").collect()]
 
 
-@pytest.mark.parametrize("list_rows", [embeddings.LIST_ROWS, 60])
-def test_recall_and_precision(spark, list_rows):
-    """Clusters of near vectors among random ones; the second run cuts the lists into chunks."""
+def _clusters():
     rng = np.random.default_rng(7)
     vectors = [rng.normal(size=16) for _ in range(150)]
     for centre in [rng.normal(size=16) for _ in range(6)]:
         vectors += [centre + rng.normal(size=16) * rng.uniform(0.05, 0.35) for _ in range(25)]
-    rows = [(i, [float(np.float32(x)) for x in v], int(i % 10 == 0)) for i, v in enumerate(vectors)]
+    return [(i, [float(np.float32(x)) for x in v], int(i % 10 == 0)) for i, v in enumerate(vectors)]
+
+
+@pytest.mark.parametrize("pivots", [None, 12])
+def test_recall_and_precision(spark, pivots):
+    """Clusters of near vectors among random ones; lists that are split and cut give the links of whole lists."""
+    rows = _clusters()
     want, n_links = exact(rows)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
-    got = _got(df, list_rows=list_rows, pivots=12)
+    got = _got(df, pivots=pivots)
     assert n_links > 500 and sum(n for _, n, _ in got) >= 0.98 * 2 * n_links
     true = {v: n for v, n, _ in want}
     assert all(n <= true[v] for v, n, _ in got)
+    assert sorted(_got(df, pivots=pivots, list_rows=30)) == sorted(got)
+
+
+def _borderline(n, dim, pairs, rng):
+    """Random unit vectors; the last ``pairs`` are partners of the first at a cosine of 0.93 to 0.95."""
+    x = rng.normal(size=(n - pairs, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    base, aside = x[:pairs], rng.normal(size=(pairs, dim))
+    aside -= (aside * base).sum(1, keepdims=True) * base
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    cos = rng.uniform(0.9301, 0.95, size=(pairs, 1))
+    return np.r_[x, cos * base + np.sqrt(1 - cos**2) * aside]
+
+
+@pytest.mark.parametrize("dim", [16, 64])
+def test_few_pairs_are_compared(dim):
+    """Verified pairs of one label with the query's own parameters: a small share that falls as the table grows."""
+    shares = []
+    for n in (1750, 7000):
+        x = _borderline(n, dim, 500, np.random.default_rng(dim))
+        wanted = embeddings.pivots_for(n)
+        near = embeddings.describe(x, embeddings.choose_pivots(x[::-1][: 4 * wanted], wanted), embeddings.PREFIX)
+        compared, found = 0, set()
+        for pivot in range(wanted):
+            rows = np.flatnonzero((near[:, : embeddings.LEAD] == pivot).any(1))
+            every = np.arange(len(rows))
+            for p, q in embeddings.list_candidates(
+                near[rows], embeddings.LEAD, embeddings.SHARED, [pivot], every, every, True
+            ):
+                compared += len(p)
+                found.update(zip(rows[p].tolist(), rows[q].tolist(), strict=True))
+        assert compared == len(found)  # no pair twice
+        shares.append(compared / (n * (n - 1) / 2))
+        assert np.mean([(i, n - 500 + i) in found for i in range(500)]) >= 0.95
+    assert shares[1] < 0.02 and shares[1] < 0.7 * shares[0]
+
+
+def test_query_recall_on_borderline_pairs(spark):
+    """More vectors than pivots, links that only just count, the query's own parameters."""
+    rng = np.random.default_rng(3)
+    x = _borderline(3000, 32, 400, rng)
+    rows = [(i, [float(np.float32(c)) for c in v], 0) for i, v in enumerate(x)]
+    want, n_links = exact(rows)
+    got = _got(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    true = {v: n for v, n, _ in want}
+    assert all(n <= true[v] for v, n, _ in got)
+    assert n_links >= 390 and sum(n for _, n, _ in got) >= 0.95 * 2 * n_links
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_recall_on_the_given_table(spark, sf):
+    df = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    rows = [tuple(r) for r in df.select("vec_id", "embedding", "label").collect()]
+    want, n_links = exact(rows)
+    got = {v: n for v, n, _ in _got(df)}
+    assert all(got[v] <= n for v, n, _ in want)
+    assert sum(got.values()) >= 0.95 * 2 * n_links
 
 
 def test_awkward_rows(spark):
