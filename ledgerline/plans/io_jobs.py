@@ -177,6 +177,25 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh.published_gold(spark, layout)["fct_payments"].select("*", by)
 
 
+MERGE_CUTS = ("1996-01-01", "1997-03-15")
+
+
+def cohort_ltv_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cohort mart after three refreshes with ever more payments, and how many of them merged it.
+
+    The second cut lies within a month, whose cells the last refresh builds anew.
+    """
+    layout = _layout(spark, "cohort-incremental")
+    tables = dict(testdata.raw_tables(spark, sf_dir))
+    payments = tables["payments"]
+    cuts = [F.coalesce(F.col("created_at") < cut, F.lit(True)) for cut in MERGE_CUTS]
+    merged = 0
+    for rows in (*(payments.where(cut) for cut in cuts), payments):
+        refresh.full_refresh(spark, layout, RUN_DATE, tables | {"payments": rows}, ("gold_fct_payments",))
+        merged += lake.gold_manifest(spark, layout)["cohort_months_read"] is not None
+    return refresh.published_gold(spark, layout)["agg_cohort_ltv"].withColumn("merged_refreshes", F.lit(merged))
+
+
 def _digest(table: str, df: DataFrame) -> DataFrame:
     """``table_name, rows, digest``: the digest adds up the first 32 bits of each row's MD5, columns in the order of their names."""
 
@@ -236,6 +255,7 @@ IO_QUERIES: dict[str, Query] = {
     "gold_refresh": gold_refresh,
     "events_incremental": events_incremental,
     "gold_incremental": gold_incremental,
+    "cohort_ltv_incremental": cohort_ltv_incremental,
     "bronze_tables": bronze_tables,
     "silver_tables": silver_tables,
     "gold_tables": gold_tables,

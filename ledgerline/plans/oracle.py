@@ -628,6 +628,7 @@ ORACLE_SQL.update(
        CASE WHEN date_trunc('month', date_key) = DATE '1997-03-01' THEN 2 ELSE 1 END AS written_by
 FROM o_fct"""
         ),
+        "cohort_ltv_incremental": _q("SELECT *, 2 AS merged_refreshes FROM o_agg_cohort_ltv"),
         "bronze_tables": _digests(
             _digest("customers", "o_raw_customers", "customer_id signup_date country marketing_channel"),
             _digest("merchants", "o_raw_merchants", "merchant_id category risk_level created_at"),

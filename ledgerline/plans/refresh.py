@@ -159,7 +159,8 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = True) -> str:
     The fact's months are compared with those of the published version by their
     prints; months that did not change are referred to, only the others are
     read, sorted and written. Both marts and the calendar are built from the written fact, so they agree
-    with what was published and nothing is held in executor memory. Unless
+    with what was published and nothing is held in executor memory; the cohort
+    mart takes the cells of unchanged months from the version before. Unless
     ``gate`` is switched off, the fact's suite and every key and constraint of
     the written tables must hold, else the version is not published.
     """
@@ -168,12 +169,12 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = True) -> str:
     silver = {t: lake.read_silver_table(spark, layout, t, tables[t]) for t in ("customers", "merchants", "payments")}
     new_fct = gold.fct_payments(silver["payments"])
     months: dict[str, dict] = {}
+    before = lake.gold_log(spark, layout).latest()
 
     def write(table: str, df: DataFrame) -> Callable[[], str]:
         return lambda: lake.write_gold(df, layout, version, table)
 
     def write_changed_months() -> None:
-        before = lake.gold_log(spark, layout).latest()
         if before is None or before["schema"] != new_fct.schema.jsonValue():  # nothing to compare with: prints come later
             lake.write_gold(new_fct, layout, version, "fct_payments")
             root = layout.gold(version, "fct_payments")
@@ -200,10 +201,20 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = True) -> str:
     dim_customer = lake.read_gold(
         spark, layout, "dim_customer", version, schema=gold.dim_customer(silver["customers"]).schema
     )
+    cohort_months = _cohort_months_to_read(spark, layout, version, before, months, dim_customer)
+
+    def cohort_mart() -> DataFrame:
+        if cohort_months is None:
+            return gold.agg_cohort_ltv(dim_customer, fct)
+        changed = fct.where(F.col(lake.MONTH_COLUMN).isin([date.fromisoformat(m) for m in cohort_months]))
+        cells = gold.agg_cohort_ltv(dim_customer, changed)
+        mart = lake.read_gold(spark, layout, "agg_cohort_ltv", before["version"], cells.schema)
+        return gold.merge_cohort_ltv(mart, cells, [date.fromisoformat(m) for m in set(months) - set(cohort_months)])
+
     tasks = {
         "dim_date": write("dim_date", gold.dim_date(fct)),
         "agg_daily_kpis": write("agg_daily_kpis", gold.agg_daily_kpis(fct)),
-        "agg_cohort_ltv": write("agg_cohort_ltv", gold.agg_cohort_ltv(dim_customer, fct)),
+        "agg_cohort_ltv": write("agg_cohort_ltv", cohort_mart()),
     }
     if gate:
         tasks["gate"] = lambda: quality.validate(fct, "gold_fct_payments")
@@ -214,10 +225,32 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = True) -> str:
         months[m] |= entry
     if gate:
         quality.enforce_constraints(_gold_version(spark, layout, version, fct).tables)
-    lake.publish_gold(spark, layout, version, months, new_fct.schema.jsonValue())
+    lake.publish_gold(spark, layout, version, months, new_fct.schema.jsonValue(), gate, cohort_months)
     return version
 
 
+def _cohort_months_to_read(
+    spark: SparkSession, layout: Layout, version: str, before: dict | None, months: dict[str, dict], customers: DataFrame
+) -> list[str] | None:
+    """The fact's months whose cohort cells must be built anew; ``None`` if all must.
+
+    Cells are taken over from a version whose keys were enforced (a month that
+    did not change then holds payments of customers known to that version only),
+    as long as those customers kept their cohorts.
+    """
+    changed = sorted(m for m, entry in months.items() if entry["version"] == version)
+    if before is None or not before.get("keys_hold") or len(changed) == len(months):
+        return None
+    if not all(m[:1].isdigit() for m in months):  # payments without a day are in no month
+        return None
+    schemas = gold_schemas(spark)
+    mart = lake.read_gold(spark, layout, "agg_cohort_ltv", before["version"], schemas["agg_cohort_ltv"])
+    if not mart.where("cohort_month is null or months_since_signup is null").isEmpty():
+        return None
+    known = lake.read_gold(spark, layout, "dim_customer", before["version"], schemas["dim_customer"])
+    return changed if gold.cohorts_kept(known, customers) else None
+
+
 def _compared_months(fct: DataFrame, before: dict[str, dict]) -> dict[str, dict]:
     """The prints of all months; those that a version before holds alike name the version that wrote them."""
     prints = lake.month_prints(fct)

@@ -246,14 +246,23 @@ def gold_log(spark: SparkSession, layout: Layout) -> VersionLog:
 
 
 def publish_gold(
-    spark: SparkSession, layout: Layout, version: str, months: dict[str, dict] | None = None, schema: dict | None = None
+    spark: SparkSession,
+    layout: Layout,
+    version: str,
+    months: dict[str, dict] | None = None,
+    schema: dict | None = None,
+    keys_hold: bool = False,
+    cohort_months_read: list[str] | None = None,
 ) -> int:
     """Point readers at ``version`` (the single step that makes a refresh visible).
 
     ``months`` tells for each month of the fact which version wrote it, and its
-    print; ``schema`` is the fact's.
+    print; ``schema`` is the fact's; ``keys_hold`` whether keys and constraints
+    were enforced. ``cohort_months_read`` are the months that the cohort mart was
+    brought up to date from, if it was not built from all.
     """
-    return gold_log(spark, layout).publish({"version": version, "months": months or {}, "schema": schema})
+    manifest = {"version": version, "months": months or {}, "schema": schema, "keys_hold": keys_hold}
+    return gold_log(spark, layout).publish(manifest | {"cohort_months_read": cohort_months_read})
 
 
 def current_gold_version(spark: SparkSession, layout: Layout) -> str:

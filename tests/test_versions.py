@@ -8,7 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import clean, events
+from ledgerline.operators import clean, events, gold
 from ledgerline.plans import refresh
 from ledgerline.sources import lake, testdata
 from ledgerline.sources.event_index import EventIndex, IndexState, arrived_on, days_to_read
@@ -121,6 +121,41 @@ def test_gold_writes_the_changed_month_only(spark, tmp_root):
     assert refresh.published_gold(spark, layout)["fct_payments"].count() == fct.count()
 
 
+def test_cohort_mart_takes_unchanged_months_over(spark, tmp_root):
+    layout = Layout(tmp_root)
+    raw = dict(testdata.raw_tables(spark, SF_SMALL))
+    payments, gate = raw["payments"], ("gold_fct_payments",)
+
+    def run(**tables):
+        refresh.full_refresh(spark, layout, "d1", raw | tables, gate)
+        published = refresh.published_gold(spark, layout)
+        whole = gold.agg_cohort_ltv(published["dim_customer"], published["fct_payments"])
+        mart = published["agg_cohort_ltv"]
+        assert mart.exceptAll(whole).isEmpty() and whole.exceptAll(mart).isEmpty()
+        return lake.gold_manifest(spark, layout)["cohort_months_read"]
+
+    assert run(payments=payments.where("created_at < '1997-03-15'")) is None
+    # Months go, come and change; a customer is new.
+    rest = payments.where("created_at not like '1996-05%' and created_at < '1997-05'")
+    newcomer = raw["customers"].limit(1).withColumn("customer_id", F.lit("newcomer"))
+    assert run(payments=rest, customers=raw["customers"].union(newcomer)) == ["1997-03-01", "1997-04-01"]
+    # A customer without a change of payments moves to another cohort: all cells may change.
+    moved = raw["customers"].withColumn("signup_date", F.concat(F.lit("1980"), F.substring("signup_date", 5, 6)))
+    assert run(payments=rest, customers=moved) is None
+
+
+def test_cohorts_kept(spark):
+    def dim(*rows):
+        return spark.createDataFrame([(c, date.fromisoformat(m) if m else None) for c, m in rows], "customer_id string, cohort_month date")
+
+    a, b = ("a", "2024-01-01"), ("b", None)
+    assert gold.cohorts_kept(dim(a, b), dim(b, a, ("c", "2024-03-01")))
+    assert gold.cohorts_kept(dim(), dim(a))
+    assert not gold.cohorts_kept(dim(a, b), dim(a))
+    assert not gold.cohorts_kept(dim(a, b), dim(a, ("b", "2024-01-01")))
+    assert not gold.cohorts_kept(dim(a), dim(a, a))
+
+
 def _some_payment(spark, layout):
     march = lake.read_gold(spark, layout, "fct_payments").where("date_month = date'1997-03-01'")
     return march.agg(F.min("payment_id")).first()[0]
