@@ -27,7 +27,7 @@ NOTES = {
     "agg_daily_kpis": "Two exact distinct counts: Expand (x3) feeds a map-side partial aggregate, so both exchanges carry pre-aggregated rows; the scan reads six columns.",
     "agg_cohort_ltv": "status = 'captured' is pushed into the fact scan; payments are summed per (customer, month) before the customer join.",
     "merchant_stats": "The fact is aggregated per merchant (partial aggregate below the exchange) before it meets the merchant dimension.",
-    "customer_risk_stats": "The fact is summed per (customer, merchant) first; the merchant join then moves one row per pair.",
+    "customer_risk_stats": "Merchants join first (broadcast while small); the fact is then shuffled once, by customer, after partial sums.",
     "fraud_signals": "Top 50 is a TakeOrderedAndProject: each task keeps its own top 50, the driver merges at most 50 per task.",
 }
 
