@@ -24,7 +24,7 @@ from ledgerline.sources.lake import Layout  # noqa: E402
 NOTES = {
     "silver payments (refresh path, with drop accounting)": "Left joins keep every payment so one pass counts each drop rule (Observation); FX is a size-checked broadcast; customers, merchants and chargebacks are broadcast only because their files are small here; at scale they become sort-merge joins (on customer_id, merchant_id, payment_id), whose hot partitions adaptive execution splits.",
     "fct_payments as written": "Rebalanced on the month partition column (REBALANCE_PARTITIONS_BY_COL: AQE splits a hot month, coalesces small ones; no range-sampling pass), sorted by day within each task for min/max file skipping.",
-    "agg_daily_kpis": "Two exact distinct counts: Expand (x3) feeds a map-side partial aggregate, so both exchanges carry pre-aggregated rows; the scan reads six columns.",
+    "agg_daily_kpis": "Each payment is filed under its status, customer and merchant (inline) and folded in its task, so both exchanges carry pre-aggregated rows; distinct counts are rows of the second fold.",
     "agg_cohort_ltv": "status = 'captured' is pushed into the fact scan; payments are summed per (customer, month) before the customer join.",
     "merchant_stats": "The fact is aggregated per merchant (partial aggregate below the exchange) before it meets the merchant dimension.",
     "customer_risk_stats": "Merchants join first (broadcast while small); the fact is then shuffled once, by customer, after partial sums.",
@@ -48,7 +48,7 @@ def main() -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-plans-"))
     layout = Layout(scratch_path(spark, "plans"))
     raw = testdata.raw_tables(spark, sf_dir)
-    refresh.full_refresh(spark, layout, "d1", raw)
+    refresh.full_refresh(spark, layout, "d1", raw, testdata.PASSING_GATES)
     g = refresh.published_gold(spark, layout)
 
     from pyspark.sql import Observation
