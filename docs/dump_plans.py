@@ -22,7 +22,7 @@ from ledgerline.sources import lake, testdata  # noqa: E402
 from ledgerline.sources.lake import Layout  # noqa: E402
 
 NOTES = {
-    "silver payments (refresh path, with drop accounting)": "Left joins keep every payment so one pass counts each drop rule (Observation); FX is a size-checked broadcast; customers, merchants and chargebacks are broadcast only because their files are small here; at scale they become sort-merge joins (on customer_id, merchant_id, payment_id), whose hot partitions adaptive execution splits.",
+    "silver payments (refresh path, kept and rejected)": "Left joins keep every payment so one pass files each payment under its outcome; FX is a size-checked broadcast; customers, merchants and chargebacks are broadcast only because their files are small here; at scale they become sort-merge joins (on customer_id, merchant_id, payment_id), whose hot partitions adaptive execution splits.",
     "fct_payments as written": "Rebalanced on the month partition column (REBALANCE_PARTITIONS_BY_COL: AQE splits a hot month, coalesces small ones; no range-sampling pass), sorted by day within each task for min/max file skipping.",
     "agg_daily_kpis": "Each payment is filed under its status, customer and merchant (inline) and folded in its task, so both exchanges carry pre-aggregated rows; distinct counts are rows of the second fold.",
     "agg_cohort_ltv": "status = 'captured' is pushed into the fact scan; payments are summed per (customer, month) before the customer join.",
@@ -51,18 +51,15 @@ def main() -> None:
     refresh.full_refresh(spark, layout, "d1", raw, testdata.PASSING_GATES)
     g = refresh.published_gold(spark, layout)
 
-    from pyspark.sql import Observation
-
     from ledgerline.operators import clean, enrich
 
     b = {t: lake.read_bronze(spark, layout, t, "d1") for t in refresh.RAW_TABLES}
-    silver = enrich.enrich_payments_observed(
+    silver = enrich.payments_by_outcome(
         clean.clean_payments(b["payments"]),
         clean.clean_customers(b["customers"]),
         clean.clean_merchants(b["merchants"]),
         clean.clean_fx_rates(b["fx_rates"]),
         clean.clean_chargebacks(b["chargebacks"]),
-        Observation("plans"),
     )
     jobs = {
         "silver payments (refresh path, with drop accounting)": silver,

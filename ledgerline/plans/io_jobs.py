@@ -98,6 +98,14 @@ def silver_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_silver(spark, layout, "payments")
 
 
+def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments that a silver refresh rejected, as stored, with the rule."""
+    layout = _layout(spark, "silver-rejects")
+    refresh.bronze_ingest(spark, layout, RUN_DATE, testdata.raw_tables(spark, sf_dir))
+    refresh.silver_refresh(spark, layout, RUN_DATE)
+    return lake.read_silver(spark, layout, "payments_rejected")
+
+
 def events_batch_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver events when the stream landing was never written: the batch copy alone.
 
@@ -250,6 +258,7 @@ IO_QUERIES: dict[str, Query] = {
     "bronze_ingest": bronze_ingest,
     "silver_snapshot": silver_snapshot,
     "silver_refresh": silver_refresh,
+    "silver_rejects": silver_rejects,
     "events_batch_only": events_batch_only,
     "stream_land": stream_land,
     "gold_refresh": gold_refresh,

@@ -596,6 +596,19 @@ FROM (VALUES ('2001-12-30'), ('2001-12-31')) d(dt),
 
 # ---- Whole jobs: rows and digests of every table they write -------------------------
 
+_REJECT_COLUMNS = "payment_id customer_id merchant_id amount_original currency status method created_at_utc updated_at_utc outcome"
+_REJECTS = f"""SELECT {', '.join(_REJECT_COLUMNS.split())} FROM (
+    SELECT p.*, CASE WHEN c.customer_id IS NULL THEN 'orphan_customer'
+                     WHEN m.merchant_id IS NULL THEN 'orphan_merchant'
+                     WHEN p.created_at_utc IS NULL OR c.signup_date IS NULL THEN 'null_date'
+                     WHEN CAST(p.created_at_utc AS DATE) < c.signup_date THEN 'pre_signup'
+                     WHEN fx.rate IS NULL THEN 'missing_fx' END AS outcome
+    FROM o_payments p
+    LEFT JOIN o_customers c ON c.customer_id = p.customer_id
+    LEFT JOIN o_merchants m ON m.merchant_id = p.merchant_id
+    LEFT JOIN o_fx fx ON fx.to_ccy = 'USD' AND fx.date = CAST(p.created_at_utc AS DATE) AND fx.from_ccy = p.currency
+) WHERE outcome IS NOT NULL"""
+ORACLE_SQL["silver_rejects"] = _q(_REJECTS)
 _EVENTS = ORACLE_SQL["events_union_dedupe"].removeprefix(PREFIX)
 _TIMES = {"created_at_utc", "updated_at_utc", "filed_at", "event_ts", "chargeback_filed_at"}
 
@@ -659,6 +672,7 @@ FROM o_fct"""
                 "payment_id customer_id merchant_id amount_original currency status method created_at_utc updated_at_utc "
                 "fx_rate_to_usd amount_usd chargeback_reason_code chargeback_filed_at has_chargeback",
             ),
+            _digest("payments_rejected", f"({_REJECTS})", _REJECT_COLUMNS),
             _digest("chargebacks", "o_chargebacks", "payment_id reason_code filed_at"),
             _digest("fx_rates", "o_fx", "date from_ccy to_ccy rate"),
             _digest("blacklist", "o_denylist", "customer_id"),

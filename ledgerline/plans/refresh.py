@@ -2,8 +2,8 @@
 
 Each job reads its input layer, composes the operators lazily, and writes its
 output layer; the written layer is what the next job reads, so lineage is cut
-at every layer boundary. Row counts and drop counts are collected with
-``Observation`` inside the writing job instead of separate counting jobs.
+at every layer boundary. Bronze row counts are collected with ``Observation``
+inside the writing job, counts of rejected payments from the written footers.
 Quality gates, on unless switched off, stop a run before it publishes.
 """
 
@@ -87,6 +87,10 @@ def silver_refresh(spark: SparkSession, layout: Layout, ds: str, gate: bool = Fa
     that changed since the published version are read. Events delivered by
     earlier runs stay, also if the batch of ``ds`` no longer holds them.
 
+    Payments that a rule rejects are kept as ``payments_rejected``, with the rule.
+    The counts come from the written files, so a task that ran twice counts once,
+    and a run whose files hold fewer payments than were read is not published.
+
     A day and currency quoted twice would price its payments twice, so it fails
     the run (:class:`~ledgerline.operators.quality.ConstraintsViolated`) before
     anything is written.
@@ -116,23 +120,35 @@ def silver_refresh(spark: SparkSession, layout: Layout, ds: str, gate: bool = Fa
     else:
         tasks["events"] = lambda: _reconcile_events(spark, layout, run, b["events"], stream, before)
 
-    drops = Observation("silver_drops")
-    outputs["payments"] = enrich.enrich_payments_observed(payments, customers, merchants, fx_rates, chargebacks, drops)
+    by_outcome = enrich.payments_by_outcome(payments, customers, merchants, fx_rates, chargebacks)
+    tasks["payments"] = lambda: lake.write_outcomes(by_outcome, layout, run)
 
     for table, df in outputs.items():
         tasks[table] = lambda t=table, df=df: {t: lake.write_silver(df, layout, run, t)}
     written = {name: entry for part in run_concurrently(tasks).values() for name, entry in part.items()}
     if gate:
         quality.validate(lake.read_silver_table(spark, layout, "payments", written["payments"]), "silver_payments")
+    counts = lake.outcome_counts(spark, layout, written)
+    _require_all_accounted(payments.count(), counts)
     lake.publish_silver(spark, layout, run, ds, written)
-    # No payment kept: adaptive execution may cut the observed branch off the plan, so its counts are taken anew.
-    observed = not lake.read_silver_table(spark, layout, "payments", written["payments"]).isEmpty()
-    rules = enrich.flag_payment_rules(payments, customers, merchants, fx_rates).agg(*enrich.drop_counts())
-    counts = dict(drops.get) if observed else rules.first().asDict()
-    for rule, n in counts.items():
+    drops = {rule: counts[rule] for rule in enrich.DROP_RULES}
+    for rule, n in drops.items():
         if n:
-            LOG.warning("silver dropped %d payments: %s", n, rule)
-    return counts
+            LOG.warning("silver rejected %d payments: %s", n, rule)
+    return drops
+
+
+class PaymentsLost(RuntimeError):
+    """Fewer payments were written, kept and rejected together, than bronze holds."""
+
+
+def _require_all_accounted(read: int, written: Mapping[str, int]) -> None:
+    """Kept and rejected payments are those that were read; keys that occur twice make more of them, never fewer."""
+    total = sum(written.values())
+    if total < read:
+        raise PaymentsLost(f"{read} payments read, {total} written: {dict(written)}")
+    if total > read:
+        LOG.warning("silver: %d payments became %d rows: customers, merchants or chargebacks repeat keys", read, total)
 
 
 def _reconcile_events(

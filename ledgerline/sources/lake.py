@@ -5,7 +5,8 @@
   Every row carries ``_ingested_at``.
 * Silver: a run writes its tables into folders of its own and publishes them
   together as one numbered version (:mod:`ledgerline.sources.versions`). A run
-  that fails midway leaves the version before it whole. Quarantined events are
+  that fails midway leaves the version before it whole. Payments are written once,
+  by outcome: the kept ones, and those each rule rejects. Quarantined events are
   stored by arrival day, events as an index
   (:mod:`ledgerline.sources.event_index`). Payments are recomputed by each run from
   that day's bronze, and gold clusters them by month: a month-wise silver would
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
 from ledgerline.operators import clean
+from ledgerline.operators.enrich import DROP_RULES, KEPT, OUTCOME
 from ledgerline.schemas import RAW_SCHEMAS
 from ledgerline.sources.event_index import EventIndex, IndexState
 from ledgerline.sources.versions import NULL_SLICE, VersionLog, read_slices, write_slices, written_slices
@@ -120,7 +122,10 @@ def new_run() -> str:
 
 @dataclass
 class SilverTable:
-    """Where a version keeps a table: a folder, slices of a shared folder, or batches of the event index."""
+    """Where a version keeps a table: a folder, slices of a shared folder, or batches of the event index.
+
+    ``path`` is a table's own folder, or the shared folder of its slices if that has another name than the table.
+    """
 
     schema: dict
     path: str | None = None
@@ -137,6 +142,33 @@ def write_silver(df: DataFrame, layout: Layout, run: str, table: str) -> SilverT
     return SilverTable(schema, path=path)
 
 
+#: Rejected payments keep their own columns, and the rule.
+REJECTED_PRICE = [
+    "fx_rate_to_usd", "amount_usd", "chargeback_reason_code", "chargeback_filed_at", "has_chargeback",
+]
+
+
+def write_outcomes(df: DataFrame, layout: Layout, run: str) -> dict[str, SilverTable]:
+    """Kept and rejected payments in one write, a slice per outcome; the entries of both tables."""
+    root = layout.silver_sliced("payments")
+    write_slices(df, root, OUTCOME, run)
+    slices = {outcome: run for outcome in written_slices(df.sparkSession, root, OUTCOME, run)}
+    kept = {outcome: run for outcome in slices if outcome == KEPT}
+    rejected = {outcome: run for outcome in slices if outcome != KEPT}
+    return {
+        "payments": SilverTable(df.drop(OUTCOME).schema.jsonValue(), root, OUTCOME, kept),
+        "payments_rejected": SilverTable(df.drop(*REJECTED_PRICE).schema.jsonValue(), root, OUTCOME, rejected),
+    }
+
+
+def outcome_counts(spark: SparkSession, layout: Layout, written: dict[str, SilverTable]) -> dict[str, int]:
+    """Written payments by outcome, from the footers of the files; one row per outcome reaches the driver."""
+    rejected = read_silver_table(spark, layout, "payments_rejected", written["payments_rejected"])
+    counts = {rule: 0 for rule in DROP_RULES}
+    counts |= {r[OUTCOME]: r["count"] for r in rejected.groupBy(OUTCOME).count().collect()}
+    return counts | {KEPT: read_silver_table(spark, layout, "payments", written["payments"]).count()}
+
+
 def write_quarantine(df: DataFrame, layout: Layout, run: str, read_days: list[str], before: SilverTable | None) -> SilverTable:
     """Quarantined events by arrival day: those of the days read anew, and the batch's (no day); other days stay as they were."""
     root = layout.silver_sliced("events_quarantine")
@@ -174,8 +206,9 @@ def read_silver_table(spark: SparkSession, layout: Layout, table: str, entry: Si
         state = IndexState(**entry.index)
         return clean.clean_events(EventIndex(spark, layout.event_index, state.buckets).events(state.batches))
     if entry.slices is not None:
-        df = read_slices(spark, layout.silver_sliced(table), entry.slice_column, DateType(), entry.slices, schema)
-        return df.drop(entry.slice_column)
+        root, kind = entry.path or layout.silver_sliced(table), StringType() if entry.slice_column == OUTCOME else DateType()
+        df = read_slices(spark, root, entry.slice_column, kind, entry.slices, schema)
+        return df.select(*schema.names)
     return spark.read.schema(schema).parquet(entry.path)
 
 

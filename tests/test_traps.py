@@ -6,7 +6,6 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import Observation
 
 from ledgerline.operators import clean, enrich, events, gold, reports
 from ledgerline.sources import raw as raw_io
@@ -59,14 +58,22 @@ def test_missing_rate_drops_and_is_counted(spark):
     assert report == {"orphan_customer": 0, "orphan_merchant": 0, "null_date": 0, "pre_signup": 0, "missing_fx": 1}
 
 
-def test_observed_enrichment_equals_plain_and_counts_drops(spark):
+def test_outcomes_hold_every_payment_and_the_kept_equal_plain(spark):
     pays = [payment(), payment(pid="p2", ccy="CLP"), payment(pid="p3", cust="ghost"), payment(pid="p4", created=ts(2023, 1, 1))]
-    p, c, m, fx, cb = frames(spark, pays)
-    obs = Observation("drops")
-    observed = enrich.enrich_payments_observed(p, c, m, fx, cb, obs).collect()
+    ghost = payment(pid="p5")
+    pays += [(*ghost[:2], "ghost", *ghost[3:]), payment(pid="p6", created=None), payment(pid=None), payment(pid="p2", ccy=None)]
+    twice = [(pid, "fraud", ts(2024, 3, 1)) for pid in ("p1", "p1", "p2", "p3")]
+    p, c, m, fx, cb = frames(spark, pays, chargebacks=twice)
+    out = enrich.payments_by_outcome(p, c, m, fx, cb)
     plain = enrich.enrich_payments(p, c, m, fx, cb).collect()
-    assert sorted(observed) == sorted(plain) and len(plain) == 1
-    assert obs.get == {"orphan_customer": 1, "orphan_merchant": 0, "null_date": 0, "pre_signup": 1, "missing_fx": 1}
+    kept = out.where("outcome = 'kept'").drop("outcome").collect()
+    assert sorted(map(str, kept)) == sorted(map(str, plain)) and len(plain) == 3  # p1 twice, and the payment without an id
+    rejected = out.where("outcome != 'kept'")
+    assert sorted((r.payment_id, r.outcome) for r in rejected.collect()) == [
+        ("p2", "missing_fx"), ("p2", "missing_fx"), ("p3", "orphan_customer"), ("p4", "pre_signup"),
+        ("p5", "orphan_merchant"), ("p6", "null_date"),
+    ]
+    assert rejected.where("amount_usd is not null or has_chargeback").isEmpty()
 
 
 def test_chargebacks_can_exceed_captured_and_zero_captured_rate_is_zero(spark):

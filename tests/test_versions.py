@@ -54,30 +54,30 @@ def test_slices_of_several_versions_are_one_table(spark, tmp_root):
     assert read_slices(spark, tmp_root, "m", rows.schema["m"].dataType, {}, rows.schema).count() == 0
 
 
-@pytest.mark.parametrize("broken", ["payments", "blacklist"])
-def test_a_silver_run_that_fails_midway_leaves_the_old_silver_whole(spark, tmp_root, monkeypatch, broken):
+@pytest.mark.parametrize("writer", ["write_outcomes", "write_silver"])
+def test_a_silver_run_that_fails_midway_leaves_the_old_silver_whole(spark, tmp_root, monkeypatch, writer):
     layout = Layout(tmp_root)
     raw = testdata.raw_tables(spark, SF_SMALL)
     refresh.bronze_ingest(spark, layout, "d1", raw)
     refresh.silver_refresh(spark, layout, "d1")
     before = {t: sorted(map(str, lake.read_silver(spark, layout, t).collect())) for t in lake.published_silver(spark, layout)}
-    assert set(before) == {"customers", "merchants", "payments", "chargebacks", "fx_rates", "blacklist", "events"}
+    assert set(before) == {"customers", "merchants", "payments", "payments_rejected", "chargebacks", "fx_rates", "blacklist", "events"}
 
     other = {t: df.limit(20) if t in ("customers", "payments", "events", "chargebacks") else df for t, df in raw.items()}
     refresh.bronze_ingest(spark, layout, "d2", other)
-    real = lake.write_silver
+    real = getattr(lake, writer)
 
-    def failing(df, layout_, run, table):
-        if table == broken:
+    def failing(df, layout_, run, table="payments"):
+        if table in ("payments", "blacklist"):
             raise RuntimeError("disk full")
         return real(df, layout_, run, table)
 
-    monkeypatch.setattr(lake, "write_silver", failing)
+    monkeypatch.setattr(lake, writer, failing)
     with pytest.raises(RuntimeError, match="disk full"):
         refresh.silver_refresh(spark, layout, "d2")
     assert before == {t: sorted(map(str, lake.read_silver(spark, layout, t).collect())) for t in before}
 
-    monkeypatch.setattr(lake, "write_silver", real)
+    monkeypatch.setattr(lake, writer, real)
     refresh.silver_refresh(spark, layout, "d2")
     assert lake.read_silver(spark, layout, "customers").count() == 20
     assert lake.read_silver(spark, layout, "customers", number=1).count() == len(before["customers"])
