@@ -6,6 +6,7 @@
     python -m ledgerline report   NAME --root ROOT [--rows 50 | --out DIR]
     python -m ledgerline validate SUITE --root ROOT [--ds DS]
     python -m ledgerline constraints --root ROOT
+    python -m ledgerline expire   --root ROOT [--keep 7]
 
 Uses the active Spark configuration (``spark-submit`` or ``SPARK_*`` settings);
 the session time zone is pinned to UTC.
@@ -23,7 +24,7 @@ from ledgerline.operators import quality
 from ledgerline.plans import refresh
 from ledgerline.plans.catalog import REPORTS
 from ledgerline.session import pin_utc
-from ledgerline.sources import lake, raw
+from ledgerline.sources import expiry, lake, raw
 from ledgerline.sources.lake import Layout
 from ledgerline.streaming import landing
 
@@ -59,6 +60,9 @@ def _parser() -> argparse.ArgumentParser:
     v.add_argument("--ds")
     c = sub.add_parser("constraints", help="gold key and constraint report")
     c.add_argument("--root", required=True)
+    e = sub.add_parser("expire", help="remove silver and gold versions that nobody reads any more")
+    e.add_argument("--root", required=True)
+    e.add_argument("--keep", type=int, default=expiry.KEEP_VERSIONS, help="newest versions that stay in any case")
     return p
 
 
@@ -104,6 +108,9 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "constraints":
         report = quality.constraint_report(refresh.published_gold(spark, layout).tables)
         report.orderBy("table_name", "kind", "constraint_name").show(200, truncate=False)
+    elif args.cmd == "expire":
+        for layer, gone in expiry.expire_versions(spark, layout, args.keep).items():
+            print(f"{layer}: {len(gone.versions)} versions and {len(gone.folders)} folders removed")
     return 0
 
 

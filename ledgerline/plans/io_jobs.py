@@ -19,9 +19,10 @@ from ledgerline.operators import clean
 from ledgerline.plans import refresh
 from ledgerline.plans.catalog import Query
 from ledgerline.schemas import EVENTS, PAYMENTS
-from ledgerline.session import scratch_path
+from ledgerline.session import materialize, scratch_path
 from ledgerline.sources import lake, raw, testdata
 from ledgerline.sources.event_index import EventIndex, IndexState
+from ledgerline.sources.expiry import expire_versions
 from ledgerline.sources.lake import Layout
 from ledgerline.streaming import landing
 
@@ -185,6 +186,28 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh.published_gold(spark, layout)["fct_payments"].select("*", by)
 
 
+def versions_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two refreshes, the first without a month's payments, then an expiry while a reader holds the first version.
+
+    Rows and digests of the fact as that reader still finds it and as the newest
+    version has it once the first is gone, and how many versions stayed.
+    """
+    layout = _layout(spark, "expiry")
+    tables = dict(testdata.raw_tables(spark, sf_dir))
+    payments = tables["payments"]
+    without = payments.where(~F.coalesce(F.col("created_at").startswith(CHANGED_MONTH), F.lit(False)))
+    log = lake.gold_log(spark, layout)
+    refresh.full_refresh(spark, layout, RUN_DATE, tables | {"payments": without}, ("gold_fct_payments",))
+    with log.holding() as first:
+        refresh.full_refresh(spark, layout, RUN_DATE, tables, ("gold_fct_payments",))
+        expire_versions(spark, layout, keep=1)
+        held = refresh.published_gold(spark, layout, first)["fct_payments"].drop(lake.MONTH_COLUMN)
+        held = materialize(_digest("held", held).withColumn("versions", F.lit(len(log.numbers()))), "expiry-held")
+    expire_versions(spark, layout, keep=1)
+    newest = refresh.published_gold(spark, layout)["fct_payments"].drop(lake.MONTH_COLUMN)
+    return held.unionByName(_digest("newest", newest).withColumn("versions", F.lit(len(log.numbers()))))
+
+
 MERGE_CUTS = ("1996-01-01", "1997-03-15")
 
 
@@ -264,6 +287,7 @@ IO_QUERIES: dict[str, Query] = {
     "gold_refresh": gold_refresh,
     "events_incremental": events_incremental,
     "gold_incremental": gold_incremental,
+    "versions_expired": versions_expired,
     "cohort_ltv_incremental": cohort_ltv_incremental,
     "bronze_tables": bronze_tables,
     "silver_tables": silver_tables,

@@ -693,3 +693,9 @@ FROM o_fct"""
         ),
     }
 )
+
+_FCT_COLUMNS = _GOLD_VIEWS["fct_payments"][1]
+_HELD = _digest("held", "(SELECT * FROM o_fct WHERE date_trunc('month', date_key) <> DATE '1997-03-01')", _FCT_COLUMNS)
+ORACLE_SQL["versions_expired"] = _q(
+    f"SELECT *, 2 AS versions FROM ({_HELD})\nUNION ALL SELECT *, 1 FROM ({_digest('newest', 'o_fct', _FCT_COLUMNS)})"
+)

@@ -96,7 +96,13 @@ def silver_refresh(spark: SparkSession, layout: Layout, ds: str, gate: bool = Fa
     anything is written.
     """
     run = lake.new_run()
-    before = lake.published_silver(spark, layout)
+    with lake.silver_log(spark, layout).holding(run) as before:
+        return _silver_refresh(spark, layout, ds, gate, run, lake.silver_tables(before))
+
+
+def _silver_refresh(
+    spark: SparkSession, layout: Layout, ds: str, gate: bool, run: str, before: dict[str, SilverTable]
+) -> dict[str, int]:
     b = {t: lake.read_bronze(spark, layout, t, ds) for t in RAW_TABLES}
     customers = clean.clean_customers(b["customers"])
     merchants = clean.clean_merchants(b["merchants"])
@@ -181,11 +187,17 @@ def gold_refresh(spark: SparkSession, layout: Layout, gate: bool = True) -> str:
     the written tables must hold, else the version is not published.
     """
     version = lake.new_run()
-    tables = lake.published_silver(spark, layout)
+    silver_held = lake.silver_log(spark, layout).holding()
+    with silver_held as silver, lake.gold_log(spark, layout).holding(version) as before:
+        return _gold_refresh(spark, layout, gate, version, lake.silver_tables(silver), before)
+
+
+def _gold_refresh(
+    spark: SparkSession, layout: Layout, gate: bool, version: str, tables: dict[str, SilverTable], before: dict | None
+) -> str:
     silver = {t: lake.read_silver_table(spark, layout, t, tables[t]) for t in ("customers", "merchants", "payments")}
     new_fct = gold.fct_payments(silver["payments"])
     months: dict[str, dict] = {}
-    before = lake.gold_log(spark, layout).latest()
 
     def write(table: str, df: DataFrame) -> Callable[[], str]:
         return lambda: lake.write_gold(df, layout, version, table)
@@ -282,9 +294,12 @@ def _gold_version(spark: SparkSession, layout: Layout, version: str, fct: DataFr
     return Gold({t: lake.read_gold(spark, layout, t, version, schemas[t]) for t in others} | {"fct_payments": fct})
 
 
-def published_gold(spark: SparkSession, layout: Layout) -> Gold:
-    """The newest gold version; its months are those of one manifest, whatever is published meanwhile."""
-    manifest = lake.gold_manifest(spark, layout)
+def published_gold(spark: SparkSession, layout: Layout, manifest: dict | None = None) -> Gold:
+    """The newest gold version, or that of a manifest held by ``VersionLog.holding``.
+
+    Its months are those of one manifest, whatever is published meanwhile.
+    """
+    manifest = manifest or lake.gold_manifest(spark, layout)
     months = {m: entry["version"] for m, entry in manifest["months"].items()}
     schema = gold_schemas(spark)["fct_payments"]
     fct = lake.read_gold(spark, layout, "fct_payments", manifest["version"], schema, months)

@@ -195,7 +195,11 @@ def publish_silver(spark: SparkSession, layout: Layout, run: str, ds: str, table
 def published_silver(spark: SparkSession, layout: Layout, number: int | None = None) -> dict[str, SilverTable]:
     """The tables of the newest (or a given) silver version; none before the first."""
     log = silver_log(spark, layout)
-    manifest = log.latest() if number is None else log.read(number)
+    return silver_tables(log.latest() if number is None else log.read(number))
+
+
+def silver_tables(manifest: dict | None) -> dict[str, SilverTable]:
+    """The tables that a manifest names; none without one."""
     return {name: SilverTable(**entry) for name, entry in (manifest or {"tables": {}})["tables"].items()}
 
 

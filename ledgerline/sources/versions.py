@@ -19,8 +19,10 @@ from __future__ import annotations
 import json
 import os
 import re
+import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +42,7 @@ class VersionLog:
         self._jvm = spark._jvm
         self._gateway = spark.sparkContext._gateway
         self._conf = spark._jsparkSession.sessionState().newHadoopConf()
+        self.root = root
         self.folder = f"{root}/_versions"
         self._fs = self._path(self.folder).getFileSystem(self._conf)
 
@@ -79,6 +82,82 @@ class VersionLog:
             number += 1
         return number
 
+    # ---- leases and removal (:mod:`ledgerline.sources.expiry`)
+
+    @contextmanager
+    def holding(self, run: str | None = None, number: int | None = None) -> Iterator[dict | None]:
+        """Keep the newest (or a given) version from expiring, and the folders of ``run``; yields its manifest.
+
+        ``None`` is yielded before the first version. A version that is gone
+        raises FileNotFoundError.
+        """
+        wanted, given = number, []
+        try:
+            while True:
+                number = wanted if wanted is not None else (self.numbers() or [None])[-1]
+                manifest = self._read_if_present(number)
+                given.append(self._lease({"run": run, "number": number, "manifest": manifest}))
+                if number is None or self._read_if_present(number) is not None:  # still there, with the lease in place
+                    break
+                if wanted is not None:
+                    raise FileNotFoundError(f"version {number} of {self.root} has expired")
+            yield manifest
+        finally:
+            for lease in given:
+                self._fs.delete(lease, False)
+
+    def _lease(self, content: dict):
+        """Write a lease; it appears under its name when it is complete."""
+        name = f"{uuid.uuid4().hex}.json"
+        draft, lease = (self._path(f"{self.root}/_leases/{prefix}{name}") for prefix in (".", ""))
+        out = self._fs.create(draft, False)
+        try:
+            out.write(bytearray(json.dumps(content).encode()))
+        finally:
+            out.close()
+        if not self._fs.rename(draft, lease):
+            raise OSError(f"could not write {lease.toString()}")
+        return lease
+
+    def _read_if_present(self, number: int | None) -> dict | None:
+        if number is None or not self._fs.exists(self._path(f"{self.folder}/{number:010d}.json")):
+            return None
+        return self.read(number)
+
+    def leases(self, hours: float) -> list[dict]:
+        """Leases taken within the last ``hours``; older ones are deleted."""
+        folder, out = self._path(f"{self.root}/_leases"), []
+        for status in self._fs.listStatus(folder) if self._fs.exists(folder) else []:
+            if status.getPath().getName().startswith("."):
+                continue
+            if status.getModificationTime() < (time.time() - hours * 3600) * 1000:
+                self._fs.delete(status.getPath(), False)
+                continue
+            try:
+                stream = self._fs.open(status.getPath())
+            except Py4JJavaError:  # given back meanwhile
+                continue
+            try:
+                text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            out.append(json.loads(text))
+        return out
+
+    def remove(self, numbers: list[int]) -> None:
+        """Delete manifests; the newest is never among them."""
+        for number in numbers:
+            self._fs.delete(self._path(f"{self.folder}/{number:010d}.json"), False)
+
+    def folders(self, pattern: str) -> list[str]:
+        """Folders under the layer's root that fit a glob, relative to it."""
+        prefix = self._path(self.root).toUri().getPath() + "/"
+        found = self._fs.globStatus(self._path(f"{self.root}/{pattern}")) or []
+        return sorted(s.getPath().toUri().getPath().removeprefix(prefix) for s in found)
+
+    def delete_folder(self, folder: str) -> None:
+        self._fs.delete(self._path(f"{self.root}/{folder}"), True)
+
     def _put_if_absent(self, draft, target: str) -> bool:
         """Give a complete file its name, unless a file of that name exists: in one step, whoever else tries."""
         if self._fs.getScheme() == "file":  # a rename of local files replaces; a hard link does not
