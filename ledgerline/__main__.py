@@ -74,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = pin_utc(SparkSession.builder.appName("ledgerline").getOrCreate())
     layout = Layout(args.root.rstrip("/"))
     if args.cmd == "refresh":
-        landed = raw.read_landing(spark, args.raw_dir, multi_line_denylist=args.denylist_format == "document")
+        landed = raw.read_landing(spark, args.raw_dir, args.denylist_format == "document", rescue=True)
         gates = () if args.no_gates else tuple(args.gate or quality.SUITES)
         out = refresh.full_refresh(spark, layout, args.ds, landed, gates)
         print(json.dumps(out, default=str))

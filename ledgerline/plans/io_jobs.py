@@ -78,6 +78,33 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def bronze_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments and events landed with lines that do not fit; the lines as bronze rescued them, and the rows of each table.
+
+    The seventh payment of an order has no number as its amount; events whose id
+    ends in 7 are cut off within the JSON object.
+    """
+    layout, landed = _layout(spark, "rescued"), scratch_path(spark, "misfits")
+    payments, event = testdata.raw_payments(spark, sf_dir), testdata.raw_events(spark, sf_dir)
+    amount = F.when(F.col("payment_id").endswith("_7"), "n/a").otherwise(F.col("amount").cast("string"))
+    raw.write_csv(payments.withColumn("amount", amount), f"{landed}/payments")
+    cut = F.concat(F.lit('{"event_id":"'), "event_id", F.lit('","customer_id'))
+    whole = F.to_json(F.struct(*event.columns))
+    event.select(F.when(F.col("event_id").endswith("7"), cut).otherwise(whole).alias("value")).write.text(f"{landed}/events")
+    tables = dict(testdata.raw_tables(spark, sf_dir)) | {
+        "payments": raw.read_csv_raw(spark, f"{landed}/payments", PAYMENTS, rescue=True),
+        "events": raw.read_jsonl_raw(spark, f"{landed}/events", EVENTS, rescue=True),
+    }
+    rows = refresh.bronze_ingest(spark, layout, RUN_DATE, tables)
+    parts = [
+        lake.read_rescued(spark, layout, t, RUN_DATE).select(
+            F.lit(t).alias("table_name"), F.col(raw.RESCUED).alias("line"), F.lit(rows[t]).cast("long").alias("bronze_rows")
+        )
+        for t in ("payments", "events")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def silver_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A silver table written twice with different rows: the second run replaces the first."""
     layout = _layout(spark, "silver-snapshot")
@@ -279,6 +306,7 @@ IO_QUERIES: dict[str, Query] = {
     "scan_jsonl": scan_jsonl,
     "bronze_partition_overwrite": bronze_partition_overwrite,
     "bronze_ingest": bronze_ingest,
+    "bronze_rescued": bronze_rescued,
     "silver_snapshot": silver_snapshot,
     "silver_refresh": silver_refresh,
     "silver_rejects": silver_rejects,

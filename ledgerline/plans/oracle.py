@@ -699,3 +699,11 @@ _HELD = _digest("held", "(SELECT * FROM o_fct WHERE date_trunc('month', date_key
 ORACLE_SQL["versions_expired"] = _q(
     f"SELECT *, 2 AS versions FROM ({_HELD})\nUNION ALL SELECT *, 1 FROM ({_digest('newest', 'o_fct', _FCT_COLUMNS)})"
 )
+ORACLE_SQL["bronze_rescued"] = _q(
+    """SELECT 'payments' AS table_name,
+       concat_ws(',', payment_id, customer_id, merchant_id, 'n/a', currency, status, created_at, updated_at, method) AS line,
+       (SELECT count(*) FROM o_raw_payments) AS bronze_rows
+FROM o_raw_payments WHERE payment_id LIKE '%\\_7' ESCAPE '\\'
+UNION ALL SELECT 'events', '{"event_id":"' || event_id || '","customer_id', (SELECT count(*) FROM o_raw_events)
+FROM o_raw_events WHERE event_id LIKE '%7'"""
+)

@@ -25,6 +25,7 @@ from ledgerline.plans.catalog import Gold, gold_schemas
 from ledgerline.sources import lake
 from ledgerline.sources.event_index import EventIndex, IndexState, arrived_on, buckets_for, day_counts
 from ledgerline.sources.lake import Layout, SilverTable
+from ledgerline.sources.raw import RESCUED
 from ledgerline.streaming.landing import read_landing_days
 
 LOG = logging.getLogger(__name__)
@@ -50,14 +51,22 @@ def run_concurrently(tasks: dict[str, Callable[[], T]], parallelism: int = WRITE
 
 
 def bronze_ingest(spark: SparkSession, layout: Layout, ds: str, raw: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Land every raw dataset as bronze partition ``dt=<ds>``; return rows per table."""
+    """Land every raw dataset as bronze partition ``dt=<ds>``; return rows per table.
+
+    Lines that did not fit the schema land too, their text beside what could be
+    read of them, if the reader kept it (``lake.read_rescued``).
+    """
 
     def ingest(table: str) -> Callable[[], int]:
         def run() -> int:
             obs = Observation(f"bronze_{table}")
-            lake.write_bronze(raw[table].observe(obs, F.count(F.lit(1)).alias("rows")), layout, table, ds)
-            rows = obs.get["rows"]
+            misfit = F.col(RESCUED).isNotNull() if RESCUED in raw[table].columns else F.lit(False)
+            counts = (F.count(F.lit(1)).alias("rows"), F.count_if(misfit).alias("rescued"))
+            lake.write_bronze(raw[table].observe(obs, *counts), layout, table, ds)
+            rows, rescued = obs.get["rows"], obs.get["rescued"]
             LOG.info("bronze %s dt=%s: %d rows", table, ds, rows)
+            if rescued:
+                LOG.warning("bronze %s dt=%s: %d lines do not fit the schema", table, ds, rescued)
             return rows
 
         return run

@@ -29,6 +29,7 @@ from ledgerline.operators import clean
 from ledgerline.operators.enrich import DROP_RULES, KEPT, OUTCOME
 from ledgerline.schemas import RAW_SCHEMAS
 from ledgerline.sources.event_index import EventIndex, IndexState
+from ledgerline.sources.raw import RESCUED
 from ledgerline.sources.versions import NULL_SLICE, VersionLog, read_slices, write_slices, written_slices
 
 
@@ -109,6 +110,18 @@ def read_bronze(spark: SparkSession, layout: Layout, table: str, ds: str) -> Dat
     return reader.parquet(f"{layout.bronze(table)}/dt={ds}")
 
 
+def read_rescued(spark: SparkSession, layout: Layout, table: str, ds: str) -> DataFrame:
+    """Rows of a run's partition whose line did not fit the raw schema, with that line as ``_rescued``.
+
+    They are stored with the table, so one write keeps both; row groups
+    without any are skipped by their statistics. Partitions written without the
+    column have none.
+    """
+    fields = [f for f in bronze_schema(table) if f.name != "dt"] + [StructField(RESCUED, StringType(), True)]
+    rows = spark.read.schema(StructType(fields)).parquet(f"{layout.bronze(table)}/dt={ds}")
+    return rows.where(F.col(RESCUED).isNotNull())
+
+
 # ---- silver ----------------------------------------------------------------
 
 MONTH_COLUMN = "date_month"

@@ -3,24 +3,34 @@
 Schemas are always pinned, never inferred. CSV headers are validated against
 the pinned schema (``enforceSchema=false``) so that a file whose columns were
 reordered fails instead of being read by position into the wrong fields; bad
-cells still become NULL (PERMISSIVE).
+cells still become NULL (PERMISSIVE). The readers can also keep the text of
+each line that does not fit the schema, in the column ``_rescued``: a bad cell, too
+few or too many columns, or broken JSON. Such a line stays a row of the table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerline.operators.clean import explode_denylist
 from ledgerline.schemas import DENYLIST_DOCUMENT
 
 
-def read_csv_raw(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+RESCUED = "_rescued"
+
+
+def _with_rescued(schema: StructType, rescue: bool) -> StructType:
+    return StructType([*schema.fields, StructField(RESCUED, StringType(), True)]) if rescue else schema
+
+
+def read_csv_raw(spark: SparkSession, path: str, schema: StructType, rescue: bool = False) -> DataFrame:
     return (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
-        .schema(schema)
+        .option("columnNameOfCorruptRecord", RESCUED)
+        .schema(_with_rescued(schema, rescue))
         .csv(path)
     )
 
@@ -29,8 +39,9 @@ def read_csv_raw(spark: SparkSession, path: str, schema: StructType) -> DataFram
 JSON_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def read_jsonl_raw(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.option("timestampFormat", JSON_TIMESTAMP).schema(schema).json(path)
+def read_jsonl_raw(spark: SparkSession, path: str, schema: StructType, rescue: bool = False) -> DataFrame:
+    reader = spark.read.option("timestampFormat", JSON_TIMESTAMP).option("columnNameOfCorruptRecord", RESCUED)
+    return reader.schema(_with_rescued(schema, rescue)).json(path)
 
 
 def read_denylist(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -67,9 +78,12 @@ LANDING_FILES = {
 }
 
 
-def read_landing(spark: SparkSession, raw_dir: str, multi_line_denylist: bool = True) -> dict[str, DataFrame]:
+def read_landing(
+    spark: SparkSession, raw_dir: str, multi_line_denylist: bool = True, rescue: bool = False
+) -> dict[str, DataFrame]:
     """The seven raw datasets of one run from a landing folder, schemas pinned.
 
+    With ``rescue``, all but the denylist have the column ``_rescued``, which bronze stores.
     The denylist is one pretty-printed JSON document as the service serves it
     (``multi_line_denylist=True``) or JSON lines of documents.
     """
@@ -80,11 +94,11 @@ def read_landing(spark: SparkSession, raw_dir: str, multi_line_denylist: bool =
     for table, name in LANDING_FILES.items():
         path = f"{root}/{name}"
         if table == "events":
-            out[table] = read_jsonl_raw(spark, path, RAW_SCHEMAS[table])
+            out[table] = read_jsonl_raw(spark, path, RAW_SCHEMAS[table], rescue)
         elif table == "blacklist":
             out[table] = read_denylist(spark, path, multi_line=multi_line_denylist)
         else:
-            out[table] = read_csv_raw(spark, path, RAW_SCHEMAS[table])
+            out[table] = read_csv_raw(spark, path, RAW_SCHEMAS[table], rescue)
     return out
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -213,3 +214,33 @@ def test_gates_are_on_by_default_and_a_refused_run_does_not_publish(spark, tmp_r
     refresh.bronze_ingest(spark, layout, "d4", quotes)
     with pytest.raises(ConstraintsViolated, match="fx_rates"):
         refresh.silver_refresh(spark, layout, "d4")
+
+
+def test_lines_that_do_not_fit_are_rescued_and_stay_rows(spark, tmp_root):
+    from ledgerline.schemas import EVENTS, PAYMENTS
+    from ledgerline.sources import raw
+
+    head = ",".join(PAYMENTS.names)
+    lines = [
+        "p1,c1,m1,10.5,USD,captured,2024-01-01,2024-01-01,card",
+        "p2,c1,m1,ten,USD,captured,2024-01-01,2024-01-01,card",  # a bad cell
+        "p3,c1",  # too short
+        "p4,c1,m1,1,USD,captured,2024-01-01,2024-01-01,card,extra",  # too long
+        'p5,c1,m1,1,USD,captured,2024-01-01,2024-01-01,"a, b"',
+        "p6,c1,m1,,USD,captured,2024-01-01,2024-01-01,",  # nulls fit
+    ]
+    Path(f"{tmp_root}/p.csv").write_text("\n".join([head, *lines]) + "\n")
+    objects = ['{"event_id":"e1","customer_id":"c","type":"t","event_ts":"x"}', '{"event_id":"e2",', "", "[]", '{"other":1}']
+    Path(f"{tmp_root}/e.jsonl").write_text("\n".join(objects) + "\n")
+    raw_tables = {t: df.limit(0) for t, df in testdata.raw_tables(spark, SF_SMALL).items()}
+    raw_tables["payments"] = raw.read_csv_raw(spark, f"{tmp_root}/p.csv", PAYMENTS, rescue=True)
+    raw_tables["events"] = raw.read_jsonl_raw(spark, f"{tmp_root}/e.jsonl", EVENTS, rescue=True)
+    layout = Layout(f"{tmp_root}/lake")
+    counts = refresh.bronze_ingest(spark, layout, "d1", raw_tables)
+    assert counts["payments"] == 6 and counts["events"] == 4 - 1  # "[]" holds no object
+    found = {r.payment_id: r._rescued for r in lake.read_rescued(spark, layout, "payments", "d1").collect()}
+    assert found == {"p2": lines[1], "p3": lines[2], "p4": lines[3]}
+    amounts = {r.payment_id: r.amount for r in lake.read_bronze(spark, layout, "payments", "d1").collect()}
+    assert amounts == {"p1": 10.5, "p2": None, "p3": None, "p4": 1.0, "p5": 1.0, "p6": None}
+    assert [r._rescued for r in lake.read_rescued(spark, layout, "events", "d1").collect()] == [objects[1]]
+    assert lake.read_rescued(spark, layout, "customers", "d1").isEmpty()  # landed without the column
