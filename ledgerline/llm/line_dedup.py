@@ -1,12 +1,15 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-State is a set of immutable runs, each a Parquet folder of
-``(h1, h2, n_docs, keeper)`` rows sorted by the hash: in how many documents of
-the run a line occurs, and the largest document id among them. A new batch is
-screened by merge joins against the runs (``screen``) and then adds its own run
-at level 0 (``add``). When a level holds ``fanout`` runs they are merged into
-one run of the next level, so a line's state is spread over a logarithmic
-number of runs and each row is rewritten once per level.
+State is a set of immutable runs, each a Parquet table of ``(h1, h2, n_docs,
+keeper)`` rows bucketed and sorted by the hash: in how many documents of a batch
+a line occurs, and the largest document id among them. Each new batch is
+merge-anti-joined with the runs before it, bucket by bucket and without moving
+them: a line that no run holds enters the batch's own run with its keeper; of a
+line that a run holds with a larger keeper, only the count enters, as the
+batch holds none of its kept copies. When a level has ``fanout`` runs they are
+merged into one run of the next level, so a line's state is spread over a
+logarithmic number of runs and each row is rewritten once per level. The levels
+are published as numbered manifests, from which a later job takes the runs up.
 
 A line's hash is XXH3-128 of its key, held as two longs.
 """
@@ -14,22 +17,27 @@ A line's hash is XXH3-128 of its key, held as two longs.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import ASCII_SPACE, ascii_lower, bound_batches, stage
+from ledgerline.session import scratch_path
+from ledgerline.sources.versions import VersionLog
 
 MIN_CHARS = 40
 MIN_DOCS = 5
 #: Batches in which a whole table is fed, and runs of a level before they are merged.
 BATCHES = 4
 FANOUT = 3
+#: Lines (with repeats) that a bucket of the runs is planned for; there are at least ``BUCKETS``.
+BUCKET_LINES, BUCKETS = 1_000_000, 8
 
 RUN_SCHEMA = "h1 long, h2 long, n_docs long, keeper long"
 
@@ -62,57 +70,113 @@ def line_hashes(docs: DataFrame, min_chars: int, id_column: str, text_column: st
     return rows.mapInArrow(run, "doc_id long, h1 long, h2 long")
 
 
-class LineRuns:
-    """Levelled sorted runs; ``levels[i]`` holds the runs of level ``i``, oldest first."""
+def buckets_for(lines: int) -> int:
+    """Buckets of runs that are started for so many lines; they keep the number."""
+    return max(BUCKETS, -(-lines // BUCKET_LINES))
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
-        self.spark = spark
-        self.fanout = fanout
-        self.levels: list[list[DataFrame]] = []
 
-    def _write(self, rows: DataFrame, level: int) -> DataFrame:
-        return stage(rows.sortWithinPartitions("h1", "h2"), f"lines-run-{level}")
+class LineRuns:
+    """Levelled sorted runs under ``root``; ``levels[i]`` names the runs of level ``i``, oldest first.
 
-    @staticmethod
-    def merged(runs: list[DataFrame]) -> DataFrame:
-        """One row per line over several runs."""
-        rows = reduce(DataFrame.unionByName, runs)
-        if len(runs) == 1:
-            return rows
-        return rows.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
+    The newest manifest under ``root`` tells the levels, the fanout and the number
+    of buckets, so a later job continues where the last one published; without
+    one, the runs start empty. One job at a time adds to a root.
+    """
+
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT, root: str | None = None, buckets: int = BUCKETS):
+        self.spark = spark
+        self.root = root or scratch_path(spark, "llm-line-runs")
+        self.log = VersionLog(spark, self.root)
+        known = self.log.latest() or {"levels": [], "fanout": fanout, "buckets": buckets}
+        self.levels: list[list[str]] = known["levels"]
+        self.fanout, self.buckets = known["fanout"], known["buckets"]
+
+    def _table(self, run: str) -> DataFrame:
+        """A run as a bucketed table of this session's catalog; the files need no catalog of their own."""
+        name = f"ledgerline_lines_{run}"
+        if not self.spark.catalog.tableExists(name):
+            self.spark.sql(
+                f"CREATE TABLE {name} (h1 LONG, h2 LONG, n_docs LONG, keeper LONG) USING parquet "
+                f"CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {self.buckets} BUCKETS LOCATION '{self.root}/{run}'"
+            )
+        return self.spark.table(name)
+
+    def _rows(self, run: str) -> DataFrame:
+        """A run as plain files, for unions: over bucketed tables, Spark 4.1 leaves out the shuffle after a union and
+        then reads the tables unbucketed, which loses counts."""
+        return self.spark.read.schema(RUN_SCHEMA).parquet(f"{self.root}/{run}")
+
+    def _write(self, rows: DataFrame) -> str:
+        """Write rows, which lie in the buckets' partitions, as a run; its name."""
+        run = uuid.uuid4().hex
+        (
+            rows.select("h1", "h2", "n_docs", "keeper")
+            .write.format("parquet").bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2")
+            .option("path", f"{self.root}/{run}").saveAsTable(f"ledgerline_lines_{run}")
+        )
+        return run
+
+    def _forget(self, runs: list[str]) -> None:
+        """Delete runs that no manifest names any more."""
+        for run in runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS ledgerline_lines_{run}")
+            self.log.delete_folder(run)
+
+    def anti_joined(self, batch: DataFrame) -> DataFrame:
+        """``h1, h2, n_docs, keeper`` of a batch, with a keeper only where no run has a larger one.
+
+        A chain of merge joins, one per run; only the batch moves, to the buckets.
+        """
+        rows = batch.repartition(self.buckets, "h1", "h2")
+        for run in self.runs():
+            known = self._table(run).select("h1", "h2", F.coalesce("keeper", F.lit(None).cast("long")).alias("known"))
+            rows = rows.join(known.hint("merge"), ["h1", "h2"], "left")
+            outranked = F.coalesce(F.col("known") >= F.col("keeper"), F.lit(False))
+            rows = rows.withColumn("keeper", F.when(~outranked, F.col("keeper"))).drop("known")
+        return rows
 
     def add(self, lines: DataFrame) -> None:
         """Add a batch's ``(doc_id, h1, h2)`` as a run. A document's rows must all be in one batch."""
         distinct = lines.where("doc_id is not null").distinct()
-        run = distinct.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
-        level = 0
-        run = self._write(run, level)
+        batch = distinct.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
+        run, level, merged = self._write(self.anti_joined(batch)), 0, []
         while True:
             while len(self.levels) <= level:
                 self.levels.append([])
             self.levels[level].append(run)
             if len(self.levels[level]) < self.fanout:
-                return
-            run = self._write(self.merged(self.levels[level]), level + 1)
+                break
+            rows = self.merged([self._rows(r) for r in self.levels[level]])
+            run = self._write(rows.repartition(self.buckets, "h1", "h2"))
+            merged += self.levels[level]
             self.levels[level] = []
             level += 1
+        self.log.publish({"levels": self.levels, "fanout": self.fanout, "buckets": self.buckets})
+        self._forget(merged)
 
-    def runs(self) -> list[DataFrame]:
+    @staticmethod
+    def merged(runs: list[DataFrame]) -> DataFrame:
+        """One row per line over several runs."""
+        rows = reduce(DataFrame.unionByName, runs)
+        if len(runs) == 1:
+            return rows
+        return rows.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
+
+    def runs(self) -> list[str]:
         return [run for level in self.levels for run in level]
 
-    def frequent(self, min_docs: int) -> DataFrame:
-        """The lines that are in at least ``min_docs`` documents of all runs."""
-        runs = self.runs()
-        if not runs:
-            return self.spark.createDataFrame([], RUN_SCHEMA)
-        return self.merged(runs).where(F.col("n_docs") >= min_docs)
+    def state(self) -> DataFrame:
+        """``h1, h2, n_docs, keeper``: one row per line of all batches."""
+        runs = [self._rows(run) for run in self.runs()]
+        return self.merged(runs) if runs else self.spark.createDataFrame([], RUN_SCHEMA)
 
     def screen(self, lines: DataFrame, min_docs: int) -> DataFrame:
-        """``(doc_id, h1, h2)`` of a batch that the runs reject: frequent, and kept by a larger document id.
+        """``(doc_id, h1, h2)`` of a batch that the runs reject: frequent, and kept by another document.
 
         A null id never keeps a line.
         """
-        frequent = stage(self.frequent(min_docs).select("h1", "h2", "keeper"), "lines-frequent")
+        frequent = self.state().where(F.col("n_docs") >= min_docs)
+        frequent = stage(frequent.select("h1", "h2", "keeper"), "lines-frequent")
         return (
             lines.join(frequent, ["h1", "h2"])
             .where(F.col("doc_id").isNull() | (F.col("doc_id") != F.col("keeper")))
@@ -174,23 +238,33 @@ def line_dedup(
     named ``n_lines``, ``n_dropped``, ``__id`` or ``__drop`` are replaced or left
     out. An empty table gives no rows.
 
-    The table is fed in ``batches`` (by the hash of the id); the runs then
-    screen every batch once all of them are in, because the rule counts
-    documents of the whole table.
+    The table is fed in ``batches``, ranges of the id from the largest down, so the
+    anti-join with the runs settles as a batch arrives which lines it may keep.
+    Whether a line is frequent is known once all batches are in, because the rule
+    counts documents of the whole table.
     """
     bound_batches(docs.sparkSession)
     docs = _fresh(docs)
-    lines = line_hashes(docs, min_chars, id_column, text_column).withColumn(
-        "batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
-    )
-    lines = stage(lines, "lines")
-    runs = LineRuns(docs.sparkSession, fanout)
-    for i in range(batches):
-        runs.add(lines.where(F.col("batch") == i).drop("batch"))
-    rejected = stage(runs.screen(lines.drop("batch"), min_docs), "lines-rejected")
+    lines = stage(line_hashes(docs, min_chars, id_column, text_column), "lines")
+    runs = LineRuns(docs.sparkSession, fanout, buckets=buckets_for(lines.count()))
+    for in_range in _ranges(docs, batches, id_column):
+        runs.add(lines.where(in_range))
+    rejected = stage(runs.screen(lines, min_docs), "lines-rejected")
     return _drop_lines(docs, rejected, min_chars, id_column, text_column)
 
 
+def _ranges(docs: DataFrame, batches: int, id_column: str) -> list[Column]:
+    """Conditions on ``doc_id`` that split the ids into ranges of about as many rows, the largest ids first."""
+    cuts = F.percentile_approx(F.col(id_column).cast("long"), [i / batches for i in range(1, batches)], 1000)
+    bounds = sorted(set(docs.agg(cuts.alias("cuts")).first()["cuts"] or []), reverse=True) if batches > 1 else []
+    doc_id, above = F.col("doc_id"), F.lit(True)
+    ranges = []
+    for bound in bounds:
+        ranges.append(above & (doc_id > bound))
+        above = doc_id <= bound
+    return [*ranges, above]
+
+
 def _fresh(docs: DataFrame) -> DataFrame:
     """Drop columns whose names the operator adds itself."""
     return docs.drop(*[c for c in docs.columns if c.lower() in ("n_lines", "n_dropped", "__id", "__drop")])

@@ -39,7 +39,7 @@ def test_runs_are_merged_level_by_level(spark):
     for i in range(7):
         runs.add(lines.where(f"doc_id % 7 = {i}"))
     assert [len(level) for level in runs.levels] == [1, 1, 1]
-    got = {(r["h1"], r["n_docs"], r["keeper"]) for r in runs.merged(runs.runs()).collect()}
+    got = {(r["h1"], r["n_docs"], r["keeper"]) for r in runs.state().collect()}
     want = {
         (r[0], r[1], r[2])
         for r in lines.groupBy("h1").agg({"doc_id": "count"}).join(
@@ -54,3 +54,37 @@ def test_new_batch_is_screened_by_the_runs_before(spark):
     runs.add(spark.createDataFrame([(i, 1, 1) for i in range(5)] + [(9, 2, 2)], "doc_id long, h1 long, h2 long"))
     batch = spark.createDataFrame([(3, 1, 1), (4, 1, 1), (10, 2, 2)], "doc_id long, h1 long, h2 long")
     assert [tuple(r) for r in runs.screen(batch, 5).collect()] == [(3, 1, 1)]
+
+
+def test_a_batch_is_anti_joined_in_its_buckets_and_enters_counts_only(spark):
+    """Ids fed in either order give the same state; fed downwards, lines known before enter without a keeper."""
+    lines = spark.createDataFrame([(i, i % 3, 0) for i in range(12)], "doc_id long, h1 long, h2 long")
+    want = {(0, 4, 9), (1, 4, 10), (2, 4, 11)}
+    for down in (True, False):
+        runs = line_dedup.LineRuns(spark, fanout=9)
+        for i in sorted(range(3), reverse=down):
+            runs.add(lines.where(f"doc_id div 4 = {i}"))
+        assert {(r["h1"], r["n_docs"], r["keeper"]) for r in runs.state().collect()} == want
+        later = [r["keeper"] for run in runs.runs()[1:] for r in runs._table(run).collect()]
+        assert all(k is None for k in later) == down
+    batch = lines.groupBy("h1", "h2").agg({"doc_id": "max"}).selectExpr("h1", "h2", "1L as n_docs", "`max(doc_id)` as keeper")
+    plan = runs.anti_joined(batch)._jdf.queryExecution().executedPlan().toString()
+    moved = plan.count("Exchange hashpartitioning(h1") - plan.count("ReusedExchange")
+    assert plan.count("SortMergeJoin") == 3 and moved <= 2 and "BroadcastExchange" not in plan  # the batch alone
+
+
+def test_a_later_job_takes_the_runs_up(spark):
+    runs = line_dedup.LineRuns(spark, fanout=2, buckets=8)
+    rows = spark.createDataFrame([(i, 1, 1) for i in range(5)] + [(9, 2, 2)], "doc_id long, h1 long, h2 long")
+    for i in range(3):
+        runs.add(rows.where(f"doc_id % 3 = {i}"))
+    again = line_dedup.LineRuns(spark, root=runs.root)
+    assert again.levels == runs.levels and (again.fanout, again.buckets) == (2, 8)
+    again.add(spark.createDataFrame([(20, 1, 1)], rows.schema))
+    assert {tuple(r) for r in again.state().collect()} == {(1, 1, 6, 20), (2, 2, 1, 9)}
+
+
+def test_nothing_but_null_ids(spark):
+    rows = [(None, "x" * 50), (None, "x" * 50)]
+    out = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), min_docs=1)
+    assert [(r["n_lines"], r["n_dropped"]) for r in out.collect()] == [(1, 0)] * 2
