@@ -50,7 +50,7 @@ def scan_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three run dates; one is rerun with other rows, one with none: only the last run of each stays."""
     layout = _layout(spark, "bronze-overwrite")
-    payments = testdata.raw_payments(spark, sf_dir)
+    payments = testdata.raw_payments(spark, sf_dir, testdata.written_payment_lines(spark, sf_dir))
     other = payments.withColumn("payment_id", F.concat(F.lit("old_"), "payment_id"))
     runs = [
         ("2001-12-29", payments), ("2001-12-30", other), (RUN_DATE, payments),

@@ -28,6 +28,7 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType, Tim
 from ledgerline.operators import clean
 from ledgerline.operators.enrich import DROP_RULES, KEPT, OUTCOME
 from ledgerline.schemas import RAW_SCHEMAS
+from ledgerline.session import CODEC
 from ledgerline.sources.event_index import EventIndex, IndexState
 from ledgerline.sources.raw import RESCUED
 from ledgerline.sources.versions import NULL_SLICE, VersionLog, read_slices, write_slices, written_slices
@@ -85,7 +86,9 @@ def write_bronze(df: DataFrame, layout: Layout, table: str, ds: str) -> str:
     leaves it empty instead of keeping the old rows.
     """
     path = layout.bronze(table)
-    df.withColumn("_ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/dt={ds}")
+    df.withColumn("_ingested_at", F.current_timestamp()).write.mode("overwrite").option("compression", CODEC).parquet(
+        f"{path}/dt={ds}"
+    )
     return path
 
 
@@ -151,7 +154,7 @@ def write_silver(df: DataFrame, layout: Layout, run: str, table: str) -> SilverT
     """Write one silver table into an unpublished run; its entry of the manifest."""
     schema = df.schema.jsonValue()
     path = layout.silver_run(run, table)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", CODEC).parquet(path)
     return SilverTable(schema, path=path)
 
 
@@ -287,7 +290,7 @@ def write_gold(df: DataFrame, layout: Layout, version: str, table: str) -> str:
     if table in GOLD_PARTITIONS:
         write_slices(prepare_gold(df, table), path, MONTH_COLUMN, version)
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", CODEC).parquet(path)
     return path
 
 

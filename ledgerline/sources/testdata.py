@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import materialize
+
 # --- Fixed values of the test-data mapping ----------------------------------
 # (upper bound of the bucket, value); a value applies when bucket < bound.
 CURRENCY_BY_MOD20 = [(1, "CLP"), (3, "EUR"), (5, "MXN"), (8, "BRL"), (14, "ARS"), (20, "USD")]
@@ -150,14 +152,24 @@ PAYMENT_COLUMNS = [
 ]
 
 
-def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payment_lines(spark, sf_dir).select(*PAYMENT_COLUMNS)
+def written_payment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`payment_lines`, written once: for jobs that ingest payments several times.
+
+    Each ingest then reads the files instead of aggregating all lines and
+    joining the orders again. Rows of an order lie together, which packs well.
+    """
+    return materialize(payment_lines(spark, sf_dir).sortWithinPartitions("ok"), "payment-lines")
+
+
+def raw_payments(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """Payments, of ``lines`` if they have been written already."""
+    return (lines or payment_lines(spark, sf_dir)).select(*PAYMENT_COLUMNS)
 
 
-def raw_chargebacks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_chargebacks(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     ok, ln = F.col("ok"), F.col("ln")
     return (
-        payment_lines(spark, sf_dir)
+        (lines or payment_lines(spark, sf_dir))
         .where(
             ((ok * 13 + ln) % 25 == 0)
             & (F.col("sk") % 4 != 0)
@@ -280,15 +292,15 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_TABLES = ["customers", "merchants", "payments", "chargebacks", "fx_rates", "events", "blacklist"]
 
 
-def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One raw dataset of a run, named like its bronze table."""
+def raw_table(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame | None = None) -> DataFrame:
+    """One raw dataset of a run, named like its bronze table. ``lines``: see :func:`written_payment_lines`."""
     from ledgerline.operators.clean import explode_denylist
 
     builders = {
         "customers": lambda: raw_customers(spark, sf_dir),
         "merchants": lambda: raw_merchants(spark, sf_dir),
-        "payments": lambda: raw_payments(spark, sf_dir),
-        "chargebacks": lambda: raw_chargebacks(spark, sf_dir),
+        "payments": lambda: raw_payments(spark, sf_dir, lines),
+        "chargebacks": lambda: raw_chargebacks(spark, sf_dir, lines),
         "fx_rates": lambda: raw_fx_rates(spark),
         "events": lambda: raw_events(spark, sf_dir),
         "blacklist": lambda: explode_denylist(denylist_documents(spark, sf_dir)),
@@ -296,6 +308,6 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return builders[name]()
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> dict[str, DataFrame]:
     """All raw datasets of one run, keyed like the bronze tables."""
-    return {name: raw_table(spark, sf_dir, name) for name in RAW_TABLES}
+    return {name: raw_table(spark, sf_dir, name, lines) for name in RAW_TABLES}

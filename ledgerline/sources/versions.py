@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
+from ledgerline.session import CODEC
+
 _MANIFEST = re.compile(r"(\d{10})\.json")
 VERSION_COLUMN = "version"
 #: The folder of rows whose slice value is null.
@@ -186,7 +188,8 @@ class VersionLog:
 
 def write_slices(df: DataFrame, root: str, column: str, version: str) -> None:
     """Write the slices of ``df`` (by its column ``column``) as ``version``; other versions are untouched."""
-    df.withColumn(VERSION_COLUMN, F.lit(version)).write.mode("append").partitionBy(column, VERSION_COLUMN).parquet(root)
+    out = df.withColumn(VERSION_COLUMN, F.lit(version)).write.mode("append").option("compression", CODEC)
+    out.partitionBy(column, VERSION_COLUMN).parquet(root)
 
 
 def written_slices(spark: SparkSession, root: str, column: str, version: str) -> list[str]:
