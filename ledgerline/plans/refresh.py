@@ -261,7 +261,8 @@ def _gold_refresh(
     for m, entry in done.get("prints", {}).items():
         months[m] |= entry
     if gate:
-        quality.enforce_constraints(_gold_version(spark, layout, version, fct).tables)
+        unique = quality.keys_checked("gold_fct_payments", "fct_payments")
+        quality.enforce_constraints(_gold_version(spark, layout, version, fct).tables, unique)
     lake.publish_gold(spark, layout, version, months, new_fct.schema.jsonValue(), gate, cohort_months)
     return version
 

@@ -1,12 +1,14 @@
-"""Jobs that ingest payments several times derive them once."""
+"""Jobs that ingest payments several times derive them once; what a refresh has counted it does not count again."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
-from ledgerline.plans import io_jobs
+from ledgerline.operators import quality
+from ledgerline.plans import io_jobs, refresh
 from ledgerline.sources import lake, testdata
 
 ORDERS = [(1, 1, "1996-05-01"), (2, 2, "1997-03-09"), (3, 1, "1998-08-20"), (4, None, "1997-03-30"), (2, 1, "1999-01-02"), (None, 1, "1999-01-02")]
@@ -53,3 +55,47 @@ def test_bronze_overwrite_derives_payments_once(spark, tables, monkeypatch):
     rows = io_jobs.bronze_partition_overwrite(spark, tables).collect()
     assert sorted(map(tuple, rows)) == [("2001-12-30", 6, 5), ("2001-12-31", 6, 5)]
     assert ingested == [False] * 5
+
+
+@pytest.mark.parametrize("job", ["versions_expired", "gold_incremental", "cohort_ltv_incremental"])
+def test_refreshes_derive_payments_once(spark, tables, monkeypatch, job):
+    class Enough(Exception):
+        pass
+
+    seen = {}
+
+    def first_refresh(spark_, layout, ds, raw, gates):
+        seen.update(raw)
+        raise Enough
+
+    monkeypatch.setattr(refresh, "full_refresh", first_refresh)
+    with pytest.raises(Enough):
+        io_jobs.IO_QUERIES[job](spark, tables)
+    assert not _reads_lines(seen["payments"]) and not _reads_lines(seen["chargebacks"])
+
+
+def test_a_refresh_counts_the_keys_of_the_fact_once(spark, tables, monkeypatch, tmp_path):
+    counted, real = [], quality.duplicate_rows
+
+    def duplicates(df, columns):
+        if columns == ["payment_id"]:
+            counted.append(df)
+        return real(df, columns)
+
+    monkeypatch.setattr(quality, "duplicate_rows", duplicates)
+    layout = lake.Layout(str(tmp_path))
+    raw = testdata.raw_tables(spark, tables)
+    raw["payments"] = raw["payments"].dropDuplicates(["payment_id"])
+    refresh.full_refresh(spark, layout, "d", raw, ("gold_fct_payments",))
+    assert len(counted) == 1
+    gold = refresh.published_gold(spark, layout).tables
+    names = ["table_name", "kind", "constraint_name", "violations"]
+    whole, known = (
+        {tuple(r) for r in quality.constraint_report(gold, unique).select(names).collect()} for unique in ((), {"fct_payments"})
+    )
+    assert whole == known
+    twice = gold | {"fct_payments": gold["fct_payments"].unionAll(gold["fct_payments"])}
+    with pytest.raises(quality.ConstraintsViolated, match="unique.payment_id"):
+        quality.enforce_constraints(twice)
+    with pytest.raises(quality.SuiteFailed, match="unique.payment_id"):
+        quality.validate(twice["fct_payments"], "gold_fct_payments")
