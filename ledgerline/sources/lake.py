@@ -273,15 +273,26 @@ def prepare_gold(df: DataFrame, table: str) -> DataFrame:
 def month_prints(fct: DataFrame) -> dict[str, dict]:
     """Per month of a date-partitioned table: its rows and two sums of 64-bit row hashes, independent of row order.
 
-    One aggregate; as many rows reach the driver as there are months.
+    One aggregate; as many rows reach the driver as there are months. The upper
+    and lower halves of the hashes are summed apart, as long integers.
     """
     columns = [c for c in fct.columns if c != MONTH_COLUMN]
     day = GOLD_PARTITIONS["fct_payments"][0]
-    sums = [F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(20,0)")).cast("string") for seed in (1, 2)]
-    rows = fct.groupBy(F.trunc(day, "MM").cast("string").alias("month")).agg(
-        F.count("*").alias("n"), *(x.alias(f"h{i}") for i, x in enumerate(sums))
-    )
-    return {r["month"]: {"rows": r["n"], "print": [r["h0"], r["h1"]]} for r in rows.collect()}
+    hashes = [F.xxhash64(F.lit(seed), *columns).alias(f"h{seed}") for seed in (1, 2)]
+    sums = [
+        part
+        for h in ("h1", "h2")
+        for part in (
+            F.sum(F.shiftright(h, 32)).alias(f"{h}_upper"),
+            F.sum(F.col(h).bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"{h}_lower"),
+        )
+    ]
+    hashed = fct.select(F.trunc(day, "MM").alias("month"), *hashes)
+    rows = hashed.groupBy("month").agg(F.count("*").alias("n"), *sums).withColumn("month", F.col("month").cast("string"))
+    return {
+        r["month"]: {"rows": r["n"], "print": [str((r[f"{h}_upper"] << 32) + r[f"{h}_lower"]) for h in ("h1", "h2")]}
+        for r in rows.collect()
+    }
 
 
 def write_gold(df: DataFrame, layout: Layout, version: str, table: str) -> str:

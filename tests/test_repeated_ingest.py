@@ -74,6 +74,24 @@ def test_refreshes_derive_payments_once(spark, tables, monkeypatch, job):
     assert not _reads_lines(seen["payments"]) and not _reads_lines(seen["chargebacks"])
 
 
+def test_prints_are_sums_of_whole_hashes(spark):
+    rows = spark.range(500).select(
+        F.concat(F.lit("p_"), F.col("id") % 300).alias("payment_id"),
+        F.when(F.col("id") % 7 > 0, F.expr("date_add(date'2020-01-20', cast(id % 40 as int))")).alias("date_key"),
+        (F.col("id") / 3).cast("decimal(18,4)").alias("amount_usd"),
+    )
+    hashed = rows.select(
+        F.trunc("date_key", "MM").cast("string").alias("month"), *(F.xxhash64(F.lit(s), *rows.columns).alias(f"h{s}") for s in (1, 2))
+    )
+    expected = {}
+    for month, a, b in hashed.collect():
+        n, x, y = expected.get(month, (0, 0, 0))
+        expected[month] = (n + 1, x + a, y + b)
+    found = lake.month_prints(rows.withColumn(lake.MONTH_COLUMN, F.trunc("date_key", "MM")))
+    assert found == {m: {"rows": n, "print": [str(x), str(y)]} for m, (n, x, y) in expected.items()}
+    assert None in found and len(found) == 3
+
+
 def test_a_refresh_counts_the_keys_of_the_fact_once(spark, tables, monkeypatch, tmp_path):
     counted, real = [], quality.duplicate_rows
 
