@@ -39,9 +39,9 @@ DEPTH = 5
 #: Never a byte of UTF-8: stands before the text and ends it.
 PAD = 0xFF
 #: Positions handled at once, and strings that a shard is expected to get.
-CHUNK = 1 << 20
-COUNT_CHUNK = 1 << 21
-SHARD_KEYS = 600_000
+CHUNK = 1 << 18
+COUNT_CHUNK = 1 << 19
+SHARD_KEYS = 400_000
 #: Bounds of the two top levels: (context byte, decision node).
 TOP = 256 * 256
 
@@ -205,9 +205,10 @@ def _count_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
         k, c = code[at], np.diff(np.r_[at, len(code)])
         if len(keys):
-            both = np.concatenate([keys, k])
-            k, index = np.unique(both, return_inverse=True)
-            c = np.bincount(index, weights=np.concatenate([counts, c]), minlength=len(k)).astype(np.int64)
+            at = np.searchsorted(keys, k)
+            old = keys[np.minimum(at, len(keys) - 1)] == k
+            counts[at[old]] += c[old]
+            k, c = np.insert(keys, at[~old], k[~old]), np.insert(counts, at[~old], c[~old])
         keys, counts = k, c
     return keys, counts
 
@@ -218,34 +219,42 @@ def _ask(shards: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         block = int(rows["block"].iloc[0])
         held = rows["held_out"].to_numpy()
-        texts = [ascii_lower(text_bytes(t)) for t in rows["text"]]
+        texts = [ascii_lower(text_bytes(t)) for t in rows.pop("text")]
         train = [t for t, h in zip(texts, held, strict=True) if not h]
         rest = [t for t, h in zip(texts, held, strict=True) if h]
-        out = []
-
-        seen: Counter[bytes] = Counter()
-        for t in train:
-            seen.update(_tokens(t))
-        for t in rest:
-            for w in set(_tokens(t)):
-                seen.setdefault(w, 0)
-        words = list(seen)
-        count = np.fromiter(seen.values(), np.int64, len(words))
-        shard = shard_of(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), shards)
-        for s, i in split_by(shard, shards):
-            out.append((block, s, WORDS, b" ".join([words[j] for j in i]), pack(count[i])))
-
-        keys, counts = _count_codes(train)
-        other, _ = _count_codes(rest)
-        new = other[~np.isin(other, keys, assume_unique=True)]
-        keys, counts = np.concatenate([keys, new]), np.concatenate([counts, np.zeros(len(new), np.int64)])
-        for s, i in split_by(shard_of((keys >> np.uint64(8)) & np.uint64(0xFFFF), shards), shards):
-            out.append((block, s, STRINGS, pack(keys[i]), pack(counts[i])))
+        del texts
+        out = [(block, s, STRINGS, *packed) for s, *packed in _strings_asked(train, rest, shards)]
+        out += [(block, s, WORDS, *packed) for s, *packed in _words_asked(train, rest, shards)]
         return pd.DataFrame(out, columns=["block", "shard", "kind", "keys", "counts"])
 
     return run
 
 
+def _words_asked(train: list[bytes], rest: list[bytes], shards: int):
+    """Per shard its distinct words, and how often they are in ``train``."""
+    seen: Counter[bytes] = Counter()
+    for t in train:
+        seen.update(_tokens(t))
+    for t in rest:
+        for w in set(_tokens(t)):
+            seen.setdefault(w, 0)
+    words = list(seen)
+    count = np.fromiter(seen.values(), np.int64, len(words))
+    shard = shard_of(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), shards)
+    for s, i in split_by(shard, shards):
+        yield s, b" ".join([words[j] for j in i]), pack(count[i])
+
+
+def _strings_asked(train: list[bytes], rest: list[bytes], shards: int):
+    """Per shard its distinct strings, and how often they are in ``train``."""
+    keys, counts = _count_codes(train)
+    other, _ = _count_codes(rest)
+    new = other[~np.isin(other, keys, assume_unique=True)]
+    keys, counts = np.concatenate([keys, new]), np.concatenate([counts, np.zeros(len(new), np.int64)])
+    for s, i in split_by(shard_of((keys >> np.uint64(8)) & np.uint64(0xFFFF), shards), shards):
+        yield s, pack(keys[i]), pack(counts[i])
+
+
 def _sum_words(rows: pd.DataFrame) -> tuple[dict[bytes, int], list[list[bytes]]]:
     total: dict[bytes, int] = {}
     asked = []
@@ -337,7 +346,8 @@ def _score(total_tokens: int, vocabulary: int, train_docs: int):
         unseen = {w for w, n in zip(words, count.tolist(), strict=True) if n == 0}
         mine = answers[answers["kind"] == STRINGS]
         table = _Table(unpack_all(mine["keys"], np.uint64), unpack_all(mine["values"], np.float64))
-        texts = [ascii_lower(text_bytes(t)) for t in rows["text"]]
+        del mine, answers, values
+        texts = [ascii_lower(text_bytes(t)) for t in rows.pop("text")]
         score = np.zeros(len(texts))
         for held in _chunks(texts):
             got = table.get(np.concatenate([part for _, part in held]))
@@ -398,23 +408,26 @@ def ctw_scores(
     # A block of 8 MB names a few hundred thousand distinct words and strings.
     shards = max(1, -(-blocks * 400_000 // SHARD_KEYS))
     asked = stage(
-        rows.groupBy("block").applyInPandas(
+        rows.repartition(blocks, "block").groupBy("block").applyInPandas(
             _ask(shards), "block int, shard int, kind int, keys binary, counts binary"
         ),
         "ctw-asked",
     )
-    parts = asked.groupBy("kind", "shard").applyInPandas(_measure, "at long, n0 double, n1 double, log_w double")
+    # One task for each group, or few: what a task sorts and a worker holds does not grow with the input.
+    dealt = asked.repartition(2 * shards, "kind", "shard")
+    parts = dealt.groupBy("kind", "shard").applyInPandas(_measure, "at long, n0 double, n1 double, log_w double")
     top = parts.groupBy("at").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "log_w"))).toPandas()
     free_finished(spark)
     train_docs = rows.where(~F.col("held_out")).count()
     vocabulary, tokens = top.loc[top["at"] == -1, ["n0", "n1"]].sum().astype(int).tolist()
     one = spark.sparkContext.broadcast(top_levels(top[top["at"] >= 0]))  # 256 x 255 nodes at most
     answers = stage(
-        asked.groupBy("kind", "shard").applyInPandas(_answer(one), "block int, kind int, keys binary, values binary"),
+        dealt.groupBy("kind", "shard").applyInPandas(_answer(one), "block int, kind int, keys binary, values binary"),
         "ctw-answers",
     )
     discard(asked)
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
+    asking, answered = (df.repartition(blocks, "block").groupBy("block") for df in (rows, answers))
+    return asking.cogroup(answered).applyInPandas(
         _score(tokens + train_docs, vocabulary + (train_docs > 0), train_docs),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
         "score double, n_bytes long, bits_per_byte double",
