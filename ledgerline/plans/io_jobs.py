@@ -199,7 +199,7 @@ CHANGED_MONTH = "1997-03"
 def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two refreshes that differ in the amounts of one month: the published fact, and which refresh wrote each month."""
     layout = _layout(spark, "gold-incremental")
-    tables = dict(testdata.raw_tables(spark, sf_dir, testdata.written_payment_lines(spark, sf_dir)))
+    tables = testdata.written_raw_tables(spark, sf_dir)
     in_month = F.col("created_at").startswith(CHANGED_MONTH)
     amount = F.when(in_month, F.col("amount") * 2).otherwise(F.col("amount"))
     payments = tables["payments"]
@@ -220,7 +220,7 @@ def versions_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
     version has it once the first is gone, and how many versions stayed.
     """
     layout = _layout(spark, "expiry")
-    tables = dict(testdata.raw_tables(spark, sf_dir, testdata.written_payment_lines(spark, sf_dir)))
+    tables = testdata.written_raw_tables(spark, sf_dir)
     payments = tables["payments"]
     without = payments.where(~F.coalesce(F.col("created_at").startswith(CHANGED_MONTH), F.lit(False)))
     log = lake.gold_log(spark, layout)
@@ -244,7 +244,7 @@ def cohort_ltv_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     The second cut lies within a month, whose cells the last refresh builds anew.
     """
     layout = _layout(spark, "cohort-incremental")
-    tables = dict(testdata.raw_tables(spark, sf_dir, testdata.written_payment_lines(spark, sf_dir)))
+    tables = testdata.written_raw_tables(spark, sf_dir)
     payments = tables["payments"]
     cuts = [F.coalesce(F.col("created_at") < cut, F.lit(True)) for cut in MERGE_CUTS]
     merged = 0

@@ -311,3 +311,9 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame | No
 def raw_tables(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> dict[str, DataFrame]:
     """All raw datasets of one run, keyed like the bronze tables."""
     return {name: raw_table(spark, sf_dir, name, lines) for name in RAW_TABLES}
+
+
+def written_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """:func:`raw_tables` for jobs that ingest them several times: what is derived from the lines is written once."""
+    tables = raw_tables(spark, sf_dir, written_payment_lines(spark, sf_dir))
+    return tables | {"chargebacks": materialize(tables["chargebacks"], "chargebacks")}
