@@ -32,7 +32,8 @@ def unpack_all(parts: Iterable[bytes], dtype) -> np.ndarray:
 
 def split_by(shards: np.ndarray, n: int) -> Iterable[tuple[int, np.ndarray]]:
     """(shard, indexes of its entries) for every shard that has any."""
-    order = np.argsort(shards, kind="stable")
+    small = shards.astype(np.int16) if n < 1 << 15 else shards  # sorted by digits
+    order = np.argsort(small, kind="stable")
     ends = np.searchsorted(shards[order], np.arange(n + 1))
     for s in np.flatnonzero(np.diff(ends)):
         yield int(s), order[ends[s] : ends[s + 1]]

@@ -1,49 +1,61 @@
 """Removal of repeated substrings with sharded suffix arrays.
 
-Every ``size``-byte window picks the smallest hash of the ``GRAM``-byte strings
-inside it as its anchor, so equal windows have equal anchors wherever they
-stand. Neighbouring windows with one anchor form a region. Anchors that occur in
-one document only cannot repeat and stop there. The regions of all others go to
-the shard of their anchor, where equal regions are one piece; the shard's pieces
-are sorted by induced suffix sorting, and runs of permuted common prefixes of at
-least ``size`` bytes are the classes of equal windows, with the smallest
-document id of each. Two windows that are equal always meet in one shard, so
-the result is that of one suffix array over the corpus.
+Every ``size``-byte window picks the smallest hash of the strings of
+``anchor_bytes`` bytes inside it as its anchor, so equal windows have equal
+anchors wherever they stand. Neighbouring windows with one anchor form a region.
+The contents of all regions are compared by name (a 64-bit hash beside that of
+the anchor) in the shard of their anchor. A content that a smaller document has
+is settled there: all its windows go. Where an anchor has one content only, or
+one document only, no more can repeat. The other contents, each from the block of
+its smallest document, go as pieces to the shard of their anchor. Pieces that
+have a window's hash in common with another piece are sorted by induced suffix
+sorting, and runs of permuted common prefixes of at least ``size`` bytes are the
+classes of equal windows, with the smallest document id of each. Two windows that
+are equal always meet in one shard, so the result is that of one suffix array over
+the corpus.
 
 Documents are dealt into blocks of about 8 MB by the hash of their id. Blocks
-and shards exchange one packed row per pair, in which a block names each anchor
-and each region content once: copies are combined before they are shuffled. An
-anchor with more than ``hot_rows`` regions would fill its shard; its regions are
-cut into single windows that are dealt by their own content instead.
+and shards exchange one packed row per pair, in which a block names each content
+once: copies are combined before they are shuffled. Each pass over a block numbers
+its contents alike, so answers name no content. An anchor with more than
+``hot_rows`` contents would fill its shard; its contents are cut into single
+windows that are dealt by their own names instead. Where a block already has a
+crowd of contents with one anchor, these are named to shards of their own, and the
+anchor's shard only learns how many they are; what it decides holds for them too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import suffix_array as sa
-from ledgerline.llm.common import BLOCK_BYTES, stage, text_bytes, total_bytes, with_block
+from ledgerline.llm.common import BLOCK_BYTES, stage, total_bytes, with_block
 from ledgerline.llm.packs import pack, shard_of, split_by, unpack, unpack_all
 
 SIZE = 50
+#: Bytes that one hash covers; windows are longer, and so are anchors from windows of twice as many on.
 GRAM = 16
 #: Windows of one region at most (a long periodic run is cut; any cut is exact).
 RUN = 512
-#: Regions of one anchor beyond which they are dealt window by window.
+#: Contents of one anchor beyond which they are dealt window by window.
 HOT_ROWS = 4096
-#: Anchors, and bytes of regions, that a shard is expected to get.
+#: Contents of one anchor in one block up to which they always meet in the shard of their anchor.
+CROWD = 16
+#: Named contents, and bytes of pieces, that a shard is expected to get.
 SHARD_ANCHORS = 500_000
 SHARD_BYTES = 2_500_000
 #: Bytes hashed at once.
 CHUNK = 1 << 20
 #: A null id counts as larger than every other.
 NO_ID = np.iinfo(np.int64).max
+#: States of a content: a smaller document of another block has it; its block has the smallest and sends it.
+SMALLER, SEND, SEND_WINDOWS = 1, 2, 3
 
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
@@ -60,6 +72,23 @@ def _gram_hashes(data: bytes) -> np.ndarray:
     return h
 
 
+def _hashes(data: bytes, width: int) -> np.ndarray:
+    """A 64-bit hash of the ``width`` bytes (``GRAM`` at least) at every position."""
+    grams = _gram_hashes(data)
+    n = len(data) - width + 1
+    h = grams[:n].copy()
+    for offset in (*range(GRAM, width - GRAM, GRAM), width - GRAM) if width > GRAM else ():
+        h ^= h >> np.uint64(31)
+        h *= _C1
+        h += grams[offset : offset + n]
+    return h
+
+
+def anchor_bytes(size: int) -> int:
+    """Bytes of the strings that windows pick their anchor from: few repeat by chance, and a region stays short."""
+    return max(GRAM, size // 2)
+
+
 def _window_min(h: np.ndarray, width: int) -> np.ndarray:
     reach = 1
     while 2 * reach <= width:
@@ -89,7 +118,8 @@ def _chunk_regions(group: list[int], texts: list[bytes], size: int):
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     begins = np.cumsum(lengths) - lengths
     counts = lengths - size + 1  # windows of each document
-    low = _window_min(_gram_hashes(data), size - GRAM + 1)
+    width = anchor_bytes(size)
+    low = _window_min(_hashes(data, width), size - width + 1)
     edge = np.empty(len(low) + 1, bool)
     edge[0] = True
     np.not_equal(low[1:], low[:-1], out=edge[1:-1])
@@ -113,105 +143,277 @@ def _ids(rows: pd.DataFrame) -> np.ndarray:
 
 
 def _texts(rows: pd.DataFrame) -> list[bytes]:
-    return [text_bytes(t) for t in rows["text"]]
+    return [t or b"" for t in rows["text"]]
+
+
+def _names(data: bytes, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A 64-bit name of the ``length`` bytes (8 at least) at each start, mixed word by word."""
+    at = np.ndarray((max(len(data) - 7, 0),), "<u8", data, strides=(1,))
+    last = start + length - 8
+    name = length.astype(np.uint64) * _C3
+    least, most = (int(length.min()), int(length.max())) if len(length) else (0, 0)
+    for step in range(0, most, 8):
+        live = slice(None) if step < least else np.flatnonzero(length > step)
+        x = at[start + step if step + 8 <= least else np.minimum(start[live] + step, last[live])] * _C2
+        x += name[live]
+        x ^= x >> np.uint64(31)
+        x *= _C1
+        name[live] = x
+    name ^= name >> np.uint64(32)
+    return name
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where the values of sorted columns change."""
+    change = np.ones(len(columns[0]), bool)
+    change[1:] = False
+    for c in columns:
+        change[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(change)
+
+
+def _order(values: np.ndarray) -> np.ndarray:
+    """The order of 64-bit values (of equal ones, any): sorted with their places in the lowest bits, if that is enough."""
+    place = np.uint64((1 << len(values).bit_length()) - 1)
+    order = (np.sort((values & ~place) | np.arange(len(values), dtype=np.uint64)) & place).astype(np.int64)
+    got = values[order]
+    return order if (got[1:] >= got[:-1]).all() else np.argsort(values)
+
+
+class _Contents(NamedTuple):
+    """The regions of a block in the order of its rows, and the distinct contents among them.
+
+    Contents are ordered by name and anchor, so whatever order the rows of a block come in, every pass over
+    the block numbers its contents alike.
+    """
+
+    data: bytes  #: The texts of ``size`` bytes or more, one after the other.
+    begins: np.ndarray  #: Where each of those begins in ``data``,
+    doc_of: np.ndarray  #: and its index among the rows.
+    doc: np.ndarray  #: Of each region: the index of its document,
+    start: np.ndarray  #: its first window in ``data``,
+    n_windows: np.ndarray
+    content: np.ndarray  #: and the number of its content.
+    region: np.ndarray  #: Of each content: a region that has it,
+    anchor: np.ndarray
+    name: np.ndarray
+    low: np.ndarray  #: the smallest id of a document of the block with it,
+    several: np.ndarray  #: and whether documents of two ids have it.
+    crowded: np.ndarray  #: Contents that the block has too many of with one anchor,
+    crowd: np.ndarray  #: and the crowd each is in.
+    crowd_anchor: np.ndarray  #: Of each crowd: its anchor,
+    crowd_count: np.ndarray  #: how many contents it has,
+    crowd_low: np.ndarray  #: their smallest id,
+    crowd_several: np.ndarray  #: and whether documents of two ids have them.
+
+    def dealt_by(self) -> np.ndarray:
+        """What the shards of the contents, then of the crowds, are dealt by: a crowded content by its name."""
+        key = np.r_[self.anchor, self.crowd_anchor]
+        key[self.crowded] = self.name[self.crowded]
+        return key
+
+
+def _crowds(anchor: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contents whose anchor is that of more than ``most``, the crowd of each; anchors and sizes of the crowds."""
+    slot = (anchor & np.uint64((1 << 20) - 1)).astype(np.int64)
+    many = np.flatnonzero(np.bincount(slot)[slot] > most)
+    values, of, count = np.unique(anchor[many], return_inverse=True, return_counts=True)
+    keep = count > most
+    mine = keep[of]
+    return many[mine], (np.cumsum(keep) - 1)[of[mine]], values[keep], count[keep]
+
+
+def _contents(rows: pd.DataFrame, size: int, crowd: int) -> _Contents | None:
+    """None if no text has ``size`` bytes."""
+    ids, texts = _ids(rows), _texts(rows)
+    datas, parts, at = [], [], 0
+    for data, doc, _, start, n_windows, anchor in regions(texts, size):
+        name = _names(data, start, n_windows + (size - 1))
+        parts.append((doc, start + at, n_windows, anchor, name))
+        datas.append(data)
+        at += len(data)
+    if not parts:
+        return None
+    doc, start, n_windows, anchor, name = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = _order(name)
+    by_name, by_anchor = name[order], anchor[order]
+    if ((by_name[1:] == by_name[:-1]) & (by_anchor[1:] != by_anchor[:-1])).any():
+        order = np.lexsort((anchor, name))
+        by_name, by_anchor = name[order], anchor[order]
+    first = _starts(by_name, by_anchor)
+    content = np.empty(len(order), np.int64)
+    content[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
+    of = ids[doc[order]]
+    low = np.minimum.reduceat(of, first)
+    several = low != np.maximum.reduceat(of, first)
+    region = order[first]
+    crowded, in_crowd, crowd_anchor, crowd_count = _crowds(by_anchor[first], crowd)
+    least, most = np.full(len(crowd_count), NO_ID), np.full(len(crowd_count), np.iinfo(np.int64).min)
+    np.minimum.at(least, in_crowd, low[crowded])
+    np.maximum.at(most, in_crowd, low[crowded])
+    crowd_several = (least != most) | (np.bincount(in_crowd, several[crowded], len(crowd_count)) > 0)
+    long_ = np.array([i for i, t in enumerate(texts) if len(t) >= size], np.int64)
+    lengths = np.array([len(texts[i]) for i in long_], np.int64)
+    return _Contents(
+        b"".join(datas), np.cumsum(lengths) - lengths, long_, doc, start, n_windows, content,
+        region, by_anchor[first], by_name[first], low, several,
+        crowded, in_crowd, crowd_anchor, crowd_count, least, crowd_several,
+    )
 
 
-def _name_anchors(size: int, shards: int):
-    """Block -> per shard its anchors, how many regions each has, and whether it is in two documents of the block."""
+def _name_contents(size: int, crowd: int, shards: int):
+    """Block -> per shard the keys and names of its contents, the smallest id of each and whether it has another.
+
+    After the contents come crowds, each under a name of its own, with the numbers of their contents.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, out, found = _ids(rows), [], []
-        for _, doc, _, _, _, anchor in regions(_texts(rows), size):
-            found.append((anchor, ids[doc]))
-        if found:
-            anchor = np.concatenate([a for a, _ in found])
-            doc = np.concatenate([d for _, d in found])
-            order = np.argsort(anchor, kind="stable")
-            anchor, doc = anchor[order], doc[order]
-            at = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-            count = np.diff(np.r_[at, len(anchor)])
-            twice = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
-            key = anchor[at]
-            # The lowest bit tells whether the block holds the anchor in two documents.
-            state = (np.minimum(count, 1 << 30) * 2 + twice).astype(np.uint32)
-            block = int(rows["block"].iloc[0])
-            for shard, i in split_by(shard_of(key, shards), shards):
-                out.append((block, shard, pack(key[i]), pack(state[i])))
-        return pd.DataFrame(out, columns=["block", "shard", "keys", "states"])
+        out, held = [], _contents(rows, size, crowd)
+        if held:
+            block, dealt, n = int(rows["block"].iloc[0]), held.dealt_by(), len(held.name)
+            # Within a shard, the lower half of an anchor tells it from others; a mistake costs a comparison.
+            key = dealt.astype(np.uint32)
+            name = np.r_[held.name, held.crowd_anchor * _C2 + np.uint64(block)]
+            low, several = np.r_[held.low, held.crowd_low], np.r_[held.several, held.crowd_several]
+            for shard, i in split_by(shard_of(dealt, shards), shards):
+                counts = held.crowd_count[i[np.searchsorted(i, n) :] - n].astype(np.uint32)
+                out.append((block, shard, pack(key[i]), pack(name[i]), pack(low[i]), pack(several[i]), pack(counts)))
+        return pd.DataFrame(out, columns=["block", "shard", "keys", "names", "lows", "several", "counts"])
 
     return run
 
 
-def _repeated_anchors(hot_rows: int):
-    """Shard -> for each block, its anchors that occur in two documents of the corpus, and how crowded they are."""
+def _compare_contents(hot_rows: int, hot_windows: int):
+    """Shard -> for each block, what becomes of its contents (``SMALLER``, ``SEND``, ``SEND_WINDOWS`` or 0) in the
+    order they came in, the smallest ids of the smaller ones, and about how many pieces it is to send. What becomes
+    of a crowd holds for all of its contents that are not smaller elsewhere."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [unpack(k, np.uint64) for k in rows["keys"]]
-        key = np.concatenate(keys)
-        state = unpack_all(rows["states"], np.uint32)
-        values, inverse, blocks = np.unique(key, return_inverse=True, return_counts=True)
-        regions_of = np.bincount(inverse, weights=state >> 1, minlength=len(values))
-        twice = np.bincount(inverse, weights=state & 1, minlength=len(values)) > 0
-        repeated, hot = (blocks > 1) | twice, regions_of > hot_rows
-        out, at = [], 0
-        for block, own in zip(rows["block"], keys, strict=True):
-            i = inverse[at : at + len(own)]
-            mine = state[at : at + len(own)] >> 1
-            at += len(own)
-            keep = repeated[i]
-            if keep.any():
-                out.append((block, pack(own[keep]), pack(hot[i][keep].astype(np.uint8)), int(mine[keep].sum())))
-        return pd.DataFrame(out, columns=["block", "keys", "hot", "n_regions"])
+        counts = np.array([len(k) // 4 for k in rows["keys"]], np.int64)
+        key, name = unpack_all(rows["keys"], np.uint32), unpack_all(rows["names"], np.uint64)
+        low, several = unpack_all(rows["lows"], np.int64), unpack_all(rows["several"], np.bool_)
+        weight = np.ones(len(key), np.int64)
+        for end, part in zip(np.cumsum(counts), rows["counts"], strict=True):
+            weight[end - len(part) // 4 : end] = unpack(part, np.uint32)
+        both = (key.astype(np.uint64) << np.uint64(32)) | (name >> np.uint64(32))
+        order = np.argsort(both)
+        both = both[order]
+        if ((both[1:] == both[:-1]) & (name[order[1:]] != name[order[:-1]])).any():
+            order = np.lexsort((name, key))
+        at = _starts(key[order], name[order])  # where a content begins in the order
+        least = np.minimum.reduceat(low[order], at)
+        smallest = np.empty(len(order), np.int64)
+        smallest[order] = np.repeat(least, np.diff(np.r_[at, len(order)]))
+        keys = _starts(key[order])  # where a key begins
+        n_contents = np.add.reduceat(weight[order[at]], np.searchsorted(at, keys))
+        ids = low[order]
+        two = (np.minimum.reduceat(ids, keys) != np.maximum.reduceat(ids, keys)) | np.logical_or.reduceat(several[order], keys)
+        # Only other contents of the key can share windows with a content, and only those of another document count.
+        asked = np.where((n_contents > 1) & two, np.where(n_contents > hot_rows, SEND_WINDOWS, SEND), 0).astype(np.uint8)
+        state = np.empty(len(order), np.uint8)
+        state[order] = np.repeat(asked, np.diff(np.r_[keys, len(order)]))
+        state[smallest < low] = SMALLER
+        out = []
+        for block, shard, end, n in zip(rows["block"], rows["shard"], np.cumsum(counts), counts, strict=True):
+            mine, weights = state[end - n : end], weight[end - n : end]
+            if mine.any():
+                lows = smallest[end - n : end][mine == SMALLER]
+                n_pieces = int(weights[mine == SEND].sum()) + hot_windows * int(weights[mine == SEND_WINDOWS].sum())
+                out.append((block, shard, pack(mine), pack(lows), n_pieces))
+        return pd.DataFrame(out, columns=["block", "shard", "states", "lows", "n_pieces"])
 
     return run
 
 
-def _pieces(rows: pd.DataFrame, answers: pd.DataFrame, size: int):
-    """For each piece (a repeated region, or a window of a hot one): document index, its place in the document,
-    number of windows, the key its shard is dealt by, and its content."""
-    key = unpack_all(answers["keys"], np.uint64)
-    hot = unpack_all(answers["hot"], np.uint8)
-    order = np.argsort(key, kind="stable")
-    key, hot = key[order], hot[order]
-    for data, doc, begin, at, n_windows, anchor in regions(_texts(rows), size):
-        i = np.minimum(np.searchsorted(key, anchor), len(key) - 1)
-        for r in np.flatnonzero(key[i] == anchor) if len(key) else ():
-            place, start, n = int(at[r] - begin[r]), int(at[r]), int(n_windows[r])
-            if hot[i[r]]:
-                for w in range(n):
-                    content = data[start + w : start + w + size]
-                    yield int(doc[r]), place + w, 1, xxhash.xxh3_64_intdigest(content), content
-            else:
-                yield int(doc[r]), place, n, int(anchor[r]), data[start : start + n + size - 1]
-
-
-def _send_pieces(size: int, shards: int):
-    """Block -> per shard its distinct pieces with the block's smallest document id of each."""
+def _answered(held: _Contents, answers: pd.DataFrame, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each content of a block, its state and the smallest id of a document that has it."""
+    dealt = held.dealt_by()
+    state, low, sent = np.zeros(len(dealt), np.uint8), held.low.copy(), dict(split_by(shard_of(dealt, shards), shards))
+    for shard, states, lows in zip(answers["shard"], answers["states"], answers["lows"], strict=True):
+        i, states = sent[shard], unpack(states, np.uint8)
+        if len(i) != len(states):
+            raise RuntimeError("the documents changed while their repeats were looked for")
+        state[i] = states
+        low[i[states == SMALLER]] = unpack(lows, np.int64)
+    state, of_crowd = state[: len(low)], state[len(low) :]
+    state[held.crowded] = np.where(state[held.crowded] == SMALLER, SMALLER, of_crowd[held.crowd])
+    return state, low
+
+
+class _Pieces(NamedTuple):
+    """What a block sends: its contents of state ``SEND``, then the distinct windows of those of ``SEND_WINDOWS``."""
+
+    start: np.ndarray  #: Of each piece: where it begins in the block's data,
+    length: np.ndarray
+    key: np.ndarray  #: what its shard is dealt by,
+    low: np.ndarray  #: and the smallest id of a document with it.
+    content: np.ndarray  #: The contents sent whole; the first pieces are theirs.
+    hot: np.ndarray  #: The contents sent by windows, one entry for each of their windows,
+    window: np.ndarray  #: its number in the content,
+    piece: np.ndarray  #: and its piece.
+
+
+def _ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``counts[i]`` entries: i, and its number."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _pieces(held: _Contents, state: np.ndarray, size: int) -> _Pieces:
+    whole, hot = np.flatnonzero(state == SEND), np.flatnonzero(state == SEND_WINDOWS)
+    n_whole, n_hot = held.n_windows[held.region[whole]], held.n_windows[held.region[hot]]
+    of, window = _ragged(n_hot)
+    hot = hot[of]
+    at = held.start[held.region[hot]] + window
+    names, first, piece = np.unique(
+        _names(held.data, at, np.full(len(at), size, np.int64)), return_index=True, return_inverse=True
+    )
+    low = np.full(len(names), NO_ID, np.int64)
+    np.minimum.at(low, piece, held.low[hot])
+    return _Pieces(
+        np.r_[held.start[held.region[whole]], at[first]], np.r_[n_whole + size - 1, np.full(len(names), size)],
+        np.r_[held.anchor[whole], names], np.r_[held.low[whole], low], whole, hot, window, len(whole) + piece,
+    )
+
+
+def _send_pieces(size: int, crowd: int, shards: int, piece_shards: int):
+    """Block -> per piece shard the pieces whose smallest document it has, with that document's id."""
 
     def run(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
-        if len(rows) and len(answers):
-            ids = _ids(rows)
-            best: dict[bytes, list] = {}
-            for doc, _, _, key, content in _pieces(rows, answers, size):
-                had = best.get(content)
-                if had is None:
-                    best[content] = [key, ids[doc]]
-                elif ids[doc] < had[1]:
-                    had[1] = ids[doc]
-            contents = list(best)
-            key = np.fromiter((k for k, _ in best.values()), np.uint64, len(best))
-            low = np.fromiter((d for _, d in best.values()), np.int64, len(best))
-            length = np.fromiter(map(len, contents), np.int32, len(contents))
-            block = int(rows["block"].iloc[0])
-            for shard, i in split_by(shard_of(key, shards), shards):
-                body = b"".join([contents[j] for j in i])
-                out.append((block, shard, pack(key[i]), pack(low[i]), pack(length[i]), body))
+        held = _contents(rows, size, crowd) if len(rows) and len(answers) else None
+        if held:
+            sent = _pieces(held, _answered(held, answers, shards)[0], size)
+            block, data = int(rows["block"].iloc[0]), held.data
+            begin, end = sent.start.tolist(), (sent.start + sent.length).tolist()
+            for shard, i in split_by(shard_of(sent.key, piece_shards), piece_shards):
+                body = b"".join([data[begin[j] : end[j]] for j in i.tolist()])
+                out.append((block, shard, pack(sent.key[i]), pack(sent.low[i]), pack(sent.length[i].astype(np.int32)), body))
         return pd.DataFrame(out, columns=["block", "shard", "keys", "lows", "lengths", "body"])
 
     return run
 
 
+def _share_windows(contents: list[bytes], size: int) -> np.ndarray:
+    """For each piece, whether the hash of one of its windows is that of a window of another piece.
+
+    Equal windows have equal hashes, so what is told apart here has no place in the suffix array.
+    """
+    data = b"".join(contents)
+    n_windows = np.fromiter(map(len, contents), np.int64, len(contents)) - (size - 1)
+    h = _hashes(data, size)
+    owner, nth = _ragged(n_windows)
+    begins = np.cumsum(n_windows + size - 1) - (n_windows + size - 1)
+    h = h[begins[owner] + nth]
+    order = _order(h)
+    h, owner = h[order], owner[order]
+    pair = np.flatnonzero((h[1:] == h[:-1]) & (owner[1:] != owner[:-1]))
+    out = np.zeros(len(contents), bool)
+    out[owner[pair]] = True
+    out[owner[pair + 1]] = True
+    return out
+
+
 def smaller_windows(contents: list[bytes], low: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs (piece, first window, end window) of windows that also start in a piece of a smaller document.
 
@@ -236,79 +438,113 @@ def smaller_windows(contents: list[bytes], low: np.ndarray, size: int) -> tuple[
 
 
 def _judge_pieces(size: int):
-    """Shard -> for each block, its pieces with the smallest document of each, and the windows seen still earlier."""
+    """Shard -> for each block, runs (piece, first window, end window) of windows of its pieces that also start in
+    a smaller document than it named."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         index: dict[bytes, int] = {}
-        key: list[int] = []
-        low: list[int] = []
-        asked = []
+        asked, said, every = [], [], []
         for keys, lows, lengths, body in zip(rows["keys"], rows["lows"], rows["lengths"], rows["body"], strict=True):
-            mine, at = [], 0
-            for k, d, n in zip(
-                unpack(keys, np.uint64).tolist(), unpack(lows, np.int64).tolist(),
-                unpack(lengths, np.int32).tolist(), strict=True,
-            ):
-                content = body[at : at + n]
-                at += n
-                i = index.setdefault(content, len(index))
-                if i == len(key):
-                    key.append(k)
-                    low.append(d)
-                elif d < low[i]:
-                    low[i] = d
-                mine.append(i)
+            ends = np.cumsum(unpack(lengths, np.int32), dtype=np.int64).tolist()
+            mine = [index.setdefault(body[a:b], len(index)) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
             asked.append(np.array(mine, np.int64))
-        contents, lows = list(index), np.array(low, np.int64)
+            said.append(unpack(lows, np.int64))
+            every.append(unpack(keys, np.uint64))
+        contents, sent = list(index), np.concatenate(asked)
+        key, low = np.empty(len(contents), np.uint64), np.full(len(contents), NO_ID, np.int64)
+        key[sent] = np.concatenate(every)
+        np.minimum.at(low, sent, np.concatenate(said))
         # A piece that is alone with its key has no other piece to share a window with.
-        _, inverse, count = np.unique(np.array(key, np.uint64), return_inverse=True, return_counts=True)
+        _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
         some = np.flatnonzero(count[inverse] > 1)
-        runs: dict[int, list[tuple[int, int]]] = {}
         if len(some):
-            piece, begin, end = smaller_windows([contents[i] for i in some], lows[some], size)
-            for p, a, b in zip(some[piece].tolist(), begin.tolist(), end.tolist(), strict=True):
-                runs.setdefault(p, []).append((a, b))
-        name = np.frombuffer(b"".join(xxhash.xxh3_128_digest(c) for c in contents), "V16")
+            some = some[_share_windows([contents[i] for i in some], size)]
+        piece = begin = end = np.empty(0, np.int64)
+        if len(some):
+            piece, begin, end = smaller_windows([contents[i] for i in some], low[some], size)
+            piece = some[piece]
+        ends = np.searchsorted(piece, np.arange(len(contents) + 1))
+        n_windows = np.fromiter(map(len, contents), np.int64, len(contents)) - (size - 1)
         out = []
-        for block, mine in zip(rows["block"], asked, strict=True):
-            triples = [(j, a, b) for j, i in enumerate(mine.tolist()) for a, b in runs.get(i, ())]
-            out.append((block, name[mine].tobytes(), pack(lows[mine]), pack(np.array(triples, np.int32))))
-        return pd.DataFrame(out, columns=["block", "names", "lows", "runs"])
+        for block, mine, own in zip(rows["block"], asked, said, strict=True):
+            all_ = np.flatnonzero(low[mine] < own)
+            part = np.flatnonzero(low[mine] == own)
+            of, nth = _ragged((ends[1:] - ends[:-1])[mine[part]])
+            i = ends[mine[part]][of] + nth
+            runs = np.r_[
+                np.c_[all_, np.zeros(len(all_), np.int64), n_windows[mine[all_]]], np.c_[part[of], begin[i], end[i]]
+            ]
+            if len(runs):
+                out.append((block, int(rows["shard"].iloc[0]), pack(runs.astype(np.int32))))
+        return pd.DataFrame(out, columns=["block", "shard", "runs"])
 
     return run
 
 
-def _cut(size: int):
+def _removed(
+    held: _Contents, ids: np.ndarray, flagged: pd.DataFrame, judged: pd.DataFrame, size: int, shards: int, piece_shards: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of removed bytes begin and end in the data of a block, in order."""
+    state, low = _answered(held, flagged, shards)
+    id_ = ids[held.doc]
+    whole = low[held.content] < id_
+    spans = [(held.start[whole], held.start[whole] + held.n_windows[whole])]
+    # A piece was sent with the smallest id of its documents: what is left to ask is what that document loses.
+    open_ = np.flatnonzero((state[held.content] >= SEND) & ~whole)
+    if len(open_):
+        sent = _pieces(held, state, size)
+        shard = dict(split_by(shard_of(sent.key, piece_shards), piece_shards))
+        found = [np.empty((0, 3), np.int64)]
+        for s, r in zip(judged["shard"], judged["runs"], strict=True):
+            r = unpack(r, np.int32).reshape(-1, 3).astype(np.int64)
+            found.append(np.c_[shard[s][r[:, 0]], r[:, 1:]])
+        runs = np.concatenate(found)
+        runs = runs[np.argsort(runs[:, 0], kind="stable")]
+        hot = state[held.content[open_]] == SEND_WINDOWS
+        region = open_[~hot]
+        piece = np.searchsorted(sent.content, held.content[region])
+        first, end = np.searchsorted(runs[:, 0], piece), np.searchsorted(runs[:, 0], piece, "right")
+        of, nth = _ragged(end - first)
+        i, at = first[of] + nth, held.start[region[of]]
+        spans.append((at + runs[i, 1], at + runs[i, 2]))
+        region = open_[hot]
+        first = np.searchsorted(sent.hot, held.content[region])
+        of, nth = _ragged(held.n_windows[region])
+        piece = sent.piece[first[of] + nth]
+        smaller = np.zeros(len(sent.key), bool)
+        smaller[runs[:, 0]] = True
+        cut = smaller[piece] | (sent.low[piece] < id_[region[of]])
+        window = (held.start[region[of]] + nth)[cut]
+        spans.append((window, window + 1))
+    begin, end = (np.concatenate(x) for x in zip(*spans, strict=True))
+    order = np.argsort(begin)
+    begin, end = begin[order], np.maximum.accumulate(end[order] + (size - 1))
+    doc = np.searchsorted(held.begins, begin, "right") - 1
+    new = np.flatnonzero((begin[1:] > end[:-1]) | (doc[1:] != doc[:-1])) + 1  # touching runs are one
+    n = min(len(begin), 1)
+    return begin[np.r_[:n, new]], end[np.r_[new - 1, len(end) - n : len(end)]]
+
+
+def _cut(size: int, crowd: int, shards: int, piece_shards: int):
     """Block and its answers -> the documents without their repeated bytes."""
 
     def run(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         ids, texts = _ids(rows), _texts(rows)
         spans: dict[int, list[tuple[int, int]]] = {}
-        known: dict[bytes, tuple[int, list]] = {}
-        judged = answers[answers["names"].notna()]
-        for names, lows, runs in zip(judged["names"], judged["lows"], judged["runs"], strict=True):
-            own: dict[int, list] = {}
-            for j, a, b in unpack(runs, np.int32).reshape(-1, 3).tolist():
-                own.setdefault(j, []).append((a, b))
-            for j, d in enumerate(unpack(lows, np.int64).tolist()):
-                known[names[16 * j : 16 * j + 16]] = (d, own.get(j, []))
-        flagged = answers[answers["keys"].notna()]
-        if len(rows) and len(flagged):
-            for doc, place, n, _, content in _pieces(rows, flagged, size):
-                low, runs = known[xxhash.xxh3_128_digest(content)]
-                for a, b in ((0, n),) if low < ids[doc] else runs:
-                    spans.setdefault(doc, []).append((place + a, place + b + size - 1))
+        held = _contents(rows, size, crowd) if len(rows) else None
+        if held:
+            told = answers["states"].notna()
+            begin, end = _removed(held, ids, answers[told], answers[~told], size, shards, piece_shards)
+            of = np.searchsorted(held.begins, begin, "right") - 1
+            at = held.begins[of]
+            for doc, a, b in zip(held.doc_of[of].tolist(), (begin - at).tolist(), (end - at).tolist(), strict=True):
+                spans.setdefault(doc, []).append((a, b))
         out_spans, kept = [], []
         for i, text in enumerate(texts):
-            merged: list[list[int]] = []
-            for a, b in sorted(spans.get(i, ())):
-                if merged and a <= merged[-1][1]:
-                    merged[-1][1] = max(b, merged[-1][1])
-                else:
-                    merged.append([a, b])
-            out_spans.append([{"start": a, "end": b} for a, b in merged])
-            left = [0, *(x for span in merged for x in span), len(text)]
-            kept.append(b"".join(text[a:b] for a, b in zip(left[::2], left[1::2], strict=True)) if merged else text)
+            mine = spans.get(i, ())
+            out_spans.append([{"start": a, "end": b} for a, b in mine])
+            left = [0, *(x for span in mine for x in span), len(text)]
+            kept.append(b"".join([text[a:b] for a, b in zip(left[::2], left[1::2], strict=True)]) if mine else text)
         return pd.DataFrame(
             {"doc_id": rows["doc"].where(~rows["no_id"]).astype("Int64") if len(rows) else pd.Series([], dtype="Int64"),
              "n_bytes": [len(t) for t in texts], "spans": out_spans, "kept": kept}
@@ -336,30 +572,35 @@ def substring_dedup(
         raise ValueError(f"size must be over {GRAM} bytes")
     rows = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).cast("string").alias("text"))
     n_bytes = total_bytes(rows, "text")
-    rows = with_block(rows, "doc", max(1, -(-n_bytes // BLOCK_BYTES)))
+    n_blocks = max(1, -(-n_bytes // BLOCK_BYTES))
+    crowd = max(CROWD, hot_rows // n_blocks)
+    rows = with_block(rows, "doc", n_blocks)
     rows = rows.withColumn("no_id", F.col("doc").isNull()).withColumn("doc", F.coalesce("doc", F.lit(int(NO_ID))))
-    shards = max(1, n_bytes // 18 // SHARD_ANCHORS)
-    anchors = rows.select("block", "doc", "text").groupBy("block").applyInPandas(
-        _name_anchors(size, shards), "block int, shard int, keys binary, states binary"
+    rows = rows.withColumn("text", F.col("text").cast("binary"))
+    by_block = rows.select("block", "doc", "text").groupBy("block")
+    windows = (size - anchor_bytes(size)) // 2 + 1  # of a region, on average
+    shards = max(1, n_bytes // windows // SHARD_ANCHORS)
+    named = by_block.applyInPandas(
+        _name_contents(size, crowd, shards),
+        "block int, shard int, keys binary, names binary, lows binary, several binary, counts binary",
     )
-    repeated = stage(
-        anchors.groupBy("shard").applyInPandas(
-            _repeated_anchors(hot_rows), "block int, keys binary, hot binary, n_regions long"
+    flagged = stage(
+        named.groupBy("shard").applyInPandas(
+            _compare_contents(hot_rows, windows), "block int, shard int, states binary, lows binary, n_pieces long"
         ),
-        "repeats-anchors",
+        "repeats-flagged",
     )
-    n_regions = int(repeated.agg(F.sum("n_regions").alias("n")).first()["n"] or 0)
-    piece_shards = max(1, -(-n_regions * (size + 18) // SHARD_BYTES))
-    pieces = rows.select("block", "doc", "text").groupBy("block").cogroup(repeated.groupBy("block")).applyInPandas(
-        _send_pieces(size, piece_shards),
+    n_pieces = int(flagged.agg(F.sum("n_pieces").alias("n")).first()["n"] or 0)
+    piece_shards = max(1, -(-n_pieces * (size + 18) // SHARD_BYTES))
+    pieces = by_block.cogroup(flagged.groupBy("block")).applyInPandas(
+        _send_pieces(size, crowd, shards, piece_shards),
         "block int, shard int, keys binary, lows binary, lengths binary, body binary",
     )
     judged = stage(
-        pieces.groupBy("shard").applyInPandas(_judge_pieces(size), "block int, names binary, lows binary, runs binary"),
-        "repeats-judged",
+        pieces.groupBy("shard").applyInPandas(_judge_pieces(size), "block int, shard int, runs binary"), "repeats-judged"
     )
-    answers = repeated.select("block", "keys", "hot").unionByName(judged, allowMissingColumns=True)
+    answers = flagged.drop("n_pieces").unionByName(judged, allowMissingColumns=True)
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        _cut(size),
+        _cut(size, crowd, shards, piece_shards),
         "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary",
     )
